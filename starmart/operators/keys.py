@@ -1,141 +1,73 @@
 """Dense numbering at scale, and cyclic assignment built on it.
 
-A global ``row_number`` sorts the whole table in one task. Here the rows are cut into
-ranges of the order key first; every range is numbered on its own and shifted by the
-number of rows in the ranges before it:
+A global ``row_number`` sorts the whole table in one task. Here the table is sorted by
+range over all tasks and written once, each row with the number of its sorted partition
+and its place in it. Counting the written rows per partition gives the number of rows
+before each partition, and
 
-1. count the rows and sample the order key (two scans of the key columns),
-2. take evenly spaced sample keys as range bounds and count the rows of each range
-   (one scan of the key columns, added up before the shuffle),
-3. id = rows in earlier ranges + ``row_number`` inside the range (one shuffle).
+    id = rows before the partition + place in the partition.
 
-The driver sees the bounds and one counter per range, at most ``max_ranges`` of each. The
-bounds are literals in the plan, so a task that is run again numbers its rows the same.
+That is one shuffle, one write and no window. The written places are final: a task that
+is run again, or a later query on the result, sees the same ids. The driver holds one
+counter per partition, nothing that grows with the rows.
 """
 
 from __future__ import annotations
 
 from itertools import accumulate
-from math import ceil, isnan, isqrt
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-ROWS_PER_RANGE = 10_000
-MAX_RANGES = 16_384
-SAMPLES_PER_RANGE = 20
+from starmart.session import materialise
 
+# monotonically_increasing_id: partition number above bit 33, place in the partition below.
+PLACE_BITS = 33
 
-def _sort_rank(value):
-    """Python sort key in Spark's ascending order: null first, NaN last, structs by field."""
-    if isinstance(value, tuple):
-        return tuple(_sort_rank(v) for v in value)
-    if value is None:
-        return (0, 0)
-    if isinstance(value, float) and isnan(value):
-        return (2, 0)
-    return (1, value)
 
-
-def _order_proxy(name: str, dtype: T.DataType) -> Column:
-    """A column that orders like ``name`` and survives the trip to the driver unchanged."""
-    c = F.col(f"`{name}`")
-    if isinstance(dtype, T.TimestampType):
-        return F.unix_micros(c)
-    if isinstance(dtype, (T.TimestampNTZType, T.DateType)):
-        return c.cast("string")
-    return c
-
-
-def _literal(value, dtype: T.DataType) -> Column:
-    if isinstance(dtype, T.StructType):
-        return F.struct(*[
-            _literal(v, f.dataType).alias(f.name) for v, f in zip(value, dtype.fields)])
-    return F.lit(value).cast(dtype)
-
-
-def _at_or_below(key: Column, bounds: Column) -> Column:
-    """How many of the bounds are not above the key."""
-    return F.size(F.filter(bounds, lambda b: b <= key))
-
-
-def _range_number(key: Column, bounds: list[Column]) -> Column:
-    """Position of the key among sorted bounds, found in two steps of about sqrt(n)."""
-    if len(bounds) <= 32:
-        return _at_or_below(key, F.array(*bounds))
-    step = isqrt(len(bounds)) + 1
-    coarse = F.array(*bounds[::step])
-    fine = F.array(*[F.array(*bounds[i:i + step]) for i in range(0, len(bounds), step)])
-    block = _at_or_below(key, coarse)
-    inside = _at_or_below(key, F.element_at(fine, block))
-    return F.when(block == 0, 0).otherwise((block - 1) * step + inside)
-
-
-def _number(df: DataFrame, name: str, order_by, start: int,
-            rows_per_range: int, max_ranges: int) -> tuple[DataFrame, int]:
+def _number(df: DataFrame, name: str, order_by, start: int) -> tuple[DataFrame, int]:
     """The frame with a dense long column, and its number of rows."""
     order_by = [order_by] if isinstance(order_by, str) else list(order_by)
-    types = {f.name: f.dataType for f in df.schema.fields}
-    proxies = [_order_proxy(c, types[c]).alias(c) for c in order_by]
-    key = proxies[0] if len(proxies) == 1 else F.struct(*proxies)
-    keys = df.select(key.alias("key"))
-    key_type = keys.schema["key"].dataType
-
-    total = keys.count()
-    ranges = max(1, min(max_ranges, ceil(total / rows_per_range)))
-    order = [F.col(f"`{c}`") for c in order_by]
-    if ranges == 1:  # measured: no more rows than one range may hold
-        only = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order))
-        return df.withColumn(name, only.cast("long") + (start - 1)), total
-
-    fraction = min(1.0, SAMPLES_PER_RANGE * ranges / total)
-    sample = sorted((r["key"] for r in keys.sample(False, fraction, 17).collect()),
-                    key=_sort_rank)
-    cuts = [sample[len(sample) * i // ranges] for i in range(1, ranges)] if sample else []
-    cuts = [c for i, c in enumerate(cuts) if c is not None and (i == 0 or c != cuts[i - 1])]
-    bounds = [_literal(c, key_type) for c in cuts]
-
-    counted = {r["range"]: r["n"] for r in
-               keys.select(_range_number(F.col("key"), bounds).alias("range"))
-               .groupBy("range").agg(F.count("*").alias("n")).collect()}
-    sizes = [counted.get(i, 0) for i in range(len(bounds) + 1)]
-    before = [0, *accumulate(sizes[:-1])]
-    shift = F.element_at(F.array(*[F.lit(b + start - 1).cast("long") for b in before]),
-                         F.col("__range") + 1)
-    inside = F.row_number().over(Window.partitionBy("__range").orderBy(*order))
-    numbered = (df.withColumn("__range", _range_number(key, bounds))
-                .withColumn(name, shift + inside)
-                .drop("__range"))
-    return numbered, total
-
-
-def add_sequence(df: DataFrame, name: str, prefix: str = "", order_by=(), start: int = 1,
-                 rows_per_range: int = ROWS_PER_RANGE, max_ranges: int = MAX_RANGES) -> DataFrame:
+    placed = materialise(
+        df.orderBy(*order_by).withColumn("__pos", F.monotonically_increasing_id()), "numbered")
+    part = F.shiftright("__pos", PLACE_BITS)
+    sizes = dict(placed.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect())
+    parts = sorted(sizes)
+    before = [0, *accumulate(sizes[p] for p in parts)]
+    offsets = df.sparkSession.createDataFrame(
+        list(zip(parts, before)), "__part long, __before long")
+    place = F.col("__pos").bitwiseAND((1 << PLACE_BITS) - 1)
+    numbered = (placed.withColumn("__part", part)
+                .join(F.broadcast(offsets), "__part")  # one row per sorted partition
+                .select(*df.columns, (F.col("__before") + place + start).alias(name)))
+    return numbered, before[-1]
+
+
+def add_sequence(df: DataFrame, name: str, prefix: str = "", order_by=(),
+                 start: int = 1) -> DataFrame:
     """Dense ids ``start, start+1, …`` in the order of ``order_by``, as text behind ``prefix``
     or as long without one.
 
     ``order_by`` must identify a row; then the ids depend on the data alone, not on how
     it is partitioned.
     """
-    out, _ = _number(df, name, order_by, start, rows_per_range, max_ranges)
+    out, _ = _number(df, name, order_by, start)
     if not prefix:
         return out
     return out.withColumn(name, F.concat(F.lit(prefix), F.col(name).cast("string")))
 
 
 def assign_round_robin(left: DataFrame, left_key: str, right: DataFrame, right_key: str,
-                       out: str | None = None, **sizes) -> DataFrame:
+                       out: str | None = None) -> DataFrame:
     """Give the i-th row of ``left`` the (i mod n)-th of the n distinct keys of ``right``.
 
     Both sides are numbered by key, then joined on the remainder: an equi-join in which
     every key of ``right`` meets the same number of rows, give or take one.
     """
     out = out or right_key
-    opts = {"rows_per_range": ROWS_PER_RANGE, "max_ranges": MAX_RANGES, **sizes}
     takers = right.select(F.col(right_key).alias(out)).filter(F.col(out).isNotNull()).distinct()
-    takers, n = _number(takers, "__slot", out, 0, **opts)
-    rows, _ = _number(left.drop(out), "__idx", left_key, 0, **opts)
+    takers, n = _number(takers, "__slot", out, 0)
+    rows, _ = _number(left.drop(out), "__idx", left_key, 0)
     if n == 0:
         return rows.drop("__idx").withColumn(out, F.lit(None).cast(takers.schema[out].dataType))
     slotted = rows.withColumn("__slot", F.col("__idx") % n).drop("__idx")

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from starmart.operators.keys import add_sequence
 from starmart.schemas import OPERATOR_HEADERS
-from starmart.session import materialise
 from starmart.sources.documents import extract_html_rows, flatten_documents
 from starmart.sources.files import load_directory
 from starmart.sources.sinks import export_report, save
@@ -48,7 +47,7 @@ def build_operators(pages: DataFrame, headers: dict[str, str] = OPERATOR_HEADERS
         *[c for c in found.columns if c != "cells"],
         *[F.get("cells", F.lit(i)).alias(name) for i, name in enumerate(headers.values())])
     order = [c for c in found.columns if c != "cells"]
-    numbered = add_sequence(materialise(rows, "operators"), "id", order_by=order)
+    numbered = add_sequence(rows, "id", order_by=order)
     return numbered.select("id", *headers.values())
 
 

@@ -11,11 +11,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmart.operators import cleaning, joins, keys, projection
-from starmart.operators.aggregates import latest_per_key, stop_counts, summarise
+from starmart.operators.aggregates import latest_max_by, stop_counts, summarise
 from starmart.operators.filters import exclude_status, keep_valid_detail, require_keys
 from starmart.operators.quality import conform
 from starmart.schemas import SCHEMAS, defaults
-from starmart.session import materialise
 
 ID = "_id"
 COORDINATES = ("latitude", "longitude")
@@ -78,8 +77,8 @@ def _fact(transport, passagers, gps, incidents, stops=None) -> DataFrame:
     if stops is not None:
         fact = joins.enrich(fact, stops.select("vehicle_id", "stops_count"), "vehicle_id")
     fact = joins.enrich(fact, incidents, "vehicle_id")
-    latest = latest_per_key(gps, "vehicle_id", "timestamp", "position_id").select(
-        "vehicle_id", *COORDINATES, "speed_kmh", "traffic_level")
+    latest = latest_max_by(gps, "vehicle_id", "timestamp", "position_id",
+                           ["vehicle_id", *COORDINATES, "speed_kmh", "traffic_level"])
     fact = joins.enrich(fact, latest, "vehicle_id")
     values = {c: v for c, v in defaults(SCHEMAS["fact_transport"]).items() if c in fact.columns}
     order = [c for c in SCHEMAS["fact_transport"].names if c in fact.columns]
@@ -114,10 +113,8 @@ def _summary_full(inputs: dict[str, DataFrame], excluded, round_coordinates) ->
 
     star = {
         "dim_transport": dim_transport(clean("transport", "vehicle_id")),
-        # Written once: numbering reads the order columns several times.
-        "dim_passager": dim_passager(
-            materialise(clean("passagers", "vehicle_id", "stop_id"), "passagers")),
-        "dim_gps": dim_gps(materialise(clean("gps", "vehicle_id"), "gps")),
+        "dim_passager": dim_passager(clean("passagers", "vehicle_id", "stop_id")),
+        "dim_gps": dim_gps(clean("gps", "vehicle_id")),
         "dim_incident": dim_incident(clean("incident", "Incidents_id", "vehicle_id")),
     }
     transport, passagers = star["dim_transport"], star["dim_passager"]
@@ -180,8 +177,6 @@ def build_detail_fact(inputs: dict[str, DataFrame],
                                                    if c != "vehicle_id"]])
     people = cleaning.dedupe(cleaning.trim_strings(inputs["passagers"], distinct=False),
                              ignore=[ID])
-    if ID not in people.columns and "passager_id" not in people.columns:
-        people = materialise(people, "passagers")
     people = _identified(people, "passager_id", "p", PASSAGER_ORDER).select(
         "passager_id", "vehicle_id", "passenger_count", "stop_id")
     stops = cleaning.trim_strings(inputs["stops"].drop(ID)).select(

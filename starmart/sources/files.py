@@ -60,7 +60,8 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 def list_files(spark: SparkSession, directory: str, glob: str = "*.csv") -> DataFrame:
     """Plain files of a directory by name: path, bytes, MiB cut to two decimals,
-    modification time and dataset name. File contents are not read."""
+    modification time and dataset name. File contents are not read. Spark's listing passes
+    over files of zero bytes."""
     found = (spark.read.format("binaryFile").option("pathGlobFilter", glob).load(directory)
              .select("path", "modificationTime", "length"))
     name = F.element_at(F.split("path", "/"), -1)

@@ -22,8 +22,8 @@ def save(df: DataFrame, path: str, fmt: str, empty_as_null: bool = False) -> Non
     """Replace ``path`` with the frame as ``csv`` (header, quotes doubled), ``text`` (comma
     separated, no header), ``json`` (lines; null fields left out) or ``parquet``.
 
-    In csv and text an empty string is written as ``""``, apart from null; with
-    ``empty_as_null`` both leave the field empty and come back as null.
+    In csv and text an empty string is written as ``""`` and a null as nothing; with
+    ``empty_as_null`` both as nothing. Spark reads either back as null, other readers may not.
     """
     writer = df.write.mode("overwrite")
     fmt = fmt.lower()

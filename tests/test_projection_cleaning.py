@@ -1,0 +1,117 @@
+import math
+from datetime import datetime
+
+import pytest
+from pyspark.errors import PySparkException
+
+from starmart.operators import cleaning, projection
+from tests.conftest import rows
+
+
+def test_project_orders_and_renames(spark):
+    df = spark.createDataFrame([(1, "a", 2.0)], "x int, y string, z double")
+    assert projection.project(df, ["z", "x"]).columns == ["z", "x"]
+    assert projection.project(df, {"k": "y", "v": "x"}).columns == ["k", "v"]
+
+
+def test_rename_and_drop_skip_absent_columns(spark):
+    df = spark.createDataFrame([("i", 1)], "Incidents_id string, _id int")
+    df = projection.drop_if_present(projection.rename(
+        df, {"Incidents_id": "incident_id", "nope": "x"}), "_id", "nope")
+    assert df.columns == ["incident_id"]
+
+
+def test_rename_headers_absorbs_spelling(spark):
+    df = spark.createDataFrame([("a", "b", 1)], "`Operator Name (Short Name)` string, `CITY ` string, n int")
+    out = projection.rename_headers(df, {"Operator Name (Short Name)": "operator_name", "City": "city"})
+    assert out.columns == ["operator_name", "city", "n"]
+
+
+def test_flags_read_text_and_booleans(spark):
+    df = spark.createDataFrame([("True", True), ("true", False), ("False", None), (None, True), ("x", True)],
+                               "a string, b boolean")
+    assert [tuple(r) for r in projection.flag_to_int(df, "a", "b").collect()] == [
+        (1, 1), (1, 0), (0, 0), (0, 1), (0, 1)]
+    assert [tuple(r) for r in projection.flag_to_bool(df, "a", "b").collect()] == [
+        (True, True), (True, False), (False, False), (False, True), (False, True)]
+
+
+def test_cast_strict_and_lenient(spark):
+    df = spark.createDataFrame([("1.5",), ("x",), (None,)], "v string")
+    out = projection.cast_cols(df, {"v": "double", "absent": "int"}, lenient=True)
+    assert [r["v"] for r in out.collect()] == [1.5, None, None]
+    with pytest.raises(PySparkException):
+        projection.cast_cols(df, {"v": "double"}).collect()
+
+
+def test_typed_null(spark):
+    out = projection.add_typed_null(spark.range(2), {"a": "string", "b": "int"})
+    assert dict(out.dtypes)["a"] == "string" and dict(out.dtypes)["b"] == "int"
+    assert rows(out, "a", "b") == [(None, None)] * 2
+
+
+def test_parse_ts(spark):
+    df = spark.createDataFrame([("2025-07-13 02:32:48.965652",), ("bad",), (None,)], "timestamp string")
+    out = [r[0] for r in projection.parse_ts(df, "timestamp", "absent", lenient=True).collect()]
+    assert out == [datetime(2025, 7, 13, 2, 32, 48, 965652), None, None]
+    with pytest.raises(PySparkException):
+        projection.parse_ts(df, "timestamp").collect()
+    already = spark.sql("SELECT timestamp_ntz'2025-01-01 00:00:00' AS timestamp")
+    assert projection.parse_ts(already, "timestamp").dtypes == already.dtypes
+
+
+def test_trim_strings_makes_rows_equal(spark):
+    df = spark.createDataFrame([(" a", 1), ("a ", 1), ("a", 2)], "s string, n int")
+    assert rows(cleaning.trim_strings(df)) == [("a", 1), ("a", 2)]
+    assert cleaning.trim_strings(df, distinct=False).count() == 3
+
+
+def test_fill_strings_blank_null_and_exclusion(spark):
+    df = spark.createDataFrame([(" x ", None, 1), ("   ", "", 2), (None, " y", None)],
+                               "a string, b string, n int")
+    out = cleaning.fill_strings(df, exclude=["b"])
+    assert [tuple(r) for r in out.collect()] == [("x", None, 1), ("Unknown", "", 2), ("Unknown", " y", None)]
+    assert [r["b"] for r in cleaning.blank_strings(df).collect()] == [None, None, "y"]
+
+
+def test_fill_numeric_leaves_other_types(spark):
+    df = spark.createDataFrame([(None,) * 7], "i int, l bigint, d double, f float, b boolean, "
+                               "t timestamp, c decimal(5,2)")
+    r = cleaning.fill_numeric(df).first()
+    assert (r["i"], r["l"], r["d"], r["f"]) == (0, 0, 0.0, 0.0)
+    assert (r["b"], r["t"], r["c"]) == (None, None, None)
+    assert cleaning.fill_numeric(df).dtypes == df.dtypes
+
+
+def test_fill_map_and_round(spark):
+    df = spark.createDataFrame([(None, None, 2.675), (3, "a", None)], "n int, s string, d double")
+    out = cleaning.fill_round(df, {"n": 0, "s": "Unknown", "d": 0.0}, 2)
+    assert [tuple(r) for r in out.collect()] == [(0, "Unknown", 2.68), (3, "a", 0.0)]
+    assert out.dtypes == df.dtypes
+    assert cleaning.fill_map(df, {}).collect() == df.collect()
+
+
+def test_round_floats_only_chosen(spark):
+    df = spark.createDataFrame([(14.777885, 1.005)], "latitude double, v double")
+    assert tuple(cleaning.round_floats(df, 2, exclude=["latitude"]).first())[0] == 14.777885
+    assert tuple(cleaning.round_floats(df, 2, cols=["latitude"]).first()) == (14.78, 1.005)
+
+
+def test_dedupe_ignores_technical_ids(spark):
+    df = spark.createDataFrame([("b", 1, "x"), ("a", 1, "x"), ("c", None, "x"), ("d", None, "x")],
+                               "_id string, n int, s string")
+    assert rows(cleaning.dedupe(df, ignore=["_id"])) == [("a", 1, "x"), ("c", None, "x")]
+    assert cleaning.dedupe(df).count() == 4
+    assert cleaning.dedupe(df, ignore=["_id"]).columns == df.columns
+
+
+def test_dedupe_on_columns_keeps_one_whole_row(spark):
+    df = spark.createDataFrame([(1, "b", 9), (1, "a", 7), (2, "z", 1)], "k int, s string, v int")
+    assert rows(cleaning.dedupe(df, ["k"])) == [(1, "a", 7), (2, "z", 1)]
+
+
+def test_nan_to_null(spark):
+    df = spark.createDataFrame([(math.nan, 1), (1.5, 2), (None, 3)], "d double, n int")
+    assert [r["d"] for r in cleaning.nan_to_null(df).collect()] == [None, 1.5, None]
+    f = df.selectExpr("cast(d as float) d")
+    assert cleaning.nan_to_null(f).dtypes == [("d", "float")]

@@ -49,30 +49,29 @@ def null_profile(df: DataFrame) -> DataFrame:
 def distinct_profile(df: DataFrame, cols=None, approx: bool = False) -> DataFrame:
     """Distinct values per text column (or ``cols``), a null counting as one value.
 
-    Exact form: cells are grouped by (column, value), first inside each task, so a value
-    that fills the table is one row per task; a second grouping counts the values. One scan
-    serves all columns. A text longer than its SHA-256 digest travels as the digest of the
-    whole text. ``approx`` keeps a sketch per column instead and shuffles no values.
+    Exact form: one branch per column, reading that column alone and grouping it by value,
+    first inside each task, so a value that fills the table is one row per task. All
+    branches run in one job. A text longer than its SHA-256 digest travels as the digest of
+    the whole text. Materialise a frame that is costly to compute before profiling it.
+    ``approx`` keeps a sketch per column in a single scan and shuffles no values.
     """
     cols = cols or [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    if approx:
+    if approx or not cols:
         return _per_column(df, cols, {
             "distinct_values": lambda c: F.approx_count_distinct(c)
             + F.coalesce(F.max(c.isNull().cast("int")), F.lit(0))}, "distinct_values long")
-    names = df.sparkSession.createDataFrame([(c,) for c in cols], "column string")
-    if not cols:
-        return names.withColumn("distinct_values", F.lit(0).cast("long"))
+
     def value(c):
-        text = F.col(f"`{c}`").cast("string")
-        return F.when(F.length(text) > 63, F.sha2(text, 256)).otherwise(text)
-
-    # A digest is 64 characters long, so it never equals a text that travels as it is.
-    cells = df.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column"), value(c).alias("value")) for c in cols])))
-    counted = (cells.groupBy("column", "value").agg(F.lit(1).alias("one"))
-               .groupBy("column").agg(F.count("*").alias("distinct_values")))
-    return (names.join(counted, "column", "left")
-            .select("column", F.coalesce("distinct_values", F.lit(0)).alias("distinct_values")))
+        v = F.col(f"`{c}`")
+        if not isinstance(df.schema[c].dataType, T.StringType):
+            return v
+        # A digest is 64 characters long, so it never equals a text that travels as it is.
+        return F.when(F.length(v) > 63, F.sha2(v, 256)).otherwise(v)
+
+    return reduce(DataFrame.unionByName, [
+        df.groupBy(value(c).alias("value")).agg(F.lit(1).alias("one"))
+        .agg(F.count("*").alias("distinct_values"))
+        .select(F.lit(c).alias("column"), "distinct_values") for c in cols])
 
 
 def shape(df: DataFrame) -> DataFrame:

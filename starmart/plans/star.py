@@ -67,17 +67,21 @@ def dim_stop(df: DataFrame) -> DataFrame:
     return df.select(*SCHEMAS["dim_stop"].names)
 
 
-def _fact(transport, passagers, gps, incidents, stops=None) -> DataFrame:
+def _fact(transport, passagers, gps, incidents, tie, stops=None) -> DataFrame:
     """One row per vehicle: its attributes, sums, counts and latest position.
 
     Every summary leaves its aggregation partitioned by vehicle_id, which is how the joins
     need it, so each input is shuffled once and the joins add no shuffle of their own.
     """
-    fact = joins.enrich(transport, passagers, "vehicle_id")
+    fact = joins.enrich(transport, summarise(
+        passagers, "vehicle_id", {"total_passengers": "passenger_count"},
+        count_as="passenger_records"), "vehicle_id")
     if stops is not None:
         fact = joins.enrich(fact, stops.select("vehicle_id", "stops_count"), "vehicle_id")
-    fact = joins.enrich(fact, incidents, "vehicle_id")
-    latest = latest_max_by(gps, "vehicle_id", "timestamp", "position_id",
+    fact = joins.enrich(fact, summarise(
+        incidents, "vehicle_id", {"total_delay_minutes": "delay_minutes"},
+        count_as="incident_count"), "vehicle_id")
+    latest = latest_max_by(gps, "vehicle_id", "timestamp", tie,
                            ["vehicle_id", *COORDINATES, "speed_kmh", "traffic_level"])
     fact = joins.enrich(fact, latest, "vehicle_id")
     values = {c: v for c, v in defaults(SCHEMAS["fact_transport"]).items() if c in fact.columns}
@@ -87,13 +91,9 @@ def _fact(transport, passagers, gps, incidents, stops=None) -> DataFrame:
 
 def fact_summary(inputs: dict[str, DataFrame]) -> DataFrame:
     """The live form of the fact, straight from the inputs."""
-    return _fact(
-        dim_transport(inputs["transport"]),
-        summarise(inputs["passagers"], "vehicle_id", {"total_passengers": "passenger_count"},
-                  count_as="passenger_records"),
-        dim_gps(inputs["gps"]),
-        summarise(inputs["incident"], "vehicle_id", {"total_delay_minutes": "delay_minutes"},
-                  count_as="incident_count"))
+    gps = projection.parse_ts(inputs["gps"], "timestamp")
+    return _fact(dim_transport(inputs["transport"]), inputs["passagers"], gps,
+                 inputs["incident"], ID if ID in gps.columns else "route_id")
 
 
 def _clean(df: DataFrame, key_cols, round_coordinates: bool) -> DataFrame:
@@ -107,58 +107,66 @@ def _clean(df: DataFrame, key_cols, round_coordinates: bool) -> DataFrame:
                                  exclude=() if round_coordinates else COORDINATES)
 
 
-def _summary_full(inputs: dict[str, DataFrame], excluded, round_coordinates) -> dict:
+def _summary_full(inputs, wanted, excluded, round_coordinates) -> dict[str, DataFrame]:
     def clean(name, *key_cols):
         return _clean(inputs[name], key_cols, round_coordinates)
 
-    star = {
-        "dim_transport": dim_transport(clean("transport", "vehicle_id")),
-        "dim_passager": dim_passager(clean("passagers", "vehicle_id", "stop_id")),
-        "dim_gps": dim_gps(clean("gps", "vehicle_id")),
-        "dim_incident": dim_incident(clean("incident", "Incidents_id", "vehicle_id")),
-    }
-    transport, passagers = star["dim_transport"], star["dim_passager"]
-    stops = keys.assign_round_robin(clean("stops", "stop_id"), "stop_id", transport, "vehicle_id")
-    star["dim_stop"] = dim_stop(stops)
-    bridge = joins.stop_passager_bridge(stops.select("stop_id", "vehicle_id"), passagers,
-                                        unique_ids=True)
-    star["bridge_stop_passager"] = cleaning.fill_map(bridge, {"passager_id": "0"})
-
-    in_service = transport if excluded is None else exclude_status(transport, "status", excluded)
-    fact = _fact(
-        in_service,
-        summarise(passagers, "vehicle_id", {"total_passengers": "passenger_count"},
-                  {"passenger_records": "passager_id"}),
-        star["dim_gps"],
-        summarise(star["dim_incident"], "vehicle_id",
-                  {"total_delay_minutes": "delay_minutes"}, {"incident_count": "incident_id"}),
-        stop_counts(stops, passagers))
-    star["fact_transport"] = cleaning.round_floats(
-        fact, exclude=() if round_coordinates else COORDINATES)
-    return star
+    transport = dim_transport(clean("transport", "vehicle_id"))
+    passagers = clean("passagers", "vehicle_id", "stop_id")
+    gps = clean("gps", "vehicle_id")
+    incidents = dim_incident(clean("incident", "Incidents_id", "vehicle_id"))
+    # Numbering writes a table; it is done for the tables asked for, and the fact then
+    # reads the written one instead of cleaning again.
+    if wanted & {"dim_passager", "bridge_stop_passager"}:
+        passagers = dim_passager(passagers)
+    if "dim_gps" in wanted:
+        gps = dim_gps(gps)
+    tables = {"dim_transport": transport, "dim_passager": passagers, "dim_gps": gps,
+              "dim_incident": incidents}
+    if wanted & {"dim_stop", "bridge_stop_passager", "fact_transport"}:
+        stops = keys.assign_round_robin(
+            clean("stops", "stop_id"), "stop_id", transport, "vehicle_id")
+        tables["dim_stop"] = dim_stop(stops)
+    if "bridge_stop_passager" in wanted:
+        bridge = joins.stop_passager_bridge(
+            stops.select("stop_id", "vehicle_id"), passagers, unique_ids=True)
+        tables["bridge_stop_passager"] = cleaning.fill_map(bridge, {"passager_id": "0"})
+    if "fact_transport" in wanted:
+        if excluded is not None:
+            transport = exclude_status(transport, "status", excluded)
+        fact = _fact(transport, passagers, projection.parse_ts(gps, "timestamp"), incidents,
+                     "route_id", stop_counts(stops, passagers))
+        tables["fact_transport"] = cleaning.round_floats(
+            fact, exclude=() if round_coordinates else COORDINATES)
+    return tables
 
 
 def build_star(inputs: dict[str, DataFrame], variant: str = "summary",
-               excluded_status: str | None = OUT_OF_SERVICE,
-               round_coordinates: bool = False) -> dict[str, DataFrame]:
-    """All tables of the star, lazily.
+               excluded_status: str | None = OUT_OF_SERVICE, round_coordinates: bool = False,
+               tables=None) -> dict[str, DataFrame]:
+    """The tables of the star; with ``tables`` only those, and no work for the others.
 
     ``summary`` takes the inputs as they are and keeps every vehicle. ``summary_full``
     cleans them first, numbers passenger records and positions, gives each stop a vehicle
     in turn, adds ``stops_count`` and the stop–passenger bridge, and leaves vehicles of
     ``excluded_status`` out of the fact.
     """
+    names = ["dim_transport", "dim_passager", "dim_gps", "dim_incident", "dim_stop",
+             "fact_transport"]
     if variant == "summary":
-        return {
-            "dim_transport": dim_transport(inputs["transport"]),
-            "dim_passager": dim_passager(inputs["passagers"]),
-            "dim_gps": dim_gps(inputs["gps"]),
-            "dim_incident": dim_incident(inputs["incident"]),
-            "dim_stop": dim_stop(inputs["stops"]),
-            "fact_transport": fact_summary(inputs),
+        make = {
+            "dim_transport": lambda: dim_transport(inputs["transport"]),
+            "dim_passager": lambda: dim_passager(inputs["passagers"]),
+            "dim_gps": lambda: dim_gps(inputs["gps"]),
+            "dim_incident": lambda: dim_incident(inputs["incident"]),
+            "dim_stop": lambda: dim_stop(inputs["stops"]),
+            "fact_transport": lambda: fact_summary(inputs),
         }
+        return {n: make[n]() for n in tables or names}
     if variant == "summary_full":
-        return _summary_full(inputs, excluded_status, round_coordinates)
+        wanted = tables or [*names, "bridge_stop_passager"]
+        built = _summary_full(inputs, set(wanted), excluded_status, round_coordinates)
+        return {n: built[n] for n in wanted}
     raise ValueError(f"unknown variant: {variant}")
 
 

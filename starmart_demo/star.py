@@ -12,7 +12,7 @@ from starmart_demo.registry import query, table
 
 @query(f"WITH {SUMMARY_CTES} SELECT * FROM fact")
 def fact_summary(spark, sf):
-    return star.build_star(star_inputs(spark, sf))["fact_transport"]
+    return star.build_star(star_inputs(spark, sf), tables=["fact_transport"])["fact_transport"]
 
 
 FULL_CTES = SUMMARY_CTES + """,
@@ -45,7 +45,8 @@ LEFT JOIN people_full p ON f.vehicle_id = p.vehicle_id
 WHERE status <> 'MACHINERY'
 """)
 def fact_summary_full(spark, sf):
-    return star.build_star(star_inputs(spark, sf), "summary_full", "MACHINERY")["fact_transport"]
+    return star.build_star(star_inputs(spark, sf), "summary_full", "MACHINERY",
+                           tables=["fact_transport"])["fact_transport"]
 
 
 @query(f"""
@@ -54,7 +55,8 @@ SELECT g.stop_id, g.vehicle_id, coalesce(n.passager_id, '0') AS passager_id
 FROM given g LEFT JOIN numbered n ON g.stop_id = n.stop_id
 """)
 def bridge_stop_passager(spark, sf):
-    return star.build_star(star_inputs(spark, sf), "summary_full")["bridge_stop_passager"]
+    return star.build_star(star_inputs(spark, sf), "summary_full",
+                           tables=["bridge_stop_passager"])["bridge_stop_passager"]
 
 
 @query(f"""

@@ -32,6 +32,28 @@ def test_attach_many_equals_left_join(spark):
     assert out.columns == ["k", "v", "w"]
 
 
+def test_a_hot_key_is_split_between_tasks(spark):
+    """A third of the children under one key: the join splits that partition at run time."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        parent = spark.range(3000).selectExpr("id AS k", "id AS v")
+        child = spark.range(0, 60_000, 1, 8).selectExpr(
+            "CASE WHEN id % 3 = 0 THEN 7 ELSE id % 4000 END AS k", "id AS w", "sha2(string(id), 256) AS s")
+        out = joins.attach_many(parent, child, "k")
+        assert out.select("w").count() == parent.join(child, "k", "left").count()
+        out.collect()
+        assert "skew=true" in plan(out)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_bridge_join_and_pairs(spark):
     passes = spark.createDataFrame([("v1", "s1"), ("v1", "s1"), ("v1", "s2"), ("v2", "s9")],
                                    "vehicle_id string, stop_id string")

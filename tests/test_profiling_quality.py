@@ -47,11 +47,15 @@ def test_distinct_profile_counts_null_once(spark, mixed):
     assert rows(profiling.distinct_profile(df.limit(0))) == [("a", 0), ("b", 0), ("long", 0)]
     assert rows(profiling.distinct_profile(df.limit(0), approx=True)) == [("a", 0), ("b", 0), ("long", 0)]
     assert profiling.distinct_profile(mixed.select("n")).count() == 0
+    assert rows(profiling.distinct_profile(mixed, mixed.columns)) == [
+        ("b", 3), ("c", 1), ("d", 3), ("n", 3), ("s", 2)]
 
 
-def test_distinct_profile_scans_once(mixed):
-    text = plan(profiling.distinct_profile(mixed, ["s", "b", "n"]))
-    assert text.count("Generate") == 1 and "Expand" not in text
+def test_distinct_profile_reads_each_column_once(mixed, folder):
+    mixed.write.parquet(folder("t"))
+    text = plan(profiling.distinct_profile(mixed.sparkSession.read.parquet(folder("t")), ["s", "b", "n"]))
+    assert text.count("FileScan") == 3 and "Expand" not in text
+    assert all(f"ReadSchema: struct<{c}>" in text for c in ("s:string", "b:boolean", "n:int"))
 
 
 def test_shape_and_bounded_count(spark):
@@ -126,6 +130,20 @@ def test_fit_reports_instead_of_failing(spark):
     assert rows(out) == [("latitude", 1), ("speed_kmh", 1), ("vehicle_id", 1)]
 
 
+def test_fit_of_numbers_agrees_with_a_trial_cast(spark):
+    values = [0.0, 999.994, 999.995, -999.996, 1000.0, 32767.9, 32768.0, -32768.9, -32769.0, 1e30,
+              float("nan"), float("inf"), None]
+    df = spark.createDataFrame([(v,) for v in values], "d double")
+    for dtype in (T.DecimalType(5, 2), T.ShortType(), T.IntegerType(), T.LongType(), T.DecimalType(38, 8)):
+        found = quality.check_fit(df, T.StructType([schemas.column("d", dtype)])).first()["violations"]
+        tried = df.filter(F.col("d").isNotNull() & F.col("d").try_cast(dtype).isNull()).count()
+        assert found == tried, dtype
+    wide = spark.createDataFrame([(2**31,), (2**31 - 1,), (-2**31 - 1,), (-2**31,)], "n long")
+    assert quality.check_fit(wide, T.StructType([schemas.integer("n")])).first()["violations"] == 2
+    exact = spark.sql("SELECT explode(array(99.994, 99.995, -99.995, 1.0)) AS c")
+    assert quality.check_fit(exact, T.StructType([schemas.number("c", 4, 2)])).first()["violations"] == 2
+
+
 def test_domain_rules(spark):
     df = spark.createDataFrame([("Minicar", 25, 14.7), ("Minicar", 80, 14.7), ("Avion", 25, 50.0), (None, None, None)],
                                "type_transport string, capacity int, latitude double")

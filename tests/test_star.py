@@ -155,6 +155,13 @@ def test_detail_and_pairs_say_what_the_fan_out_says(spark, inputs):
     assert fan_out.count() == sum(max(1, by_pass.get(v, 0)) * max(1, by_stop.get(v, 0)) for v in ids) == 9
 
 
+def test_only_the_tables_asked_for(inputs):
+    fact = star.build_star(inputs, "summary_full", tables=["fact_transport"])
+    assert list(fact) == ["fact_transport"]
+    assert rows(fact["fact_transport"]) == rows(star.build_star(inputs, "summary_full")["fact_transport"])
+    assert list(star.build_star(inputs, tables=["dim_stop"])) == ["dim_stop"]
+
+
 def test_unknown_variant(inputs):
     with pytest.raises(ValueError):
         star.build_star(inputs, "other")

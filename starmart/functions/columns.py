@@ -62,7 +62,3 @@ def document_text(c: Column, dtype: T.DataType) -> Column:
         value = c.cast("string")
     return F.coalesce(value, F.lit(""))
 
-
-def same_value(a: Column, b: Column) -> Column:
-    """Null-safe equality, usable as a join condition."""
-    return a.eqNullSafe(b)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from functools import cache
 from uuid import uuid4
 
 from pyspark.sql import SparkSession
@@ -19,9 +20,12 @@ def scratch_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.conf.get("spark.master", "local").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    root = tempfile.mkdtemp(prefix="starmart-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return _local_root()
+
+
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="starmart-")
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:

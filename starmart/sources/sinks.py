@@ -11,7 +11,13 @@ from pyspark.sql import functions as F
 
 
 def write_table(df: DataFrame, root: str, name: str, partition_by=()) -> None:
-    """Replace the Parquet directory of a table."""
+    """Replace the Parquet directory of a table, split into folders by ``partition_by``.
+
+    Rows are first brought together by folder, or every task would leave a small file in
+    each; adaptive execution cuts a folder that holds much of the data into several tasks.
+    """
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

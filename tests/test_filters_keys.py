@@ -1,3 +1,4 @@
+import os
 from collections import Counter
 
 import pytest
@@ -125,5 +126,7 @@ def test_a_cluster_needs_the_shared_folder():
 
     with pytest.raises(ValueError):
         scratch_root(Session())
+    Session.conf = Conf({"spark.master": "local[2]"})
+    assert scratch_root(Session()) == scratch_root(Session()) and os.path.isdir(scratch_root(Session()))
     Session.conf = Conf({"spark.master": "spark://host", "spark.checkpoint.dir": "hdfs:///cp/"})
     assert scratch_root(Session()) == "hdfs:///cp"

@@ -65,8 +65,8 @@ def distinct_profile(df: DataFrame, cols=None, approx: bool = False) -> DataFram
         v = F.col(f"`{c}`")
         if not isinstance(df.schema[c].dataType, T.StringType):
             return v
-        # A digest is 64 characters long, so it never equals a text that travels as it is.
-        return F.when(F.length(v) > 63, F.sha2(v, 256)).otherwise(v)
+        # A digest is 64 bytes long, so it never equals a text that travels as it is.
+        return F.when(F.octet_length(v) > 63, F.sha2(v, 256)).otherwise(v)
 
     return reduce(DataFrame.unionByName, [
         df.groupBy(value(c).alias("value")).agg(F.lit(1).alias("one"))

@@ -102,7 +102,8 @@ def _clean(df: DataFrame, key_cols, round_coordinates: bool) -> DataFrame:
     Keys are tested before missing text is filled, or the test could never fail.
     """
     df = require_keys(cleaning.blank_strings(df.drop(ID)), *key_cols)
-    df = cleaning.fill_numeric(cleaning.fill_strings(df))
+    texts = {c: "Unknown" for c, t in df.dtypes if t == "string"}
+    df = cleaning.fill_numeric(cleaning.fill_map(df, texts))
     return cleaning.round_floats(cleaning.dedupe(df),
                                  exclude=() if round_coordinates else COORDINATES)
 

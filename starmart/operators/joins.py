@@ -20,15 +20,18 @@ def enrich(df: DataFrame, other: DataFrame, key, broadcast_below: int | None = N
     return df.join(other, key, "left")
 
 
-def attach_many(parent: DataFrame, child: DataFrame, key: str) -> DataFrame:
-    """Left join to a frame with any number of rows per key; the parent has one per key.
+def attach_many(parent: DataFrame, child: DataFrame, key: str,
+                child_keys: DataFrame | None = None) -> DataFrame:
+    """Left join to a frame with any number of rows per key.
 
     Written as matching rows plus childless parents. A left outer join cannot split the
     right side, so a key holding a third of the children would land in one task; in the
-    inner join the children are on the left and can be split.
+    inner join the children are on the left and can be split. ``child_keys`` is a cheaper
+    way to the keys of ``child`` than the child itself.
     """
     matched = child.join(parent, key)
-    childless = parent.join(child.select(key).distinct(), key, "left_anti")
+    present = (child if child_keys is None else child_keys).select(key).distinct()
+    childless = parent.join(present, key, "left_anti")
     order = [*parent.columns, *[c for c in child.columns if c not in parent.columns]]
     return matched.unionByName(childless, allowMissingColumns=True).select(*order)
 
@@ -45,7 +48,7 @@ def bridge_join(df: DataFrame, bridge: DataFrame, dim: DataFrame, k1: str, k2: s
     rows by ``k1``. With one row per ``k1`` in ``df`` the result is as long as the bridge.
     """
     pairs = bridge.select(k1, k2).distinct()
-    return df.join(pairs.join(dim, k2, "left"), k1, "left")
+    return attach_many(df, pairs.join(dim, k2, "left"), k1, child_keys=pairs)
 
 
 def stop_passager_bridge(stops: DataFrame, passagers: DataFrame,

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.operators import aggregates, joins, profiling
+from starmart import schemas
+from starmart.operators import aggregates, joins, profiling, quality
 
 
 def profile(df: DataFrame, approx: bool = False) -> DataFrame:
@@ -44,3 +47,28 @@ def kpis(fact: DataFrame, k: int = 10) -> dict[str, DataFrame]:
 def warehouse_summary(tables: dict[str, DataFrame]) -> DataFrame:
     """Rows, columns and share of all rows per table."""
     return profiling.row_share(tables)
+
+
+def quality_report(star: dict[str, DataFrame]) -> DataFrame:
+    """What stands against publishing: per table and column the keys that are repeated or
+    missing (``key``), the values that do not fit (``fit``), and the keys that refer to
+    nothing (``reference``)."""
+    def finding(check, table, column, count):
+        return count.select(F.lit(check).alias("check"), F.lit(table).alias("table_name"),
+                            F.lit(column).alias("column"), "findings")
+
+    total = F.count("*").alias("findings")
+    parts = []
+    for name, df in star.items():
+        if name not in schemas.SCHEMAS:
+            continue
+        keys = schemas.primary_key(schemas.SCHEMAS[name])
+        parts.append(finding("key", name, ", ".join(keys), quality.check_pk(df, keys).agg(total)))
+        parts.append(quality.check_fit(df, schemas.SCHEMAS[name]).select(
+            F.lit("fit").alias("check"), F.lit(name).alias("table_name"), "column",
+            F.col("violations").alias("findings")))
+    for child, fk, parent, pk in schemas.FOREIGN_KEYS:
+        if child in star and parent in star:
+            orphans = quality.check_fk(star[child], fk, star[parent], pk)
+            parts.append(finding("reference", child, fk, orphans.agg(total)))
+    return reduce(DataFrame.unionByName, parts)

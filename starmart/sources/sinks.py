@@ -9,6 +9,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starmart.operators.cleaning import dedupe
+
 
 def write_table(df: DataFrame, root: str, name: str, partition_by=()) -> None:
     """Replace the Parquet directory of a table, split into folders by ``partition_by``.
@@ -60,7 +62,7 @@ def append(df: DataFrame, path: str, dedupe_on=None) -> None:
     whose values of those columns (null equal to null) are not stored yet are added.
     """
     if dedupe_on is not None:
-        df = df.dropDuplicates(list(dedupe_on))
+        df = dedupe(df, dedupe_on)
         stored = _existing(df.sparkSession, path)
         if stored is not None:
             s, d = stored.select(*dedupe_on).alias("s"), df.alias("d")

@@ -340,6 +340,22 @@ def relationship_report(spark, sf):
     return reports.relationship_report(star.build_star(star_inputs(spark, sf)))
 
 
+@query(f"""
+WITH {SUMMARY_CTES}
+SELECT 'reference' AS check, 'dim_passager' AS table_name, 'stop_id' AS column,
+       count(DISTINCT stop_id) AS findings
+FROM passagers WHERE stop_id NOT IN (SELECT stop_id FROM stops) HAVING count(*) > 0
+UNION ALL
+SELECT 'fit', 'dim_gps', 'latitude', count(*) FROM gps
+WHERE abs(round(latitude, 8)) >= 100 HAVING count(*) > 0
+UNION ALL
+SELECT 'fit', 'fact_transport', 'latitude', count(*) FROM fact
+WHERE abs(round(latitude, 8)) >= 100 HAVING count(*) > 0
+""")
+def quality_report(spark, sf):
+    return reports.quality_report(star.build_star(star_inputs(spark, sf))).filter("findings > 0")
+
+
 SQL_TEXT = """
 SELECT n_name, c_mktsegment, count(*) AS customers,
        CAST(sum(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) AS balance

@@ -187,6 +187,14 @@ def test_fact_shuffles_each_input_once(spark, inputs):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_quality_report(inputs):
+    found = reports.quality_report(star.build_star(inputs)).filter("findings > 0")
+    assert rows(found) == [
+        ("fit", "dim_gps", "speed_kmh", 2), ("fit", "fact_transport", "speed_kmh", 1),
+        ("key", "dim_transport", "vehicle_id", 1), ("key", "fact_transport", "vehicle_id", 1),
+        ("reference", "dim_passager", "stop_id", 1), ("reference", "dim_passager", "vehicle_id", 1)]
+
+
 def test_reports(inputs):
     tables = star.build_star(inputs, "summary_full")
     out = rows(reports.relationship_report(tables))

@@ -10,7 +10,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.llm import byte_bpe, histogram_sort, mixing, token_counts
+from starmart.llm import (
+    ball_tree,
+    byte_bpe,
+    cotraining,
+    fingerprints,
+    histogram_sort,
+    language_id,
+    licences,
+    mixing,
+    near_dedup,
+    token_counts,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -31,6 +42,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query()
+def op1_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every text."""
+    return language_id.identify(table(spark, sf_dir, "documents")).select(
+        "doc_id", "held_out", "lang_pred", "score")
+
+
+@query()
+def op2_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of every document."""
+    docs = table(spark, sf_dir, "documents")
+    views = cotraining.fit(docs, table(spark, sf_dir, "labels"))
+    return cotraining.with_quality(docs, views).select("doc_id", "text_score", "page_score", "score", "keep")
+
+
 @query()
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text, decoded again."""
@@ -41,6 +67,61 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def _licence_sql() -> str:
+    """Sentences and rules as values; an occurrence grows by one sentence in each step."""
+    known = ", ".join(f"('{i}', '{text}')" for i, text in licences.SENTENCES.items())
+    rules = ", ".join(f"({n}, '{licence}', {step}, '{i}')" for n, (licence, ids) in enumerate(licences.RULES)
+                      for step, i in enumerate(ids, 1))
+    return rf"""
+    WITH RECURSIVE known(id, sentence) AS (VALUES {known}), rules(rule, licence, step, id) AS (VALUES {rules}),
+    cut AS (SELECT row_number() OVER () AS place, doc_id, string_split(regexp_replace(coalesce(text, ''),
+                   '([.!?])[ \t\r\x0B\f]+', '\1' || chr(10), 'g'), chr(10)) AS parts FROM documents),
+    sentences AS (SELECT place, unnest(range(len(parts))) AS position, unnest(parts) AS part FROM cut),
+    hits AS (SELECT place, position, id FROM sentences JOIN known
+             ON trim(regexp_replace(lower(part), '[^\pL\pN]+', ' ', 'g')) = sentence),
+    grown AS (SELECT place, rule, licence, position AS first, position AS last, 1 AS step
+              FROM hits JOIN rules USING (id) WHERE step = 1
+              UNION ALL
+              SELECT g.place, g.rule, g.licence, g.first, min(h.position), g.step + 1
+              FROM grown g JOIN rules r ON r.rule = g.rule AND r.step = g.step + 1
+              JOIN hits h ON h.place = g.place AND h.id = r.id AND h.position > g.last
+                         AND h.position <= g.last + {licences.GAP + 1}
+              GROUP BY g.place, g.rule, g.licence, g.first, g.step),
+    matches AS (SELECT place, licence FROM grown g
+                WHERE step = (SELECT max(step) FROM rules r WHERE r.rule = g.rule)),
+    found AS (SELECT place, string_agg(DISTINCT licence, ',' ORDER BY licence) AS licences, count(*) AS n
+              FROM matches GROUP BY place),
+    counted AS (SELECT place, count(*) AS n FROM hits GROUP BY place)
+    SELECT doc_id, coalesce(c.n, 0)::INTEGER AS n_known, coalesce(licences, '') AS licences,
+           coalesce(f.n, 0)::INTEGER AS n_matches
+    FROM cut LEFT JOIN found f USING (place) LEFT JOIN counted c USING (place)
+    """
+
+
+@query(_licence_sql())
+def op4_sentence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The licences that every text names or contains."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return licences.scan(docs).select(
+        "doc_id", F.size("sentences").alias("n_known"), F.array_join("licences", ",").alias("licences"),
+        F.size("matches").alias("n_matches"))
+
+
+@query("""
+    WITH clean AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings
+                   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+                     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    scored AS (SELECT q.vec_id AS query_id, c.vec_id,
+                      list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
+               FROM clean q JOIN clean c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
+    SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+""")
+def op5_ball_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best partners of every 20th vector."""
+    return ball_tree.top_k(table(spark, sf_dir, "embeddings"))
+
+
 @query()
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every text."""
@@ -49,6 +130,12 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+@query()
+def op7_locally_consistent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and of an edit of it, and how alike they are."""
+    return fingerprints.compare_with_next(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query()
 def op8_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 16 shards of equal bytes."""
@@ -80,3 +167,26 @@ def op9_poisson_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A mixture as large as the corpus in which every source has the same share."""
     docs = table(spark, sf_dir, "documents")
     return mixing.mix(docs).select("doc_id", "source", "repetitions", "copy")
+
+
+@query(r"""
+    WITH RECURSIVE texts AS (SELECT text, min(doc_id) AS node FROM documents WHERE text IS NOT NULL GROUP BY text),
+    words AS (SELECT node, list_filter(string_split_regex(text, '[ \t\n\x0B\f\r]+'), lambda w: w <> '') AS w FROM texts),
+    shingles AS (SELECT DISTINCT node, unnest(list_transform(range(greatest(1, len(w) - 4)),
+                        lambda i: array_to_string(w[i + 1:i + 5], ' '))) AS s FROM words WHERE len(w) > 0),
+    sizes AS (SELECT node, count(*) AS n FROM shingles GROUP BY node),
+    shared AS (SELECT a.node AS x, b.node AS y, count(*) AS n FROM shingles a JOIN shingles b USING (s)
+               WHERE a.node < b.node GROUP BY ALL),
+    links AS (SELECT x, y FROM shared JOIN sizes a ON a.node = x JOIN sizes b ON b.node = y
+              WHERE shared.n >= 0.8 * (a.n + b.n - shared.n)),
+    ways AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+    reached(node, other) AS (SELECT node, node FROM texts
+                             UNION SELECT r.node, b.y FROM reached r JOIN ways b ON b.x = r.other),
+    classes AS (SELECT node, min(other) AS class_id FROM reached GROUP BY node)
+    SELECT d.doc_id, coalesce(c.class_id, d.doc_id) AS class_id
+    FROM documents d LEFT JOIN texts t ON d.text = t.text LEFT JOIN classes c USING (node)
+""")
+def op10_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of near copies that every document belongs to."""
+    return near_dedup.near_classes(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "class_id")

@@ -18,7 +18,7 @@ whether or not they are valid UTF-8.
 from __future__ import annotations
 
 import base64
-import heapq
+import sys
 from array import array
 from functools import cache
 
@@ -26,6 +26,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import regex
+import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,21 +34,28 @@ from starmart.llm.common import per_text, quoted, without
 
 #: What the pattern may look at beyond a pre-token's end.
 LOOKAHEAD = 2
-MAX_PIECES, KEPT_PIECE, SHORT = 300_000, 40, 24
-#: A single blank before something else, which always begins a pre-token; anything else is odd.
-ODD_BLANK = regex.compile(r" (?!\P{White_Space})|[\x1c-\x1f]")
+MAX_WORDS, KEPT_WORD = 200_000, 40
+
+
+class OddBlank(Exception):
+    """Not a single blank before something visible."""
 
 
 class Vocabulary(dict):
-    """Ids by token bytes; pre-tokens met before are kept as packed ids under their text."""
+    """The vocabulary, and packed ids of the words met lately, by word.
+
+    The merging of one pre-token is left to the tokenizer library, which does it in a microsecond.
+    """
 
     def __init__(self, path: str, pattern: str):
         super().__init__()
         with open(path, "rb") as f:
-            self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
-        self.token = [b""] * (max(self.ranks.values()) + 1)
-        for token, rank in self.ranks.items():
+            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, f)}
+        self.token = [b""] * (max(ranks.values()) + 1)
+        for token, rank in ranks.items():
             self.token[rank] = token
+        self.merged = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks,
+                                        special_tokens={})._encode_single_piece
         # white space is the Unicode property, as in the pattern's own library
         self.pattern = regex.compile(pattern.replace(r"[^\s", r"[^\p{White_Space}")
                                      .replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
@@ -57,9 +65,11 @@ class Vocabulary(dict):
         """Packed ids of what stands between two blanks, with the blank before it."""
         packed = self.aside.get(word)
         if packed is None:
-            packed = b"".join(map(self.piece, self.pattern.findall(" " + word)))
-        if len(word) <= KEPT_PIECE:
-            if len(self) >= MAX_PIECES:
+            if not word or word[0].isspace():
+                raise OddBlank
+            packed = self.scanned(" " + word)
+        if len(word) <= KEPT_WORD:
+            if len(self) >= MAX_WORDS:
                 self.aside = dict(self)
                 self.clear()
             self[word] = packed
@@ -67,19 +77,22 @@ class Vocabulary(dict):
 
     def piece(self, piece: str) -> bytes:
         """Packed ids of one pre-token."""
-        raw = piece.encode()
-        rank = self.ranks.get(raw)
-        ids = [rank] if rank is not None else merge_short(raw, self.ranks) if len(raw) <= SHORT \
-            else merge_long(raw, self.ranks)
-        return np.array(ids, "<u4").tobytes()
+        ids = array("I", self.merged(piece))
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
+
+    def scanned(self, text: str) -> bytes:
+        return b"".join(map(self.piece, self.pattern.findall(text)))
 
     def encode(self, text: str) -> bytes:
-        if not text:
-            return b""
-        if ODD_BLANK.search(text):
-            return b"".join(map(self.piece, self.pattern.findall(text)))
+        """A single blank before something visible always begins a pre-token, so that most texts
+        can be taken word by word."""
         first, *words = text.split(" ")
-        return b"".join(map(self.piece, self.pattern.findall(first))) + b"".join(map(self.__getitem__, words))
+        try:
+            return self.scanned(first) + b"".join(map(self.__getitem__, words))
+        except OddBlank:
+            return self.scanned(text)
 
     def decode(self, packed: bytes) -> bytes:
         return b"".join(map(self.token.__getitem__, np.frombuffer(packed, "<u4").tolist()))
@@ -90,48 +103,6 @@ def vocabulary_of(path: str, pattern: str) -> Vocabulary:
     return Vocabulary(path, pattern)
 
 
-def merge_short(raw: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Merge the neighbours of lowest rank, the leftmost first, until none can be merged."""
-    parts = [raw[i:i + 1] for i in range(len(raw))]
-    over = len(ranks)
-    pairs = [ranks.get(a + b, over) for a, b in zip(parts, parts[1:])]
-    while pairs and (low := min(pairs)) < over:
-        at = pairs.index(low)
-        parts[at:at + 2] = [parts[at] + parts[at + 1]]
-        del pairs[at]
-        if at:
-            pairs[at - 1] = ranks.get(parts[at - 1] + parts[at], over)
-        if at < len(pairs):
-            pairs[at] = ranks.get(parts[at] + parts[at + 1], over)
-    return [ranks[p] for p in parts]
-
-
-def merge_long(raw: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """The same in n log n: a heap of candidate pairs over a linked list of parts."""
-    n = len(raw)
-    end = array("q", range(1, n + 1))  # where the part that starts here ends; 0: no part starts here
-    back = array("q", range(-1, n - 1))  # where the part before this one starts
-    heap = [(r, i, i + 2) for i in range(n - 1) if (r := ranks.get(raw[i:i + 2])) is not None]
-    heapq.heapify(heap)
-    while heap:
-        _, at, stop = heapq.heappop(heap)
-        middle = end[at]
-        if not middle or middle >= n or end[middle] != stop:
-            continue  # one of the two parts is no longer there
-        end[at], end[middle] = stop, 0
-        if stop < n:
-            back[stop] = at
-            if (r := ranks.get(raw[at:end[stop]])) is not None:
-                heapq.heappush(heap, (r, at, end[stop]))
-        if (left := back[at]) >= 0 and (r := ranks.get(raw[left:stop])) is not None:
-            heapq.heappush(heap, (r, left, stop))
-    ids, at = [], 0
-    while at < n:
-        ids.append(ranks[raw[at:end[at]]])
-        at = end[at]
-    return ids
-
-
 def scan(piece: str, start: int, vocabulary: Vocabulary) -> dict:
     """A chunk on its own: the ends of its pre-tokens in the text, and their packed ids."""
     found = vocabulary.pattern.findall(piece)
@@ -166,7 +137,7 @@ def stitched(chunks: list[dict], chunk_chars: int, vocabulary: Vocabulary) -> by
     else:
         return b"".join(out)
     rest = "".join(c["piece"][:chunk_chars] for c in chunks[i:])[at - i * chunk_chars:]
-    return b"".join(out) + b"".join(map(vocabulary.piece, vocabulary.pattern.findall(rest)))
+    return b"".join(out) + vocabulary.scanned(rest)
 
 
 def encode(df: DataFrame, vocabulary: str, pattern: str, text_col: str = "text", out: str = "ids",

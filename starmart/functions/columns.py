@@ -50,6 +50,22 @@ def iso_timestamp(c: Column) -> Column:
     return F.when(fraction == "000000", whole).otherwise(F.concat(whole, F.lit("."), fraction))
 
 
+def number_text(c: Column) -> Column:
+    """Shortest text of a double that reads back the same: plain from 0.0001 up to 1e16, with an
+    exponent of two digits beyond, and always with a point or an exponent."""
+    text = c.cast("double").cast("string")
+    size = F.abs(c.cast("double"))
+    digits = F.regexp_replace(F.regexp_replace(
+        text.try_cast("decimal(38,20)").cast("string"), "0+$", ""), r"\.$", ".0")
+    mantissa = F.regexp_replace(F.regexp_extract(text, "^(.*)E", 1), r"\.0$", "")
+    power = F.regexp_extract(text, "E(-?[0-9]+)$", 1).try_cast("int")
+    exponent = F.concat(F.when(power < 0, "-").otherwise("+"), F.lpad(
+        F.abs(power).cast("string"), F.greatest(F.lit(2), F.length(F.abs(power).cast("string"))), F.lit("0")))
+    return (F.when(~text.contains("E"), text)
+            .when((size >= 1e-4) & (size < 1e16), digits)
+            .otherwise(F.concat(mantissa, F.lit("e"), exponent)))
+
+
 def document_text(c: Column, dtype: T.DataType) -> Column:
     """Text form of one document field; a missing value is the empty string."""
     if isinstance(dtype, TEMPORAL):
@@ -58,6 +74,8 @@ def document_text(c: Column, dtype: T.DataType) -> Column:
         value = F.to_json(c)
     elif isinstance(dtype, T.BooleanType):
         value = F.initcap(c.cast("string"))
+    elif isinstance(dtype, T.DoubleType):
+        value = number_text(c)
     else:
         value = c.cast("string")
     return F.coalesce(value, F.lit(""))

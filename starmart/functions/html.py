@@ -12,13 +12,17 @@ from pyspark.sql import functions as F
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta",
         "source", "track", "wbr"}
 NOT_TEXT = {"script", "style", "template"}
+# What a start tag ends if it is still open, and the elements beyond which it does not look.
+IMPLIED_END = {"td": ({"td", "th"}, {"table"}), "th": ({"td", "th"}, {"table"}),
+               "tr": ({"td", "th", "tr"}, {"table"}), "li": ({"li"}, {"ul", "ol", "menu"})}
 
 
 class _RowReader(HTMLParser):
     """Gathers the cell texts of each row of each container while the page streams by.
 
     A cell belongs to every open row, a row to every open container, and text to every
-    open cell, so that nested tables come out once per level.
+    open cell, so that nested tables come out once per level. End tags that HTML lets a page
+    leave out are implied: a cell ends where the next cell or row of its table begins.
     """
 
     def __init__(self, container, css_class, row, cells, sep):
@@ -39,8 +43,21 @@ class _RowReader(HTMLParser):
             for parts in self._inner("cell"):
                 parts.append(piece)
 
+    def _end_implied(self, tag):
+        ends, beyond = IMPLIED_END.get(tag, ((), ()))
+        first = None
+        for i in range(len(self.open) - 1, -1, -1):
+            name, kind, _ = self.open[i]
+            if name in beyond or kind == "container":
+                break
+            if name in ends:
+                first = i
+        if first is not None:
+            del self.open[first:]
+
     def handle_starttag(self, tag, attrs):
         self._end_text()
+        self._end_implied(tag)
         kind, parts = None, []
         if tag == self.container and self._has_class(attrs):
             kind = "container"

@@ -9,14 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def enrich(df: DataFrame, other: DataFrame, key, broadcast_below: int | None = None) -> DataFrame:
-    """Left join to a frame with one row per key.
-
-    ``broadcast_below`` asks for a broadcast, which is granted only if ``other`` is counted
-    to hold fewer rows than that; the count stops at the bound.
-    """
-    if broadcast_below is not None and other.limit(broadcast_below).count() < broadcast_below:
-        other = F.broadcast(other)
+def enrich(df: DataFrame, other: DataFrame, key) -> DataFrame:
+    """Left join to a frame with one row per key."""
     return df.join(other, key, "left")
 
 
@@ -41,12 +35,17 @@ def vehicle_stops(df: DataFrame, k1: str, k2: str) -> DataFrame:
     return df.select(k1, k2).distinct()
 
 
-def bridge_join(df: DataFrame, bridge: DataFrame, dim: DataFrame, k1: str, k2: str) -> DataFrame:
+def bridge_join(df: DataFrame, bridge: DataFrame, dim: DataFrame, k1: str, k2: str,
+                fan_out: bool = False) -> DataFrame:
     """Rows → linked keys → their details, through a bridge of distinct ``(k1, k2)`` pairs.
 
     The bridge is looked up first (one row of ``dim`` per ``k2``), then attached to the
-    rows by ``k1``. With one row per ``k1`` in ``df`` the result is as long as the bridge.
+    rows by ``k1``. ``df`` must have one row per ``k1``; then the result is as long as the
+    bridge, plus the rows without a link. Several rows per ``k1`` would come out once for each
+    link, so that is an error unless ``fan_out`` says that it is wanted.
     """
+    if not fan_out and not df.groupBy(k1).count().where("count > 1").isEmpty():
+        raise ValueError(f"{k1} is repeated: reduce the rows to one per {k1} first")
     pairs = bridge.select(k1, k2).distinct()
     return attach_many(df, pairs.join(dim, k2, "left"), k1, child_keys=pairs)
 

@@ -18,11 +18,14 @@ from itertools import accumulate
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starmart.session import materialise
 
 # monotonically_increasing_id: partition number above bit 33, place in the partition below.
 PLACE_BITS = 33
+#: So many keys may come to the driver to be numbered there.
+FEW = 10_000
 
 
 def _number(df: DataFrame, name: str, order_by, start: int) -> tuple[DataFrame, int]:
@@ -62,12 +65,28 @@ def assign_round_robin(left: DataFrame, left_key: str, right: DataFrame, right_k
     """Give the i-th row of ``left`` the (i mod n)-th of the n distinct keys of ``right``.
 
     Both sides are numbered by key, then joined on the remainder: an equi-join in which
-    every key of ``right`` meets the same number of rows, give or take one.
+    every key of ``right`` meets the same number of rows, give or take one. Rows of one
+    ``left_key`` follow in the order of their other columns, so the result repeats.
+
+    Where ``left`` has fewer rows than there are takers, only the first as many of these can be
+    hit; up to ``FEW`` they are picked by a top-k, and the others are never sorted or written.
     """
     out = out or right_key
     takers = right.select(F.col(right_key).alias(out)).filter(F.col(out).isNotNull()).distinct()
-    takers, n = _number(takers, "__slot", out, 0)
-    rows, _ = _number(left.drop(out), "__idx", left_key, 0)
+    left = left.drop(out)
+    order = [left_key, *[f.name for f in left.schema.fields if f.name != left_key
+                         and not isinstance(f.dataType, (T.MapType, T.VariantType))]]
+    rows, m = _number(left, "__idx", order, 0)
+    if m <= FEW:
+        first = [r[0] for r in takers.orderBy(out).limit(m).collect()]  # at most FEW keys
+        n = len(first)
+        if n == m:  # no remainder is needed
+            takers = takers.sparkSession.createDataFrame(
+                list(enumerate(first)), T.StructType([T.StructField("__slot", T.LongType()), takers.schema[out]]))
+        else:
+            takers, n = _number(takers, "__slot", out, 0)
+    else:
+        takers, n = _number(takers, "__slot", out, 0)
     if n == 0:
         return rows.drop("__idx").withColumn(out, F.lit(None).cast(takers.schema[out].dataType))
     slotted = rows.withColumn("__slot", F.col("__idx") % n).drop("__idx")

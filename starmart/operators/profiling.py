@@ -49,10 +49,10 @@ def null_profile(df: DataFrame) -> DataFrame:
 def distinct_profile(df: DataFrame, cols=None, approx: bool = False) -> DataFrame:
     """Distinct values per text column (or ``cols``), a null counting as one value.
 
-    Exact form: one branch per column, reading that column alone and grouping it by value,
-    first inside each task, so a value that fills the table is one row per task. All
-    branches run in one job. A text longer than its SHA-256 digest travels as the digest of
-    the whole text. Materialise a frame that is costly to compute before profiling it.
+    Exact form: values are grouped by column and value, first inside each task, so a value that
+    fills the table is one row per task. Texts travel as the SHA-256 digest of the whole text.
+    A frame that is read straight from column files has one branch per column, which reads that
+    column alone; any other frame (parsed text, a join) is computed once for all columns.
     ``approx`` keeps a sketch per column in a single scan and shuffles no values.
     """
     cols = cols or [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
@@ -63,25 +63,44 @@ def distinct_profile(df: DataFrame, cols=None, approx: bool = False) -> DataFram
 
     def value(c):
         v = F.col(f"`{c}`")
-        if not isinstance(df.schema[c].dataType, T.StringType):
-            return v
-        # A digest is 64 bytes long, so it never equals a text that travels as it is.
-        return F.when(F.octet_length(v) > 63, F.sha2(v, 256)).otherwise(v)
-
+        return F.sha2(v, 256) if isinstance(df.schema[c].dataType, T.StringType) else v
+
+    if not _read_by_column(df):
+        # every column's value as text; a null stays one
+        entries = F.array(*[F.struct(F.lit(i).alias("i"), value(c).cast("string").alias("value"))
+                            for i, c in enumerate(cols)])
+        counted = (df.select(F.explode(entries).alias("e")).select("e.i", "e.value")
+                   .groupBy("i", "value").agg(F.lit(1).alias("one"))
+                   .groupBy("i").agg(F.count("*").alias("distinct_values")))
+        names = df.sparkSession.createDataFrame(list(enumerate(cols)), "i int, column string")
+        return names.join(counted, "i", "left").select(
+            "column", F.coalesce("distinct_values", F.lit(0)).alias("distinct_values"))
     return reduce(DataFrame.unionByName, [
         df.groupBy(value(c).alias("value")).agg(F.lit(1).alias("one"))
         .agg(F.count("*").alias("distinct_values"))
         .select(F.lit(c).alias("column"), "distinct_values") for c in cols])
 
 
+def _read_by_column(df: DataFrame) -> bool:
+    """Whether the frame is nothing but columns of Parquet or ORC files."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    while plan.nodeName() == "Project":
+        plan = plan.child()
+    return plan.nodeName() == "LogicalRelation" and any(
+        kind in plan.toString() for kind in (" parquet", " orc"))
+
+
 def shape(df: DataFrame) -> DataFrame:
     return df.agg(F.count("*").alias("rows")).withColumn("columns", F.lit(len(df.columns)))
 
 
 def bounded_count(df: DataFrame, k: int = 1000) -> DataFrame:
-    """Rows up to ``k``; the number is exact only below ``k``."""
-    return (df.select(F.lit(1).alias("one")).limit(k).agg(F.count("*").alias("n"))
-            .select("n", (F.col("n") < k).alias("is_exact")))
+    """Rows up to ``k``; the number is exact only below ``k``.
+
+    Counted here and now: a few partitions first, more only while ``k`` is not reached.
+    """
+    n = len(df.select(F.lit(1)).head(k)) if k else 0
+    return df.sparkSession.createDataFrame([(n, n < k)], "n long, is_exact boolean")
 
 
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:

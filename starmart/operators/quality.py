@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from starmart.operators.cleaning import fill_map
 from starmart.operators.profiling import _per_column
-from starmart.schemas import defaults
+from starmart.schemas import defaults, primary_key
 
 
 def conform(df: DataFrame, schema: T.StructType, extra: str = "error",
@@ -108,14 +108,82 @@ def check_fit(df: DataFrame, schema: T.StructType) -> DataFrame:
     Numbers are compared with the range of the type: a trial cast raises an exception
     inside for every value that overflows, which took 30 times as long.
     """
+    tests = _misfits(df, schema)
+    checked = df.select(*[t.alias(n) for n, t in tests.items()])
+    return _per_column(checked, list(tests), {"violations": F.count_if}, "violations long")
+
+
+def _misfits(df: DataFrame, schema: T.StructType) -> dict[str, Column]:
     tests = {}
     for f in schema.fields:
         if f.name in df.columns:
             bad = _misfit(F.col(f"`{f.name}`"), df.schema[f.name].dataType, f)
             if bad is not None:
                 tests[f.name] = bad
-    checked = df.select(*[t.alias(n) for n, t in tests.items()])
-    return _per_column(checked, list(tests), {"violations": F.count_if}, "violations long")
+    return tests
+
+
+def with_reasons(df: DataFrame, schema: T.StructType, out: str = "__reasons") -> DataFrame:
+    """Every row with what stands against storing it as declared: an array of
+    ``<column>: does not fit``, ``<column>: null key`` and ``<columns>: repeated key``.
+
+    All rows that share a repeated key have that reason: none of them is preferred.
+    """
+    keys = primary_key(schema)
+    reasons = [F.when(bad, f"{c}: does not fit") for c, bad in _misfits(df, schema).items()]
+    reasons += [F.when(F.col(k).isNull(), f"{k}: null key") for k in keys]
+    if not keys:
+        return df.withColumn(out, F.array_compact(F.array(*reasons, F.lit(None).cast("string"))))
+    known = df.where(reduce(and_, [F.col(k).isNotNull() for k in keys]))
+    repeated = check_unique(known, keys).select(*keys, F.lit(True).alias(out))
+    marked = df.join(repeated, keys, "left")
+    reasons.append(F.when(F.col(out), f"{', '.join(keys)}: repeated key"))
+    return marked.select(*df.columns, F.array_compact(F.array(*reasons)).alias(out))
+
+
+def key_and_fit(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """``check_pk`` and ``check_fit`` in one pass: per ``check`` and ``column`` the findings.
+
+    Rows are grouped by key, with the misfits of each key counted on the way.
+    """
+    keys, tests = primary_key(schema), _misfits(df, schema)
+    names = list(tests)
+    grouped = df.groupBy(*keys).agg(F.count("*").alias("n"), *[
+        F.count_if(tests[c]).alias(f"bad_{i}") for i, c in enumerate(names)])
+    broken = (F.col("n") > 1) | reduce(or_, [F.col(k).isNull() for k in keys])
+    lines = [F.struct(F.lit("key").alias("check"), F.lit(", ".join(keys)).alias("column"),
+                      F.count_if(broken).alias("findings"))]
+    lines += [F.struct(F.lit("fit").alias("check"), F.lit(c).alias("column"),
+                       F.coalesce(F.sum(f"bad_{i}"), F.lit(0)).alias("findings"))
+              for i, c in enumerate(names)]
+    return grouped.agg(F.array(*lines).alias("lines")).select(F.inline("lines"))
+
+
+def check_references(tables: dict[str, DataFrame], references) -> DataFrame:
+    """``check_fk`` of many references at once: per (child, column, parent, key) the number of
+    values that the parent lacks, in the order given.
+
+    Each child is read once for all its references, each parent once for all that refer to it.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    parents = {(p, k): i for i, (p, k) in enumerate(dict.fromkeys((p, k) for _, _, p, k in references))}
+    children: dict[str, list] = {}
+    for i, (child, fk, p, k) in enumerate(references):
+        children.setdefault(child, []).append(F.struct(
+            F.lit(i).alias("reference"), F.lit(parents[p, k]).alias("parent"),
+            F.col(fk).cast("string").alias("key")))
+    used = reduce(DataFrame.unionByName, [
+        tables[child].select(F.inline(F.array(*own))) for child, own in children.items()])
+    used = used.where("key IS NOT NULL").distinct()
+    known = reduce(DataFrame.unionByName, [
+        tables[p].select(F.lit(i).alias("parent"), F.col(k).cast("string").alias("key"))
+        for (p, k), i in parents.items()])
+    orphans = (used.join(known, ["parent", "key"], "left_anti").groupBy("reference")
+               .agg(F.count("*").alias("findings")))
+    names = spark.createDataFrame([(i, child, fk) for i, (child, fk, _, _) in enumerate(references)],
+                                  "reference int, table_name string, column string")
+    return names.join(orphans, "reference", "left").select(
+        "table_name", "column", F.coalesce("findings", F.lit(0)).alias("findings"))
 
 
 def check_domain(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
@@ -146,5 +214,6 @@ def reconcile(sent: dict[str, DataFrame], loaded: dict[str, DataFrame]) -> DataF
 
 
 def is_empty(df: DataFrame) -> DataFrame:
-    """One row: whether there is anything to publish. Looks at no more than one row."""
-    return df.select(F.lit(1).alias("one")).limit(1).agg((F.count("*") == 0).alias("is_empty"))
+    """One row: whether there is nothing to publish. Found out here and now, from the first
+    partitions that have a row."""
+    return df.sparkSession.createDataFrame([(df.isEmpty(),)], "is_empty boolean")

@@ -35,7 +35,10 @@ def relationship_report(star: dict[str, DataFrame]) -> DataFrame:
 
 
 def kpis(fact: DataFrame, k: int = 10) -> dict[str, DataFrame]:
-    """Vehicles by type, largest companies, capacity statistics, totals."""
+    """Vehicles by type, largest companies, capacity statistics, totals.
+
+    Each of the four reads the fact: give the published table, not one still to be computed.
+    """
     return {
         "by_type": aggregates.frequencies(fact, "type_transport"),
         "top_companies": aggregates.top_k(fact, "company_name", k),
@@ -51,24 +54,38 @@ def warehouse_summary(tables: dict[str, DataFrame]) -> DataFrame:
 
 def quality_report(star: dict[str, DataFrame]) -> DataFrame:
     """What stands against publishing: per table and column the keys that are repeated or
-    missing (``key``), the values that do not fit (``fit``), and the keys that refer to
-    nothing (``reference``)."""
-    def finding(check, table, column, count):
-        return count.select(F.lit(check).alias("check"), F.lit(table).alias("table_name"),
-                            F.lit(column).alias("column"), "findings")
+    missing (``key``), the values that do not fit (``fit``), and the keys that refer to nothing
+    (``reference``). Lines without findings are there too.
 
-    total = F.count("*").alias("findings")
+    Each table is read once for its keys and types, and once for all its references; frames that
+    are costly to compute should be materialised before.
+    """
+    order = ["check", "table_name", "column", "findings"]
     parts = []
     for name, df in star.items():
         if name not in schemas.SCHEMAS:
             continue
-        keys = schemas.primary_key(schemas.SCHEMAS[name])
-        parts.append(finding("key", name, ", ".join(keys), quality.check_pk(df, keys).agg(total)))
-        parts.append(quality.check_fit(df, schemas.SCHEMAS[name]).select(
-            F.lit("fit").alias("check"), F.lit(name).alias("table_name"), "column",
-            F.col("violations").alias("findings")))
-    for child, fk, parent, pk in schemas.FOREIGN_KEYS:
-        if child in star and parent in star:
-            orphans = quality.check_fk(star[child], fk, star[parent], pk)
-            parts.append(finding("reference", child, fk, orphans.agg(total)))
+        found = quality.key_and_fit(df, schemas.SCHEMAS[name])
+        parts.append(found.select("check", F.lit(name).alias("table_name"), "column", "findings"))
+    references = [r for r in schemas.FOREIGN_KEYS if r[0] in star and r[2] in star]
+    if references:
+        parts.append(quality.check_references(star, references).select(F.lit("reference").alias("check"), "*"))
+    return reduce(DataFrame.unionByName, [p.select(order) for p in parts])
+
+
+def domain_report(star: dict[str, DataFrame]) -> DataFrame:
+    """Rows outside the domains the extracts are expected to stay within (``domain``), and
+    vehicles that are said to be at several places at once (``unique``)."""
+    parts = []
+    for name, df in star.items():
+        rules = {c: ok for c, ok in schemas.domain_rules(name).items() if c in df.columns}
+        if rules:
+            parts.append(quality.check_domain(df, rules).select(
+                F.lit("domain").alias("check"), F.lit(name).alias("table_name"),
+                F.col("rule").alias("column"), F.col("violations").alias("findings")))
+    if "dim_gps" in star:
+        pair = ["vehicle_id", "timestamp"]
+        parts.append(quality.check_unique(star["dim_gps"], pair).agg(F.count("*").alias("findings")).select(
+            F.lit("unique").alias("check"), F.lit("dim_gps").alias("table_name"),
+            F.lit(", ".join(pair)).alias("column"), "findings"))
     return reduce(DataFrame.unionByName, parts)

@@ -7,14 +7,19 @@ technical ``_id``.
 
 from __future__ import annotations
 
+from functools import reduce
+from uuid import uuid4
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmart.operators import cleaning, joins, keys, projection
 from starmart.operators.aggregates import latest_max_by, stop_counts, summarise
 from starmart.operators.filters import exclude_status, keep_valid_detail, require_keys
-from starmart.operators.quality import conform
+from starmart.operators.quality import conform, with_reasons
 from starmart.schemas import SCHEMAS, defaults
+from starmart.session import materialise
+from starmart.sources import filesystem, sinks
 
 ID = "_id"
 COORDINATES = ("latitude", "longitude")
@@ -71,7 +76,7 @@ def _fact(transport, passagers, gps, incidents, tie, stops=None) -> DataFrame:
     """One row per vehicle: its attributes, sums, counts and latest position.
 
     Every summary leaves its aggregation partitioned by vehicle_id, which is how the joins
-    need it, so each input is shuffled once and the joins add no shuffle of their own.
+    need it, so the joins add no shuffle of their own.
     """
     fact = joins.enrich(transport, summarise(
         passagers, "vehicle_id", {"total_passengers": "passenger_count"},
@@ -125,6 +130,7 @@ def _summary_full(inputs, wanted, excluded, round_coordinates) -> dict[str, Data
     tables = {"dim_transport": transport, "dim_passager": passagers, "dim_gps": gps,
               "dim_incident": incidents}
     if wanted & {"dim_stop", "bridge_stop_passager", "fact_transport"}:
+        transport = tables["dim_transport"] = materialise(transport, "transport")  # read several times
         stops = keys.assign_round_robin(
             clean("stops", "stop_id"), "stop_id", transport, "vehicle_id")
         tables["dim_stop"] = dim_stop(stops)
@@ -212,6 +218,48 @@ def build_detail_fact(inputs: dict[str, DataFrame],
 
 
 def publishable(star: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """The tables in their declared types, ready for a sink; NaN goes as null."""
-    return {name: conform(cleaning.nan_to_null(df), SCHEMAS[name], extra="drop", lenient=True)
+    """The tables in their declared types, ready for a sink; NaN goes as null.
+
+    A value that does not fit its type stops the job; ``publish`` sorts such rows out.
+    """
+    return {name: conform(cleaning.nan_to_null(df), SCHEMAS[name], extra="drop")
             if name in SCHEMAS else df for name, df in star.items()}
+
+
+REASONS = "__reasons"
+
+
+def publish(star: dict[str, DataFrame], root: str) -> DataFrame:
+    """Store the tables below ``root`` as declared, and set aside what cannot be stored.
+
+    Rows with a value that does not fit, a null key or a repeated key go to the table
+    ``quarantine`` with their reasons and the full row as JSON; the others are written to a staging
+    folder in their declared types and counted there. Only when every table is complete do the
+    staged ones take the places of the present ones. Returns rows per table: ``sent``,
+    ``stored`` and ``quarantined``.
+    """
+    spark = next(iter(star.values())).sparkSession
+    stage = f"{root}/_staging-{uuid4().hex}"
+    report, aside = [], []
+    for name, df in star.items():
+        if name in SCHEMAS:
+            checked = with_reasons(cleaning.nan_to_null(df), SCHEMAS[name], REASONS)
+        else:
+            checked = df.withColumn(REASONS, F.array().cast("array<string>"))
+        checked = materialise(checked, f"checked-{name}")
+        bad = F.size(REASONS) > 0
+        good = checked.where(~bad).drop(REASONS)
+        sinks.write_table(publishable({name: good})[name], stage, name)
+        n, wrong = checked.agg(F.count("*"), F.count_if(bad)).first()
+        stored = spark.read.parquet(f"{stage}/{name}").count()
+        if stored != n - wrong:
+            raise RuntimeError(f"{name}: {n - wrong} rows sent, {stored} staged; nothing was replaced")
+        aside.append(checked.where(bad).select(
+            F.lit(name).alias("table_name"), F.array_join(REASONS, "; ").alias("reasons"),
+            F.to_json(F.struct(*[f"`{c}`" for c in df.columns])).alias("row")))
+        report.append((name, n, stored, wrong))
+    sinks.write_table(reduce(DataFrame.unionByName, aside), stage, "quarantine")
+    for name in [*star, "quarantine"]:
+        filesystem.replace(spark, f"{stage}/{name}", f"{root}/{name}")
+    filesystem.delete(spark, stage)
+    return spark.createDataFrame(report, "table_name string, sent long, stored long, quarantined long")

@@ -10,6 +10,11 @@ field metadata:
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -196,3 +201,26 @@ def primary_key(schema: T.StructType) -> list[str]:
 
 def defaults(schema: T.StructType) -> dict[str, object]:
     return {f.name: f.metadata["default"] for f in schema if "default" in f.metadata}
+
+
+def domain_rules(table: str) -> dict[str, Column]:
+    """Conditions the columns of a published table are expected to meet; a null is not one of
+    the expected values, but for coordinates and counts that a dimension may lack."""
+    def one_of(name, values):
+        return F.col(name).isin(values)
+
+    def within(name, low, high):
+        value = F.col(name).cast("double")
+        return value.isNull() | value.between(low, high)
+    place = {"latitude": within("latitude", *LATITUDE_BOX), "longitude": within("longitude", *LONGITUDE_BOX)}
+    by_type = reduce(or_, [(F.col("type_transport") == kind) & F.col("capacity").isin(sizes)
+                           for kind, sizes in CAPACITY_BY_TYPE.items()])
+    return {
+        "dim_transport": {"fuel_type": one_of("fuel_type", FUEL_TYPES), "status": one_of("status", STATUSES),
+                          "type_transport": one_of("type_transport", list(CAPACITY_BY_TYPE)), "capacity": by_type},
+        "dim_gps": {**place, "traffic_level": one_of("traffic_level", TRAFFIC_LEVELS)},
+        "dim_incident": {"description": one_of("description", DESCRIPTIONS),
+                         "delay_minutes": within("delay_minutes", *DELAY_RANGE),
+                         "severity": F.col("severity").try_cast("int").between(*SEVERITY_RANGE)},
+        "dim_stop": {**place, "zone": one_of("zone", ZONES)},
+    }.get(table, {})

@@ -2,23 +2,28 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from functools import cache
 from uuid import uuid4
 
 from pyspark.sql import SparkSession
 
+#: Folders that this process had tables written to, for ``clean_up``.
+_written: list[str] = []
+
 
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for intermediate tables: the cluster's ``spark.checkpoint.dir``.
 
-    Only a local session without that setting gets a folder of its own; on a cluster a
-    machine-local folder would be invisible to the other executors, so that is refused.
+    Only a session known to run in one process (``local`` or ``local[…]``) gets a folder of its
+    own without that setting; anywhere else a machine-local folder may be invisible to the
+    executors, so that is refused.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.conf.get("spark.master", "local").startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.conf.get("spark.master", None) or ""):
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
     return _local_root()
 
@@ -40,5 +45,19 @@ def materialise(df, name: str):
     lost executor costs a re-read, not a re-run.
     """
     path = scratch_dir(df.sparkSession, name)
+    _written.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clean_up(spark: SparkSession) -> int:
+    """Delete the tables that ``materialise`` has written so far, and say how many there were.
+
+    Frames that still read them no longer work, so this comes at the end of a job.
+    """
+    from starmart.sources.filesystem import delete
+
+    gone = 0
+    while _written:
+        gone += delete(spark, _written.pop())
+    return gone

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import csv
 from functools import reduce
+from urllib.parse import unquote, urlparse
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -11,24 +13,24 @@ from pyspark.sql import types as T
 
 from starmart.functions.columns import megabytes
 from starmart.operators.projection import rename
+from starmart.sources.filesystem import listing
 
 
 def read_csv(spark: SparkSession, path, schema: T.StructType | None = None, *,
-             infer: bool = True, multiline: bool = False, escape: str | None = None,
+             infer: bool = True, multiline: bool = False, escape: str = '"',
              aliases: dict[str, str] | None = None, lenient: bool = False) -> DataFrame:
     """A CSV with a header.
 
     With ``schema`` the columns are found by header name, whatever their order, and cast;
     columns outside the schema are kept as text (a technical ``_id``, say). Without one the
     types are inferred, which costs a second pass, or stay text with ``infer=False``.
-    ``multiline`` and ``escape`` read quoted line breaks and doubled quotes; a multi-line
-    file cannot be split between tasks, so that is off unless asked for.
+    A quote inside a quoted value is doubled, as ``save`` writes it and as most programs do;
+    ``escape`` names another character that stands before it. ``multiline`` reads line breaks
+    inside quotes; such a file cannot be split between tasks, so that is off unless asked for.
     """
-    reader = spark.read.option("header", True).option("enforceSchema", False)
+    reader = spark.read.option("header", True).option("enforceSchema", False).option("escape", escape)
     if multiline:
         reader = reader.option("multiLine", True)
-    if escape is not None:
-        reader = reader.option("escape", escape)
     raw = reader.option("inferSchema", schema is None and infer).csv(path)
     if aliases:
         raw = rename(raw, aliases)
@@ -59,37 +61,93 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 def list_files(spark: SparkSession, directory: str, glob: str = "*.csv") -> DataFrame:
-    """Plain files of a directory by name: path, bytes, MiB cut to two decimals,
-    modification time and dataset name. File contents are not read. Spark's listing passes
-    over files of zero bytes."""
-    found = (spark.read.format("binaryFile").option("pathGlobFilter", glob).load(directory)
-             .select("path", "modificationTime", "length"))
-    name = F.element_at(F.split("path", "/"), -1)
+    """All plain files of a directory by name, empty and hidden ones included: path, bytes, MiB
+    cut to two decimals, modification time and dataset name. File contents are not read."""
+    found = spark.createDataFrame(listing(spark, directory, glob),
+                                  "name string, path string, length long, changed long")
     return found.select(
-        name.alias("name"), "path", F.col("length").alias("size"),
+        "name", "path", F.col("length").alias("size"),
         megabytes(F.col("length")).cast("double").alias("size_mb"),
-        F.col("modificationTime").alias("modified"),
-        F.regexp_replace(name, r"\.csv", "").alias("collection"),
+        F.timestamp_millis("changed").alias("modified"),
+        F.regexp_replace("name", r"\.csv", "").alias("collection"),
     ).orderBy("name")
 
 
+def inspect_csv(spark: SparkSession, paths: list[str]) -> dict[str, dict]:
+    """What each file holds, all files in one job: ``header`` (first line), ``lines`` that are not
+    blank, ``multiline`` (some line has an odd number of quotes, so a value goes on in the
+    next), and the least and greatest number of fields in a line (``low``, ``high``).
+
+    The number of fields means something only in a file that is not multi-line.
+    """
+    if not paths:
+        return {}
+    line = F.col("value")
+    quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
+    bare = F.regexp_replace(line, '"[^"]*"', "")
+    fields = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
+    place = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    rows = (spark.read.text(paths).select("*", F.col("_metadata.file_path").alias("path"), place.alias("place"))
+            .where(F.length(F.rtrim("value")) > 0)
+            .groupBy("path").agg(
+                F.min_by("value", "place").alias("header"), F.count("*").alias("lines"),
+                F.max(quotes % 2).alias("odd"), F.min(fields).alias("low"), F.max(fields).alias("high")).collect())
+    return {unquote(urlparse(r["path"]).path): {
+        "header": r["header"], "lines": r["lines"], "multiline": r["odd"] == 1, "low": r["low"], "high": r["high"]}
+        for r in rows}
+
+
+def _checked(spark: SparkSession, path: str, found: dict) -> tuple[DataFrame | None, str | None]:
+    """The file as text columns, or why not; neither if it has no records."""
+    names = next(csv.reader([found["header"].removeprefix("\ufeff").rstrip("\r")]))
+    if not found["multiline"]:
+        if found["lines"] < 2:
+            return None, None
+        if not found["low"] == found["high"] == len(names):
+            return None, (f"the header has {len(names)} fields, its lines have from "
+                          f"{found['low']} to {found['high']}")
+        return read_csv(spark, path, infer=False), None
+    df = read_csv(spark, path, infer=False, multiline=True)
+    if not df.columns or df.isEmpty():
+        return None, None
+    # a record with another number of fields than the header is marked by the reader
+    mark = "__record"
+    schema = T.StructType([*df.schema.fields, T.StructField(mark, T.StringType())])
+    marked = (spark.read.schema(schema).option("header", True).option("escape", '"').option("multiLine", True)
+              .option("columnNameOfCorruptRecord", mark).csv(path))
+    # all columns are asked for, or the reader would not look at the number of fields
+    bad = marked.agg(F.count(mark).alias("bad"), *[F.count(F.col(f"`{c}`")) for c in df.columns]).first()["bad"]
+    if bad:
+        return None, f"{bad} records have another number of fields than the header"
+    return df, None
+
+
 def load_directory(spark: SparkSession, directory: str) -> tuple[dict[str, DataFrame], DataFrame]:
     """Every CSV file of a directory as a dataset of text columns, named by file.
 
-    Returns the datasets and a report with one row per file: loaded, empty (skipped), or
-    failed with the error. Only the file names come to the driver.
+    Returns the datasets and a report with one row per file: loaded, empty (skipped), or failed
+    with the reason, which may be that records have another number of fields than the header.
+    All files are inspected in one job; a file whose values hold line breaks is then read as a
+    whole, every other one in splits. File names and one line of findings per file come to the
+    driver. Hidden files (names with ``.`` or ``_`` in front) hold no datasets: Spark does not
+    read them, and the report says so.
     """
+    listed = list_files(spark, directory).select("name", "path", "size", "collection").collect()
+    visible = [f["path"] for f in listed if f["size"] and f["name"][0] not in "._"]
+    found = inspect_csv(spark, visible)
     out, report = {}, []
-    for f in list_files(spark, directory).select("name", "path", "collection").collect():
+    for f in listed:
+        own = found.get(unquote(urlparse(f["path"]).path))
         try:
-            df = read_csv(spark, f["path"], infer=False)
-            if not df.columns or df.isEmpty():
-                report.append((f["name"], "empty", None))
-                continue
-            out[f["collection"]] = df
-            report.append((f["name"], "loaded", None))
+            if f["name"][0] in "._":
+                df, reason = None, "hidden"
+            else:
+                df, reason = _checked(spark, f["path"], own) if own else (None, None)
         except Exception as e:  # a bad file must not stop the others
-            report.append((f["name"], "failed", str(e).split("\n")[0]))
+            df, reason = None, str(e).split("\n")[0]
+        if df is not None:
+            out[f["collection"]] = df
+        report.append((f["name"], "loaded" if df is not None else "failed" if reason else "empty", reason))
     return out, spark.createDataFrame(report, "name string, status string, error string")
 
 

@@ -3,31 +3,55 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from starmart.sources.documents import explode_payload
+BROKEN = "_corrupt_record"
 
 
 def read_payload_stream(spark: SparkSession, directory: str, record: T.StructType,
-                        list_field: str, multiline: bool = True,
+                        list_field: str, status: str | None = "status", multiline: bool = True,
                         max_files: int | None = None) -> DataFrame:
-    """Streaming rows of the records under ``list_field`` in each landed JSON file."""
-    schema = T.StructType([T.StructField(list_field, T.ArrayType(record))])
-    reader = spark.readStream.schema(schema).option("multiLine", multiline)
+    """Streaming payloads: the list of records, the status, the file, and the text of a payload
+    that could not be read."""
+    fields = [T.StructField(list_field, T.ArrayType(record)), T.StructField(BROKEN, T.StringType())]
+    if status is not None:
+        fields.append(T.StructField(status, T.IntegerType()))
+    reader = spark.readStream.schema(T.StructType(fields)).option("multiLine", multiline)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return explode_payload(reader.json(directory), list_field)
+    return reader.json(directory).select("*", F.col("_metadata.file_path").alias("file"))
 
 
-def stream_payload(spark: SparkSession, directory: str, record: T.StructType, list_field: str,
-                   out: str, checkpoint: str, multiline: bool = True,
-                   max_files: int | None = None) -> StreamingQuery:
-    """Append the records of all files not seen yet to a Parquet directory, then stop.
+def refusal(list_field: str, status: str | None):
+    """Why a payload is refused; null for a good one. A payload without a status is taken."""
+    why = F.when(F.col(BROKEN).isNotNull(), "unreadable")
+    if status is not None:
+        why = why.when(F.col(status) != 200, F.concat(F.lit("status "), F.col(status).cast("string")))
+    return why.when(F.col(list_field).isNull(), f"no {list_field}")
+
 
-    The checkpoint remembers the files taken and the sink commits each batch once, so a
-    restart after a failure neither loses nor repeats records.
+def stream_payload(spark: SparkSession, directory: str, record: T.StructType, list_field: str,
+                   out: str, checkpoint: str, refused: str, status: str | None = "status",
+                   multiline: bool = True, max_files: int | None = None) -> StreamingQuery:
+    """Take up all files not seen yet, then stop: records to the Parquet directory ``out``,
+    payloads that are unreadable or were not answered with 200 to ``refused`` (``file``,
+    ``reason``, ``payload`` where it is unreadable).
+
+    The checkpoint remembers the files taken. Each batch has a folder of its own in both
+    outputs, which a repeated batch replaces, so a restart after a failure neither loses nor
+    repeats anything.
     """
-    rows = read_payload_stream(spark, directory, record, list_field, multiline, max_files)
-    return (rows.writeStream.format("parquet").option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).start(out))
+    payloads = read_payload_stream(spark, directory, record, list_field, status, multiline, max_files)
+    why = refusal(list_field, status)
+
+    def store(batch: DataFrame, number: int) -> None:
+        batch = batch.withColumn("reason", why)
+        (batch.where("reason IS NULL").select(F.inline(list_field))
+         .write.mode("overwrite").parquet(f"{out}/batch={number}"))
+        (batch.where("reason IS NOT NULL").select("file", "reason", F.col(BROKEN).alias("payload"))
+         .write.mode("overwrite").parquet(f"{refused}/batch={number}"))
+
+    return (payloads.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())

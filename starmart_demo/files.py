@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starmart.functions.columns import iso_timestamp
 from starmart.operators import quality
 from starmart.plans import ingest as ingestion
-from starmart.plans import star
+from starmart.plans import sql, star
 from starmart.session import scratch_dir
-from starmart.sources import documents, files, sinks
+from starmart.sources import documents, files, filesystem, sinks
 from starmart.streaming.payload import stream_payload
 from starmart_demo.inputs import SUMMARY_CTES, star_inputs
 from starmart_demo.registry import query, table
@@ -44,17 +45,12 @@ def flatten_docs(spark, sf):
     return documents.flatten_documents(_event_documents(spark, sf))
 
 
-@query("""
-SELECT CAST(event_id AS VARCHAR) AS _id,
-       CASE WHEN event_type = 'error' THEN CAST(value AS VARCHAR) ELSE '' END AS delay,
-       CASE WHEN value > 100 THEN 'True' ELSE 'False' END AS late,
-       '{"k":' || CAST(json_extract(props, '$.k') AS INT) || '}' AS nested,
-       '[' || event_id || ',' || user_id || ']' AS refs
-FROM events""")
+@query(DOCS_SQL)
 def json_lines(spark, sf):
     """The same documents through JSON files, their columns found from the keys."""
     path = scratch_dir(spark, "documents")
-    sinks.save(_event_documents(spark, sf).drop("at"), path, "json")
+    docs = _event_documents(spark, sf)
+    sinks.save(docs.withColumn("at", iso_timestamp(F.col("at"))), path, "json")
     return documents.flatten_documents(documents.read_documents(spark, path))
 
 
@@ -84,6 +80,7 @@ def _payloads(spark, sf) -> DataFrame:
         F.col(key).alias("id"), F.lit(kind).alias("kind"),
         F.struct(lat.cast("double").alias("lat")).alias("geo"))
     return table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("key"),
         F.when(F.col("o_orderstatus") == "P", 404).otherwise(200).alias("status"),
         F.array(record("o_orderkey", "order", F.col("o_totalprice")),
                 record("o_custkey", "customer", F.lit(None))).alias("stops"))
@@ -98,19 +95,41 @@ def payload_explode(spark, sf):
     return rows.select("id", "kind", F.col("geo.lat").alias("lat"))
 
 
+def _streamed(spark, sf) -> tuple[str, str]:
+    """The payloads land as JSON files, one in a hundred cut off, and a stream takes them up."""
+    landing, out, refused = (scratch_dir(spark, n) for n in ("landing", "stream", "refused"))
+    line = F.to_json(F.struct("status", "stops"))
+    _payloads(spark, sf).select(F.when(
+        F.col("key") % 100 == 7, F.substring(line, 1, 30)).otherwise(line).alias("line")).write.text(landing)
+    stream_payload(spark, landing, RECORD, "stops", out, scratch_dir(spark, "checkpoint"), refused,
+                   multiline=False).awaitTermination()
+    return out, refused
+
+
 @query("""
 SELECT o_orderkey AS id, 'order' AS kind, o_totalprice AS lat FROM orders
-UNION ALL SELECT o_custkey, 'customer', NULL FROM orders
+WHERE o_orderstatus <> 'P' AND o_orderkey % 100 <> 7
+UNION ALL SELECT o_custkey, 'customer', NULL FROM orders WHERE o_orderstatus <> 'P' AND o_orderkey % 100 <> 7
 """)
 def payload_stream(spark, sf):
-    """The payloads land as JSON files and a stream takes them up."""
-    landing, out = scratch_dir(spark, "landing"), scratch_dir(spark, "stream")
-    sinks.save(_payloads(spark, sf).select("stops"), landing, "json")
-    stream_payload(spark, landing, RECORD, "stops", out, scratch_dir(spark, "checkpoint"),
-                   multiline=False).awaitTermination()
+    """Records of the payloads that can be read and were answered with 200."""
+    out, _ = _streamed(spark, sf)
     return spark.read.schema(RECORD).parquet(out).select("id", "kind", F.col("geo.lat").alias("lat"))
 
 
+@query("""
+SELECT CASE WHEN o_orderkey % 100 = 7 THEN 'unreadable' ELSE 'status 404' END AS reason, count(*) AS payloads,
+       count(*) FILTER (WHERE o_orderkey % 100 = 7) AS kept_texts
+FROM orders WHERE o_orderstatus = 'P' OR o_orderkey % 100 = 7 GROUP BY ALL
+""")
+def payload_refused(spark, sf):
+    """Payloads that were set aside, with the file they came in."""
+    _, refused = _streamed(spark, sf)
+    return spark.read.schema("file string, reason string, payload string").parquet(refused).where(
+        "file IS NOT NULL").groupBy("reason").agg(
+        F.count("*").alias("payloads"), F.count("payload").alias("kept_texts"))
+
+
 NAV = {"container": "nav", "css_class": None, "row": "ul", "cells": ("li",)}
 LIST_ITEM = r"""'<li><a href="[^"]*">([^<]*)</a>', 1"""
 
@@ -236,54 +255,184 @@ def manifest(spark, sf):
     return files.manifest_report(files.load_manifest(spark, paths, infer=False))
 
 
-def _orders_directory(spark, sf) -> str:
-    """Orders as a directory of three CSV files."""
-    path = scratch_dir(spark, "orders-csv")
-    sinks.save(table(spark, sf, "orders").drop("o_orderdate").repartition(3, "o_orderkey"),
-               path, "csv")
+def _flat_directory(spark, df, by: str, name: str) -> str:
+    """The frame as a flat directory of CSV files whose names begin with a value of ``by``, with
+    an empty file and a hidden one among them."""
+    parts, path = scratch_dir(spark, f"{name}-parts"), scratch_dir(spark, name)
+    (df.withColumn("__by", F.col(by)).write.partitionBy("__by").option("header", True).option("escape", '"')
+     .option("emptyValue", '""').csv(parts))
+    fs, folder = filesystem._at(spark, path)
+    _, root = filesystem._at(spark, parts)
+    fs.mkdirs(folder)
+    for place in fs.listStatus(root):
+        value = place.getPath().getName().removeprefix("__by=")
+        if place.isDirectory():
+            for i, f in enumerate(filesystem.listing(spark, place.getPath().toString(), "*.csv")):
+                _, old = filesystem._at(spark, f[1])
+                _, new = filesystem._at(spark, f"{path}/{value}-{i}.csv")
+                fs.rename(old, new)
+    for extra in ("none.csv", "_hidden.csv"):
+        fs.create(filesystem._at(spark, f"{path}/{extra}")[1]).close()
     return path
 
 
-@query()
+def _orders_directory(spark, sf) -> str:
+    return _flat_directory(spark, table(spark, sf, "orders"), "o_orderstatus", "orders-csv")
+
+
+@query("""
+SELECT o_orderstatus AS status, count(*) AS n, true AS sized, true AS ordered FROM orders GROUP BY ALL
+UNION ALL SELECT 'none', 0, true, true UNION ALL SELECT '_hidden', 0, true, true
+""")
 def file_inventory(spark, sf):
-    return files.list_files(spark, _orders_directory(spark, sf))
+    """Every file of the directory, the empty and the hidden one too; rows as found in the files."""
+    found = files.list_files(spark, _orders_directory(spark, sf))
+    order = Window.orderBy(F.monotonically_increasing_id())  # one row per file
+    seen = found.select("*", F.lag("name").over(order).alias("before"))
+    rows = {k: v["lines"] - 1 for k, v in files.inspect_csv(
+        spark, [r["path"] for r in found.where("size > 0").collect()]).items()}
+    counts = spark.createDataFrame([(k.rsplit("/", 1)[-1], n) for k, n in rows.items()], "name string, n long")
+    rule = F.col("size_mb") == F.floor(F.col("size") / F.lit(1048576.0) * 100) / 100
+    return (seen.join(counts, "name", "left").groupBy(F.split("collection", "-")[0].alias("status")).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
+        F.every(rule & ((F.col("size") > 0) == F.col("n").isNotNull())).alias("sized"),
+        F.every(F.col("before").isNull() | (F.col("before") < F.col("name"))).alias("ordered")))
 
 
-ORDERS_TEXT = """
-SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
-       o_orderstatus, o_orderpriority
-FROM orders"""
+def _typed(df, like):
+    return df.select(*[F.col(f.name).cast(f.dataType) for f in like.schema])
 
 
-@query(ORDERS_TEXT)
+@query("SELECT * FROM orders")
 def load_directory(spark, sf):
     datasets, _ = files.load_directory(spark, _orders_directory(spark, sf))
-    return reduce(DataFrame.unionByName, datasets.values()).drop("o_totalprice")
+    return _typed(reduce(DataFrame.unionByName, datasets.values()), table(spark, sf, "orders"))
 
 
-@query(ORDERS_TEXT)
-def ingest_directory(spark, sf):
+@query("SELECT doc_id, text, lang, source, n_chars FROM documents")
+def load_directory_quoted(spark, sf):
+    """Whole texts with quotes and line breaks, one collection of files per language."""
+    docs = table(spark, sf, "documents")
+    datasets, _ = files.load_directory(spark, _flat_directory(spark, docs, "lang", "documents-csv"))
+    return _typed(reduce(DataFrame.unionByName, datasets.values()), docs)
+
+
+def _ingested(spark, directory) -> DataFrame:
     """Directory → documents → canonical CSV, read back from all collections."""
     out = scratch_dir(spark, "ingested")
-    report, _ = ingestion.ingest(spark, _orders_directory(spark, sf), out)
+    report, _ = ingestion.ingest(spark, directory, out)
     names = [r["collection"] for r in report.filter("exported").collect()]
     return reduce(DataFrame.unionByName, [
-        files.read_csv(spark, f"{out}/{n}", infer=False) for n in names]).drop("_id", "o_totalprice")
+        files.read_csv(spark, f"{out}/{n}", infer=False, multiline=True) for n in names])
+
+
+@query("SELECT * FROM orders")
+def ingest_directory(spark, sf):
+    return _typed(_ingested(spark, _orders_directory(spark, sf)), table(spark, sf, "orders"))
+
+
+@query("SELECT doc_id, text, lang, source, n_chars, true AS own_id FROM documents")
+def ingest_documents(spark, sf):
+    """Texts with quotes and line breaks, and an id made from the content for each."""
+    docs = table(spark, sf, "documents")
+    back = _ingested(spark, _flat_directory(spark, docs, "lang", "documents-csv"))
+    ids = back.groupBy("_id").agg(F.count("*").alias("n"))
+    return back.join(ids, "_id").select(
+        *[F.col(f.name).cast(f.dataType) for f in docs.schema], (F.col("n") == 1).alias("own_id"))
+
+
+def _published(spark, sf, name) -> DataFrame:
+    """One table through the warehouse, decimals as doubles, times without a zone."""
+    root = scratch_dir(spark, "star")
+    star.publish(star.build_star(star_inputs(spark, sf), tables=[name]), root)
+    df = files.read_table(spark, root, name)
+    plain = {"timestamp": "timestamp_ntz"} | {t: "double" for _, t in df.dtypes if t.startswith("decimal")}
+    return df.select(*[F.col(c).cast(plain.get(t, t)) for c, t in df.dtypes])
+
+
+PLACE_FITS = "abs(round(latitude, 8)) < 100 AND abs(round(longitude, 8)) < 1000"
+SPEED_FITS = "abs(round(speed_kmh, 2)) < 1000"
+
+
+def _decimals(*columns) -> str:
+    kinds = {"latitude": "DECIMAL(10,8)", "longitude": "DECIMAL(11,8)", "speed_kmh": "DECIMAL(5,2)"}
+    return "REPLACE (" + ", ".join(f"CAST(CAST({c} AS {kinds[c]}) AS DOUBLE) AS {c}" for c in columns) + ")"
 
 
 @query(f"""
 WITH {SUMMARY_CTES}
-SELECT vehicle_id, capacity, total_passengers, incident_count,
-       CAST(try_cast(latitude AS DECIMAL(10,8)) AS DOUBLE) AS latitude,
-       CAST(try_cast(speed_kmh AS DECIMAL(5,2)) AS DOUBLE) AS speed_kmh, traffic_level
-FROM fact
+SELECT * {_decimals("latitude", "longitude", "speed_kmh")}, CAST(NULL AS BIGINT) AS stops_count
+FROM fact WHERE {PLACE_FITS} AND {SPEED_FITS}
 """)
 def publish_star(spark, sf):
-    """The fact in its declared types, through the Parquet warehouse."""
+    """The fact in its declared types, all columns; rows that do not fit are in quarantine."""
+    return _published(spark, sf, "fact_transport")
+
+
+@query(f"WITH {SUMMARY_CTES} SELECT * FROM transport")
+def publish_dim_transport(spark, sf):
+    return _published(spark, sf, "dim_transport")
+
+
+@query(f"""
+WITH {SUMMARY_CTES}
+SELECT _id AS passager_id, CASE WHEN alighting = 'True' THEN 1 ELSE 0 END AS alighting,
+       CASE WHEN boarding = 'True' THEN 1 ELSE 0 END AS boarding, passenger_count, stop_id, timestamp, vehicle_id
+FROM passagers
+""")
+def publish_dim_passager(spark, sf):
+    return _published(spark, sf, "dim_passager")
+
+
+@query(f"""
+WITH {SUMMARY_CTES}
+SELECT * EXCLUDE (_id) {_decimals("latitude", "longitude", "speed_kmh")}, _id AS position_id
+FROM gps WHERE {PLACE_FITS} AND {SPEED_FITS}
+""")
+def publish_dim_gps(spark, sf):
+    return _published(spark, sf, "dim_gps")
+
+
+@query(f"WITH {SUMMARY_CTES} SELECT * REPLACE (CAST(severity AS VARCHAR) AS severity) FROM incident")
+def publish_dim_incident(spark, sf):
+    return _published(spark, sf, "dim_incident")
+
+
+STOP_SQL = f"""
+WITH {SUMMARY_CTES}
+SELECT * REPLACE (shelter = 'True' AS shelter), CAST(NULL AS VARCHAR) AS vehicle_id, CAST(NULL AS VARCHAR) AS passager_id
+FROM stops"""
+
+
+@query(STOP_SQL)
+def publish_dim_stop(spark, sf):
+    return _published(spark, sf, "dim_stop")
+
+
+def _reasons_sql(table_name, key, source) -> str:
+    return f"""SELECT '{table_name}' AS table_name, {key} AS key, concat_ws('; ',
+        CASE WHEN abs(round(latitude, 8)) >= 100 THEN 'latitude: does not fit' END,
+        CASE WHEN abs(round(longitude, 8)) >= 1000 THEN 'longitude: does not fit' END,
+        CASE WHEN abs(round(speed_kmh, 2)) >= 1000 THEN 'speed_kmh: does not fit' END) AS reasons, latitude
+    FROM {source} WHERE NOT ({PLACE_FITS} AND {SPEED_FITS})"""
+
+
+@query(f"WITH {SUMMARY_CTES} {_reasons_sql('dim_gps', '_id', 'gps')}"
+       f" UNION ALL {_reasons_sql('fact_transport', 'vehicle_id', 'fact')}")
+def publish_quarantine(spark, sf):
+    """All tables published; the rows set aside, out of their full text."""
     root = scratch_dir(spark, "star")
-    tables = star.publishable(star.build_star(star_inputs(spark, sf)))
-    sinks.write_table(tables["fact_transport"], root, "fact_transport")
-    return files.read_table(spark, root, "fact_transport").select(
-        "vehicle_id", "capacity", "total_passengers", "incident_count",
-        F.col("latitude").cast("double").alias("latitude"),
-        F.col("speed_kmh").cast("double").alias("speed_kmh"), "traffic_level")
+    star.publish(star.build_star(star_inputs(spark, sf)), root)
+    row = lambda c: F.get_json_object("row", f"$.{c}")
+    return files.read_table(spark, root, "quarantine").select(
+        "table_name", F.coalesce(row("position_id"), row("vehicle_id")).alias("key"), "reasons",
+        row("latitude").cast("double").alias("latitude"))
+
+
+@query(STOP_SQL)
+def recreate(spark, sf):
+    """A declared table made anew, filled, and read."""
+    sql.recreate(spark, ["dim_stop"])
+    star.publishable(star.build_star(star_inputs(spark, sf), tables=["dim_stop"]))["dim_stop"].write.insertInto("dim_stop")
+    df = spark.table("dim_stop")
+    return df.select(*[F.col(c).cast("double") if t.startswith("decimal") else F.col(c) for c, t in df.dtypes])

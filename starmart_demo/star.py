@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from starmart import schemas
 from starmart.operators import aggregates, joins
 from starmart.plans import reports, star
 from starmart_demo.inputs import INPUT_CTES, SUMMARY_CTES, star_inputs
@@ -133,25 +134,37 @@ def dim_incident(spark, sf):
     return star.build_star(star_inputs(spark, sf))["dim_incident"]
 
 
+@query(f"WITH {INPUT_CTES} SELECT * FROM transport")
+def dim_transport(spark, sf):
+    return star.build_star(star_inputs(spark, sf))["dim_transport"]
+
+
+@query(f"""
+WITH {INPUT_CTES}
+SELECT * REPLACE (shelter = 'True' AS shelter), CAST(NULL AS VARCHAR) AS vehicle_id, CAST(NULL AS VARCHAR) AS passager_id
+FROM stops
+""")
+def dim_stop(spark, sf):
+    return star.build_star(star_inputs(spark, sf))["dim_stop"]
+
+
 @query("""
-SELECT c_custkey, n_name, r_name
-FROM (SELECT DISTINCT c_custkey, CASE WHEN o_orderkey % 30 < 25 THEN o_orderkey % 30 END AS k
-      FROM customer LEFT JOIN orders ON c_custkey = o_custkey)
+SELECT c_custkey, k AS n_nationkey, n_name, r_name
+FROM customer LEFT JOIN (SELECT DISTINCT o_custkey, o_orderkey % 30 AS k FROM orders) ON c_custkey = o_custkey
 LEFT JOIN nation ON k = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey
-WHERE k IS NOT NULL
 """)
 def bridge_join(spark, sf):
-    """Customers → distinct (customer, nation of its orders) → nation details."""
+    """Customers → distinct (customer, nation of its orders) → nation details; customers without
+    an order and nations that do not exist are kept."""
     orders = table(spark, sf, "orders").select(
         F.col("o_custkey").alias("c_custkey"), (F.col("o_orderkey") % 30).alias("n_nationkey"))
     places = table(spark, sf, "nation").join(
         table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    pairs = joins.vehicle_stops(orders.filter("n_nationkey < 25"), "c_custkey", "n_nationkey")
+    pairs = joins.vehicle_stops(orders, "c_custkey", "n_nationkey")
     return joins.bridge_join(
         table(spark, sf, "customer").select("c_custkey"), pairs,
         places.select(F.col("n_nationkey").cast("long").alias("n_nationkey"), "n_name", "r_name"),
-        "c_custkey", "n_nationkey").filter("n_nationkey is not null") \
-        .select("c_custkey", "n_name", "r_name")
+        "c_custkey", "n_nationkey").select("c_custkey", "n_nationkey", "n_name", "r_name")
 
 
 EVENT_COLS = ["user_id", "event_id", "ts", "event_type", "value"]
@@ -340,20 +353,75 @@ def relationship_report(spark, sf):
     return reports.relationship_report(star.build_star(star_inputs(spark, sf)))
 
 
-@query(f"""
-WITH {SUMMARY_CTES}
-SELECT 'reference' AS check, 'dim_passager' AS table_name, 'stop_id' AS column,
-       count(DISTINCT stop_id) AS findings
-FROM passagers WHERE stop_id NOT IN (SELECT stop_id FROM stops) HAVING count(*) > 0
-UNION ALL
-SELECT 'fit', 'dim_gps', 'latitude', count(*) FROM gps
-WHERE abs(round(latitude, 8)) >= 100 HAVING count(*) > 0
-UNION ALL
-SELECT 'fit', 'fact_transport', 'latitude', count(*) FROM fact
-WHERE abs(round(latitude, 8)) >= 100 HAVING count(*) > 0
-""")
+FIT_FOUND = {("dim_gps", "latitude"): "(SELECT count(*) FROM gps WHERE abs(round(latitude, 8)) >= 100)",
+             ("dim_gps", "longitude"): "(SELECT count(*) FROM gps WHERE abs(round(longitude, 8)) >= 1000)",
+             ("dim_gps", "speed_kmh"): "(SELECT count(*) FROM gps WHERE abs(round(speed_kmh, 2)) >= 1000)",
+             ("fact_transport", "latitude"): "(SELECT count(*) FROM fact WHERE abs(round(latitude, 8)) >= 100)",
+             ("fact_transport", "longitude"): "(SELECT count(*) FROM fact WHERE abs(round(longitude, 8)) >= 1000)",
+             ("fact_transport", "speed_kmh"): "(SELECT count(*) FROM fact WHERE abs(round(speed_kmh, 2)) >= 1000)"}
+#: Columns whose type or width can be missed, by table; the other columns always fit.
+FIT_CHECKED = {
+    "dim_transport": ["vehicle_id", "type_transport", "company_name", "fuel_type", "status"],
+    "dim_passager": ["passager_id", "stop_id", "timestamp", "vehicle_id"],
+    "dim_gps": ["position_id", "latitude", "longitude", "route_id", "speed_kmh", "timestamp", "traffic_level", "vehicle_id"],
+    "dim_incident": ["incident_id", "severity", "timestamp", "vehicle_id"],
+    "dim_stop": ["stop_id", "latitude", "longitude", "name", "zone", "vehicle_id", "passager_id"],
+    "fact_transport": ["vehicle_id", "company_name", "fuel_type", "status", "type_transport", "latitude", "longitude",
+                       "speed_kmh", "traffic_level"]}
+KEYS = {"dim_transport": "vehicle_id", "dim_passager": "passager_id", "dim_gps": "position_id",
+        "dim_incident": "incident_id", "dim_stop": "stop_id", "fact_transport": "vehicle_id"}
+ORPHANS = {("dim_passager", "stop_id"): "(SELECT count(DISTINCT stop_id) FROM passagers WHERE stop_id NOT IN (SELECT stop_id FROM stops))",
+           ("dim_passager", "vehicle_id"): "(SELECT count(DISTINCT vehicle_id) FROM passagers WHERE vehicle_id NOT IN (SELECT vehicle_id FROM transport))",
+           ("dim_gps", "vehicle_id"): "(SELECT count(DISTINCT vehicle_id) FROM gps WHERE vehicle_id NOT IN (SELECT vehicle_id FROM transport))",
+           ("dim_incident", "vehicle_id"): "(SELECT count(DISTINCT vehicle_id) FROM incident WHERE vehicle_id NOT IN (SELECT vehicle_id FROM transport))",
+           ("dim_stop", "vehicle_id"): "0"}
+
+
+def _quality_sql() -> str:
+    lines = [("key", t, k, "0") for t, k in KEYS.items()]
+    lines += [("fit", t, c, FIT_FOUND.get((t, c), "0")) for t, columns in FIT_CHECKED.items() for c in columns]
+    lines += [("reference", t, c, n) for (t, c), n in ORPHANS.items()]
+    return f"WITH {SUMMARY_CTES} " + " UNION ALL ".join(
+        f"SELECT '{check}' AS check, '{t}' AS table_name, '{c}' AS column, CAST({n} AS BIGINT) AS findings"
+        for check, t, c, n in lines)
+
+
+@query(_quality_sql())
 def quality_report(spark, sf):
-    return reports.quality_report(star.build_star(star_inputs(spark, sf))).filter("findings > 0")
+    """All lines, those without findings too."""
+    return reports.quality_report(star.build_star(star_inputs(spark, sf)))
+
+
+def _domain_sql() -> str:
+    def outside(t, source, column, ok):
+        return (f"SELECT 'domain' AS check, '{t}' AS table_name, '{column}' AS column,"
+                f" count(*) FILTER (WHERE NOT coalesce({ok}, false)) AS findings FROM {source}")
+
+    def one_of(c, values):
+        return f"{c} IN ({', '.join(repr(v) for v in values)})"
+    sizes = " OR ".join(f"(type_transport = '{k}' AND capacity IN ({', '.join(map(str, v))}))"
+                        for k, v in schemas.CAPACITY_BY_TYPE.items())
+    lat = "latitude IS NULL OR latitude BETWEEN {} AND {}".format(*schemas.LATITUDE_BOX)
+    lon = "longitude IS NULL OR longitude BETWEEN {} AND {}".format(*schemas.LONGITUDE_BOX)
+    parts = [outside("dim_transport", "transport", "fuel_type", one_of("fuel_type", schemas.FUEL_TYPES)),
+             outside("dim_transport", "transport", "status", one_of("status", schemas.STATUSES)),
+             outside("dim_transport", "transport", "type_transport", one_of("type_transport", schemas.CAPACITY_BY_TYPE)),
+             outside("dim_transport", "transport", "capacity", sizes),
+             outside("dim_gps", "gps", "latitude", lat), outside("dim_gps", "gps", "longitude", lon),
+             outside("dim_gps", "gps", "traffic_level", one_of("traffic_level", schemas.TRAFFIC_LEVELS)),
+             outside("dim_incident", "incident", "description", one_of("description", schemas.DESCRIPTIONS)),
+             outside("dim_incident", "incident", "delay_minutes", "delay_minutes IS NULL OR delay_minutes BETWEEN 0 AND 60"),
+             outside("dim_incident", "incident", "severity", "severity BETWEEN 1 AND 5"),
+             outside("dim_stop", "stops", "latitude", lat), outside("dim_stop", "stops", "longitude", lon),
+             outside("dim_stop", "stops", "zone", one_of("zone", schemas.ZONES)),
+             "SELECT 'unique', 'dim_gps', 'vehicle_id, timestamp', (SELECT count(*) FROM (SELECT 1 FROM gps"
+             " GROUP BY vehicle_id, timestamp HAVING count(*) > 1))"]
+    return f"WITH {SUMMARY_CTES} " + " UNION ALL ".join(parts)
+
+
+@query(_domain_sql())
+def domain_report(spark, sf):
+    return reports.domain_report(star.build_star(star_inputs(spark, sf)))
 
 
 SQL_TEXT = """

@@ -114,6 +114,23 @@ def test_round_robin_without_takers(spark):
     assert rows(out) == [("s", None)]
 
 
+def test_round_robin_repeats_for_rows_of_one_key(spark):
+    stops = spark.createDataFrame([("s", i) for i in range(30)], "stop_id string, n int")
+    cars = spark.range(7).selectExpr("concat('c', id) AS v")
+    first = rows(keys.assign_round_robin(stops, "stop_id", cars, "v"))
+    assert first == rows(keys.assign_round_robin(stops.repartition(5), "stop_id", cars, "v"))
+    assert [r[2] for r in first] == [f"c{i % 7}" for i in range(30)]
+
+
+def test_round_robin_sorts_only_the_takers_that_can_be_hit(spark, monkeypatch):
+    numbered = []
+    number = keys._number
+    monkeypatch.setattr(keys, "_number", lambda df, *a: (numbered.append(df.columns), number(df, *a))[1])
+    stops = spark.createDataFrame([(f"s{i}",) for i in range(5)], "stop_id string")
+    out = keys.assign_round_robin(stops, "stop_id", spark.range(1000).selectExpr("lpad(id, 4, '0') AS v"), "v")
+    assert rows(out) == [(f"s{i}", f"000{i}") for i in range(5)] and numbered == [["stop_id"]]
+
+
 def test_a_cluster_needs_the_shared_folder():
     from starmart.session import scratch_root
 
@@ -122,11 +139,23 @@ def test_a_cluster_needs_the_shared_folder():
             return dict.get(self, key, default)
 
     class Session:
-        conf = Conf({"spark.master": "spark://host"})
-
-    with pytest.raises(ValueError):
-        scratch_root(Session())
-    Session.conf = Conf({"spark.master": "local[2]"})
-    assert scratch_root(Session()) == scratch_root(Session()) and os.path.isdir(scratch_root(Session()))
+        conf = Conf()
+
+    for master in ("spark://host", "local-cluster[2,1,1024]", "yarn", None):
+        Session.conf = Conf({"spark.master": master} if master else {})
+        with pytest.raises(ValueError):
+            scratch_root(Session())
+    for master in ("local", "local[2]", "local[*]"):
+        Session.conf = Conf({"spark.master": master})
+        assert scratch_root(Session()) == scratch_root(Session()) and os.path.isdir(scratch_root(Session()))
     Session.conf = Conf({"spark.master": "spark://host", "spark.checkpoint.dir": "hdfs:///cp/"})
     assert scratch_root(Session()) == "hdfs:///cp"
+
+
+def test_written_tables_can_be_cleared_away(spark):
+    from starmart import session
+
+    df = session.materialise(spark.range(3), "x")
+    path = df.inputFiles()[0].removeprefix("file:")
+    assert os.path.exists(path) and session.clean_up(spark) >= 1
+    assert not os.path.exists(path) and session.clean_up(spark) == 0

@@ -10,18 +10,6 @@ def test_enrich_keeps_every_row(spark):
     b = spark.createDataFrame([("x", 9)], "k string, w int")
     want = [(None, 3, None), ("x", 1, 9), ("y", 2, None)]
     assert rows(joins.enrich(a, b, "k")) == want
-    assert rows(joins.enrich(a, b, "k", broadcast_below=10)) == want
-
-
-def test_broadcast_only_below_the_counted_bound(spark):
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        a, b = spark.range(1000).withColumnRenamed("id", "k"), spark.range(100).withColumnRenamed("id", "k")
-        assert "BroadcastHashJoin" in plan(joins.enrich(a, b, "k", broadcast_below=101))
-        assert "BroadcastHashJoin" not in plan(joins.enrich(a, b, "k", broadcast_below=100))
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 def test_attach_many_equals_left_join(spark):
@@ -136,3 +124,12 @@ def test_frequencies_top_k_and_previews(spark):
     assert aggregates.preview(nums, 40).count() == 40
     assert aggregates.head(nums, 5, "id").count() == 5
     assert "TakeOrderedAndProject" in plan(aggregates.preview(nums, 3, "id"))
+
+
+def test_bridge_join_refuses_repeated_keys(spark):
+    import pytest
+
+    df = spark.createDataFrame([("a",), ("a",)], "k1 string")
+    bridge = spark.createDataFrame([("a", 1)], "k1 string, k2 int")
+    with pytest.raises(ValueError, match="k1 is repeated"):
+        joins.bridge_join(df, bridge, spark.createDataFrame([(1, "x")], "k2 int, n string"), "k1", "k2")

@@ -93,8 +93,14 @@ def test_inventory_lists_plain_csv_files_only(spark, folder):
     put(folder("d/c.txt"), "z\n")
     put(folder("d/sub/e.csv"), "z\n")
     out = files.list_files(spark, folder("d"))
+    put(folder("d/none.csv"), "")
+    put(folder("d/_part.csv"), "y\n")
+    put(folder("d/.x.csv"), "y\n")
+    out = files.list_files(spark, folder("d"))
     got = [(r["name"], r["size"], r["size_mb"], r["collection"]) for r in out.collect()]
-    assert got == [("a.csv", 2, 0.0, "a"), ("b.csv", 20_000, 0.01, "b")]
+    assert got == [(".x.csv", 2, 0.0, ".x"), ("_part.csv", 2, 0.0, "_part"), ("a.csv", 2, 0.0, "a"),
+                   ("b.csv", 20_000, 0.01, "b"), ("none.csv", 0, 0.0, "none")]
+    assert files.list_files(spark, folder("d"), "*.json").count() == 0
 
 
 def test_megabytes_are_cut_not_rounded(spark):
@@ -108,7 +114,44 @@ def test_load_directory_skips_empty_and_keeps_text(spark, folder):
     put(folder("d/nothing.csv"), "")
     out, report = files.load_directory(spark, folder("d"))
     assert list(out) == ["a"] and out["a"].dtypes == [("x", "string"), ("y", "string")]
-    assert rows(report, "name", "status") == [("a.csv", "loaded"), ("empty.csv", "empty")]
+    assert rows(report, "name", "status") == [("a.csv", "loaded"), ("empty.csv", "empty"), ("nothing.csv", "empty")]
+
+
+def test_load_directory_reads_quotes_and_line_breaks(spark, folder):
+    records = [('say "hi", x', "1"), ("two\nlines", "2"), ("plain", "3")]
+    text = "a,b\n" + "".join('"' + a.replace('"', '""') + f'",{b}\n' for a, b in records)
+    put(folder("d/q.csv"), text)
+    put(folder("d/one line.csv"), 'a,b\n"say ""hi"", x",1\n')
+    put(folder("d/ragged.csv"), "a,b\n1,2\n1,2,3\n")
+    put(folder("d/short.csv"), 'a,b\n"x\ny"\n1,2\n')
+    put(folder("d/_tmp.csv"), "a\n1\n")
+    out, report = files.load_directory(spark, folder("d"))
+    assert rows(out["q"]) == sorted(records) and rows(out["one line"]) == [('say "hi", x', "1")]
+    assert rows(report, "name", "status") == [
+        ("_tmp.csv", "failed"), ("one line.csv", "loaded"), ("q.csv", "loaded"), ("ragged.csv", "failed"),
+        ("short.csv", "failed")]
+    assert "from 2 to 3" in report.where("name = 'ragged.csv'").first()["error"]
+
+
+def test_quick_start_reads_what_is_saved(spark, folder):
+    """The way of reading that the README shows."""
+    df = spark.createDataFrame([(1, 'a "q", x')], "n int, s string")
+    sinks.save(df, folder("c"), "csv")
+    assert rows(files.read_csv(spark, folder("c"), df.schema)) == rows(df)
+
+
+def test_document_ids_do_not_depend_on_splits(spark, folder):
+    put(folder("in/t.csv"), "a,b\n" + "".join(f"{i % 500},x{i % 7}\n" for i in range(4000)))
+    seen = []
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("1k", "64m"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            out, _ = files.load_directory(spark, folder("in"))
+            seen.append(rows(ingestion.as_documents(out["t"])))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert seen[0] == seen[1] and len({r[-1] for r in seen[0]}) == 4000
 
 
 def test_manifest_stops_at_a_missing_file(spark, folder):
@@ -130,6 +173,12 @@ def test_documents_flatten_to_sorted_text(spark, folder):
                          ("é", "68a1", "1.0", "", "", "[1,2]", '{"x":1}')]
 
 
+def test_numbers_as_text(spark):
+    values = [12345678.9, 1e-05, 0.5, 1e7, 123456789012345.6, 1e16, 1.5e-7, -2.5e-4, 0.0, 1e100, -1234567.25, 0.0001234567890123456]
+    df = spark.createDataFrame([(float(v),) for v in values], "d double")
+    assert [r[0] for r in documents.flatten_documents(df).collect()] == [str(float(v)) for v in values]
+
+
 def test_iso_timestamps(spark):
     df = spark.sql("SELECT timestamp_ntz'2025-07-13 02:32:48' a, timestamp_ntz'2025-07-13 02:32:48.9' b")
     assert tuple(df.select(iso_timestamp(F.col("a")), iso_timestamp(F.col("b"))).first()) == (
@@ -157,8 +206,9 @@ def test_payload_stream_takes_each_file_once(spark, folder):
     record = T.StructType([T.StructField("id", T.LongType())])
 
     def run():
-        stream_payload(spark, folder("land"), record, "stops", folder("out"), folder("cp")).awaitTermination()
-        return rows(spark.read.schema(record).parquet(folder("out")))
+        stream_payload(spark, folder("land"), record, "stops", folder("out"), folder("cp"),
+                       folder("refused")).awaitTermination()
+        return rows(spark.read.schema(record).parquet(folder("out")), "id")
 
     put(folder("land/1.json"), json.dumps({"stops": [{"id": 1}, {"id": 2}]}, indent=1))
     assert run() == [(1,), (2,)]
@@ -167,6 +217,23 @@ def test_payload_stream_takes_each_file_once(spark, folder):
     assert run() == [(1,), (2,), (3,)]
 
 
+def test_payload_stream_keeps_what_it_refuses(spark, folder):
+    from pyspark.sql import types as T
+
+    record = T.StructType([T.StructField("id", T.LongType())])
+    put(folder("land/1.json"), json.dumps({"status": 200, "stops": [{"id": 1}]}, indent=1))
+    put(folder("land/2.json"), json.dumps({"status": 200, "stops": [{"id": 2}, {"id": 3}]})[:-9])
+    put(folder("land/3.json"), json.dumps({"status": 503, "stops": [{"id": 4}]}))
+    put(folder("land/4.json"), json.dumps({"status": 200, "error": "x"}))
+    put(folder("land/5.json"), json.dumps({"status": 200, "stops": []}))
+    stream_payload(spark, folder("land"), record, "stops", folder("out"), folder("cp"),
+                   folder("refused")).awaitTermination()
+    assert rows(spark.read.schema(record).parquet(folder("out")), "id") == [(1,)]
+    refused = spark.read.parquet(folder("refused")).select(F.element_at(F.split("file", "/"), -1).alias("f"), "reason", "payload")
+    assert [(r[0], r[1], r[2] is None) for r in sorted(refused.collect())] == [
+        ("2.json", "unreadable", False), ("3.json", "status 503", True), ("4.json", "no stops", True)]
+
+
 PAGE = """<html><body><table><tr><td>outside</td></tr></table>
 <div class="wide table-container"><table>
 <tr><th> Operator Name (Short Name) </th><th>City</th><th>State / Province</th><th>Country</th></tr>
@@ -192,6 +259,20 @@ def test_html_nested_tables_come_out_per_level(spark):
     assert rows(documents.extract_html_rows(pages), "row_no", "cells") == [(1, ["ab", "b"]), (2, ["b"])]
 
 
+def test_html_end_tags_may_be_left_out(spark):
+    html = '<div class="table-container"><table>' + "<tr><td>x<td>y" * 2000 + "</table></div>"
+    nested = '<div class="table-container"><table><tr><td>a<table><tr><td>b<tr><td>c</table><td>d</table></div>'
+    pages = spark.createDataFrame([(1, html), (2, nested)], "page_id long, html string")
+    out = documents.extract_html_rows(pages)
+    one = out.where("page_id = 1")
+    assert one.count() == 2000 and one.where("cells = array('x', 'y')").count() == 2000
+    assert rows(out.where("page_id = 2"), "row_no", "cells") == [(1, ["abc", "b", "c", "d"]), (2, ["b"]), (3, ["c"])]
+    items = documents.extract_html_rows(
+        spark.createDataFrame([(1, "<nav><ul><li>a<li>b<ul><li>c</ul></ul></nav>")], "page_id long, html string"),
+        container="nav", css_class=None, row="ul", cells=("li",))
+    assert rows(items, "row_no", "cells") == [(1, ["a", "bc", "c"]), (2, ["c"])]
+
+
 def test_operator_catalogue(spark):
     pages = spark.createDataFrame([(2, PAGE), (1, PAGE.replace("Dakar", "Thiès"))], "page_id long, html string")
     assert rows(ingestion.build_operators(pages)) == [
@@ -226,14 +307,15 @@ def test_jdbc_options_come_from_the_caller():
         "url": "jdbc:x:y", "user": "u", "dbtable": "t", "partitionColumn": "id", "lowerBound": "1",
         "upperBound": "100", "numPartitions": "8"}
     assert jdbc.write_options(opts, "t") == {
-        "url": "jdbc:x:y", "user": "u", "dbtable": "t", "batchsize": "1000", "truncate": "true"}
+        "url": "jdbc:x:y", "user": "u", "dbtable": "t", "batchsize": "1000", "truncate": "true",
+        "numPartitions": "8"}
     assert opts == {"url": "jdbc:x:y", "user": "u"}
 
 
 def test_load_jdbc_swaps_only_a_complete_staging_table(spark, monkeypatch):
     """The order of steps, with the database replaced by a dict of frames."""
     store, steps = {"t": spark.range(2)}, []
-    monkeypatch.setattr(jdbc, "read_jdbc", lambda s, o, table, partition=None: store[table])
+    monkeypatch.setattr(jdbc, "count_rows", lambda s, o, table: store[table].count())
 
     def write(df, opts, table, mode="overwrite", batchsize=1000, truncate=True):
         steps.append((table, mode, batchsize))

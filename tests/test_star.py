@@ -1,3 +1,4 @@
+import os
 from datetime import datetime
 
 import pytest
@@ -148,7 +149,8 @@ def test_detail_and_pairs_say_what_the_fan_out_says(spark, inputs):
     people = inputs["passagers"].select("_id", "vehicle_id")
     pairs = joins.vehicle_stops(inputs["passagers"], "vehicle_id", "stop_id")
     records = joins.attach_many(cars, people, "vehicle_id")
-    fan_out = joins.bridge_join(records, pairs, inputs["stops"].select("stop_id", "name"), "vehicle_id", "stop_id")
+    fan_out = joins.bridge_join(records, pairs, inputs["stops"].select("stop_id", "name"), "vehicle_id", "stop_id",
+                                fan_out=True)
     by_pass = {r["vehicle_id"]: r["n"] for r in people.groupBy("vehicle_id").count().toDF("vehicle_id", "n").collect()}
     by_stop = {r["vehicle_id"]: r["n"] for r in pairs.groupBy("vehicle_id").count().toDF("vehicle_id", "n").collect()}
     ids = [r["vehicle_id"] for r in cars.collect()]
@@ -167,14 +169,41 @@ def test_unknown_variant(inputs):
         star.build_star(inputs, "other")
 
 
-def test_publishable_has_the_declared_types(inputs):
+def test_publishing_is_strict(inputs):
     tables = star.publishable(star.build_star(inputs, "summary_full"))
     for name, schema in schemas.SCHEMAS.items():
         if name in tables:
             assert [(f.name, f.dataType) for f in tables[name].schema] == [(f.name, f.dataType) for f in schema]
-    gps = {r["route_id"] + str(r["timestamp"])[:10]: r["speed_kmh"] for r in tables["dim_gps"].collect()}
-    assert gps["R2None"] is None  # 1000 km/h does not fit
-    assert gps["R22025-07-01"] is None  # not a number
+    with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE"):
+        tables["dim_gps"].collect()  # 1000 km/h does not fit
+
+
+def test_publish_sets_misfits_aside(spark, inputs, folder):
+    import json
+
+    tables = star.build_star(inputs, "summary_full")
+    report = {r["table_name"]: r for r in star.publish(tables, folder("w")).collect()}
+    for name, df in tables.items():
+        r = report[name]
+        assert r["sent"] == df.count() == r["stored"] + r["quarantined"]
+        assert spark.read.parquet(folder(f"w/{name}")).count() == r["stored"]
+    aside = spark.read.parquet(folder("w/quarantine")).collect()
+    assert report["dim_gps"]["quarantined"] == 1 and len(aside) == sum(r["quarantined"] for r in report.values())
+    gps = next(r for r in aside if r["table_name"] == "dim_gps")
+    assert gps["reasons"] == "speed_kmh: does not fit" and json.loads(gps["row"])["speed_kmh"] == 1000.0
+    star.publish(tables, folder("w"))  # replaces, leaves nothing behind
+    assert sorted(p for p in os.listdir(folder("w")) if not p.startswith(".")) == sorted([*tables, "quarantine"])
+
+
+def test_misfits_of_every_kind(spark):
+    from starmart.operators.quality import with_reasons
+
+    schema = schemas.SCHEMAS["dim_incident"]
+    rows_ = [("i1", 1, "d", "1"), ("i1", 2, "d", "1"), (None, 1, "d", "1"), ("x" * 60, 1, "d", "1"), ("ok", 1, "d", "1")]
+    df = spark.createDataFrame(rows_, "incident_id string, delay_minutes long, description string, severity string")
+    found = {(r["incident_id"] or "", r["delay_minutes"]): r["__reasons"] for r in with_reasons(df, schema).collect()}
+    assert found[("i1", 1)] == found[("i1", 2)] == ["incident_id: repeated key"] and found[("ok", 1)] == []
+    assert found[("", 1)] == ["incident_id: null key"] and found[("x" * 60, 1)] == ["incident_id: does not fit"]
 
 
 def test_fact_shuffles_each_input_once(spark, inputs):
@@ -188,13 +217,30 @@ def test_fact_shuffles_each_input_once(spark, inputs):
 
 
 def test_quality_report(inputs):
-    found = reports.quality_report(star.build_star(inputs)).filter("findings > 0")
+    report = reports.quality_report(star.build_star(inputs))
+    assert report.where("check = 'reference'").count() == len(schemas.FOREIGN_KEYS)
+    assert report.where("findings = 0").count() > 20
+    found = report.filter("findings > 0")
     assert rows(found) == [
         ("fit", "dim_gps", "speed_kmh", 2), ("fit", "fact_transport", "speed_kmh", 1),
         ("key", "dim_transport", "vehicle_id", 1), ("key", "fact_transport", "vehicle_id", 1),
         ("reference", "dim_passager", "stop_id", 1), ("reference", "dim_passager", "vehicle_id", 1)]
 
 
+def test_domain_report(spark):
+    tables = {"dim_transport": spark.createDataFrame(
+        [("a", 60, "Diesel", "actif", "Bus interurbain"), ("b", 60, "Gaz", "actif", "Taxi-Clin"), ("c", None, None, "vendu", "Minicar")],
+        "vehicle_id string, capacity int, fuel_type string, status string, type_transport string"),
+        "dim_gps": spark.createDataFrame([("p", 14.7, -17.3, "Faible", "a", "t"), ("q", 15.0, None, "?", "a", "t")],
+                                         "position_id string, latitude double, longitude double, traffic_level string,"
+                                         " vehicle_id string, timestamp string")}
+    assert rows(reports.domain_report(tables)) == [
+        ("domain", "dim_gps", "latitude", 1), ("domain", "dim_gps", "longitude", 0), ("domain", "dim_gps", "traffic_level", 1),
+        ("domain", "dim_transport", "capacity", 2), ("domain", "dim_transport", "fuel_type", 2),
+        ("domain", "dim_transport", "status", 1), ("domain", "dim_transport", "type_transport", 0),
+        ("unique", "dim_gps", "vehicle_id, timestamp", 1)]
+
+
 def test_reports(inputs):
     tables = star.build_star(inputs, "summary_full")
     out = rows(reports.relationship_report(tables))

@@ -136,7 +136,21 @@ def op7_locally_consistent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_with_next(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-@query()
+@query("""
+    WITH crc_table AS (SELECT list_transform(range(256), lambda n: list_reduce(range(8),
+         lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, n)) AS t),
+    bytes AS (SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 1 AS size, list_transform(
+              regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: ('0x' || h)::BIGINT) AS b FROM documents),
+    keyed AS (SELECT doc_id, size, xor(list_reduce(b, lambda c, x: xor(c // 256, t[(xor(c % 256, x) + 1)::INT]),
+                     4294967295), 4294967295) AS crc FROM bytes, crc_table),
+    placed AS (SELECT *, sum(size) OVER (ORDER BY crc, doc_id NULLS FIRST ROWS UNBOUNDED PRECEDING) - size AS before,
+                      sum(size) OVER () AS total FROM keyed),
+    cut AS (SELECT *, least(15, before * 16 // total)::INTEGER AS shard FROM placed)
+    SELECT doc_id, size::BIGINT AS size, crc AS text_crc32, 'bytes' AS law, shard,
+           row_number() OVER (PARTITION BY shard ORDER BY crc, doc_id NULLS FIRST) - 1 AS slot,
+           CAST(NULL AS INTEGER) AS grown_shard
+    FROM cut
+""")
 def op8_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 16 shards of equal bytes."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")

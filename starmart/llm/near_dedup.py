@@ -19,9 +19,15 @@ probability 0.99997. Then
 2. in each bucket (band, hash) every node is paired with the bucket's least node, the hub, so a
    group of a thousand copies has a thousand pairs, and the pairs are tested on their whole texts;
 3. the links give components, and components meet again in their buckets: where a bucket still
-   holds nodes of different components, the pairs across components are tested too, but for
-   those whose sizes alone rule them out. So every pair of a bucket is either tested or already
-   in one component, and no link is lost;
+   holds nodes of different components, its nodes are paired once more with hubs, now the least
+   edited node among those that agree in two bands. What is still apart then is tested in all
+   pairs across components, but for those that are ruled out. What rules out is exact: the sizes
+   of two texts, and the weight of their rare shingles (at most ``RARE`` of these nodes have
+   them), for two texts without a rare shingle in common share no more than what is left of
+   either without its own. Pairs with a rare shingle in common are found by it, which is a join
+   with short groups. So a heavily edited copy, or a text with only a common line in common, meets
+   few others, every other pair of a bucket is either tested or already in one component, and no
+   link is lost;
 4. components of all links are the classes.
 """
 
@@ -41,6 +47,10 @@ from starmart.session import materialise
 
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 20, 4
+#: Two bands agree if they are so far apart.
+STEPS = (1, 3, 7)
+#: A shingle is rare if so many nodes have it at most.
+RARE = 32
 BATCH_BYTES = 4 << 20
 ALL = (1 << 64) - 1
 IS_WHITE = np.zeros(256, dtype=bool)
@@ -52,8 +62,7 @@ def shingles(texts: list[bytes], width: int = SHINGLE) -> tuple[np.ndarray, np.n
     """Hashes of the shingles of all texts, in their order, and how many each text has. A text of
     fewer words than ``width`` has one shingle, all its words; one without words has none."""
     raw = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
-    sizes = np.array([len(t) + 1 for t in texts], dtype=np.int64)
-    ends_of_text = np.cumsum(sizes)
+    ends_of_text = np.cumsum([len(t) + 1 for t in texts])
     white = IS_WHITE[raw]
     start = ~white
     start[1:] &= white[:-1]
@@ -155,19 +164,22 @@ def signatures(elements: np.ndarray, weights: np.ndarray, sizes: np.ndarray, k:
 
 
 def band_hashes(texts: list[bytes], bands: int, rows: int, by_count: bool) -> tuple[np.ndarray, np.ndarray]:
-    """One hash per text and band, and the number of distinct shingles of each text."""
+    """One hash per text and band, and the summed weight of each text's shingles."""
     hashes, counts = shingles(texts)
     elements, weights, sizes = weighted(hashes, counts, by_count)
     darts = signatures(elements, weights, sizes, bands * rows).reshape(len(texts), bands, rows)
     total = (darts * PLACE[:rows]).sum(axis=2, dtype=np.uint64)
-    return mix(total + np.arange(bands, dtype=np.uint64) * GOLDEN), sizes
+    owners = np.repeat(np.arange(len(texts)), sizes)
+    return mix(total + np.arange(bands, dtype=np.uint64) * GOLDEN), np.bincount(owners, weights, len(texts))
 
 
 def similarity(a: tuple, b: tuple) -> float:
-    """Weighted Jaccard similarity of two texts' shingles with their weights."""
+    """Weighted Jaccard similarity of two texts' shingles, each sorted, with their weights."""
     (x, u), (y, v) = a, b
-    both, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
-    low = np.minimum(u[i], v[j]).sum()
+    at = np.searchsorted(y, x)
+    same = at < len(y)
+    same[same] = y[at[same]] == x[same]
+    low = np.minimum(u[same], v[at[same]]).sum()
     whole = u.sum() + v.sum() - low
     return float(low / whole) if whole else 0.0
 
@@ -188,7 +200,7 @@ def _signed(df: DataFrame, bands: int, rows: int, by_count: bool) -> DataFrame:
                     lists = pa.ListArray.from_arrays(np.arange(len(group) + 1) * bands,
                                                      pa.array(hashes.view(np.int64).ravel()))
                     yield pa.RecordBatch.from_arrays(
-                        [part.column(0), part.column(1), pa.array(sizes, pa.int64()), lists],
+                        [part.column(0), part.column(1), pa.array(sizes.astype(np.int64)), lists],
                         names=["id", "node", "size", "bands"])
                     at, held, group = i + 1, 0, []
 
@@ -196,24 +208,66 @@ def _signed(df: DataFrame, bands: int, rows: int, by_count: bool) -> DataFrame:
         sign, "id long, node string, size long, bands array<long>")
 
 
-def _tested(pairs: DataFrame, texts: DataFrame, threshold: float, by_count: bool) -> DataFrame:
-    """The pairs (``a``, ``b``) of nodes whose texts are as similar as asked, tested in full."""
-    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, last = None, None
+SET = "node string, s binary, w binary"
+
+
+def _sets(docs: DataFrame, nodes: DataFrame, needed: DataFrame, by_count: bool) -> DataFrame:
+    """Sorted shingles and weights of each needed node, written: from the one row with the node's
+    least id where ids are given; any of equal rows."""
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
             for i in range(batch.num_rows):
-                a, x, y = (batch.column(j)[i] for j in (0, 2, 3))
-                if a.as_py() != last:
-                    last, known = a.as_py(), weighted(*shingles([x.as_buffer().to_pybytes()]), by_count)[:2]
-                other = weighted(*shingles([y.as_buffer().to_pybytes()]), by_count)[:2]
-                keep.append(similarity(known, other) >= threshold)
+                found, weights, _ = weighted(*shingles([batch.column(1)[i].as_buffer().to_pybytes()]), by_count)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(i, 1), pa.array([found.tobytes()], pa.binary()),
+                     pa.array([weights.astype(np.float32).tobytes()], pa.binary())], names=["node", "s", "w"])
+
+    chosen = needed.distinct().join(nodes.select("node", F.col("id").alias("own")), "node")
+    found = docs.join(chosen, "node").where("own IS NULL OR id = own").select("node", "text").dropDuplicates(["node"])
+    return materialise(found.select("node", F.encode("text", "utf-8").alias("text")).mapInArrow(cut, SET), "sets")
+
+
+def _set(batch: pa.RecordBatch, row: int, s: str, w: str) -> tuple[np.ndarray, np.ndarray]:
+    return (np.frombuffer(batch.column(s)[row].as_buffer(), np.uint64),
+            np.frombuffer(batch.column(w)[row].as_buffer(), np.float32).astype(float))
+
+
+def _tested(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """The pairs (``a``, ``b``) of nodes that are as similar as asked, by all their shingles."""
+    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = [similarity(_set(batch, i, "s_a", "w_a"), _set(batch, i, "s_b", "w_b")) >= threshold
+                    for i in range(batch.num_rows)]
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
     def side(name: str) -> DataFrame:
-        return texts.select(F.col("node").alias(name), F.encode("text", "utf-8").alias(f"text_{name}"))
-    both = pairs.join(side("b"), "b").join(side("a"), "a")  # sorted by a: a hub is read once
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(test, "a string, b string")
+        return sets.select(F.col("node").alias(name), F.col("s").alias(f"s_{name}"), F.col("w").alias(f"w_{name}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    return materialise(both.select("a", "b", "s_a", "w_a", "s_b", "w_b").mapInArrow(test, "a string, b string"), "links")
+
+
+def _rare(sets: DataFrame) -> DataFrame:
+    """Shingles that at most ``RARE`` of the nodes have: ``s``, ``node``, weight ``w``, and ``n``,
+    how many have it; written."""
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                s, w = _set(batch, i, "s", "w")
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(i, 1), pa.array([s.view(np.int64)], pa.list_(pa.int64())),
+                     pa.array([w], pa.list_(pa.float64()))], names=["node", "s", "w"])
+
+    each = (sets.mapInArrow(listed, "node string, s array<long>, w array<double>")
+            .select(F.unhex("node").alias("node"), F.inline(F.arrays_zip("s", "w"))))
+    counts = each.groupBy("s").agg(F.count("*").alias("n")).where(F.col("n") <= RARE)
+    return materialise(each.join(counts, "s").withColumn("node", F.lower(F.hex("node"))), "rare")
+
+
+def _pairs_with_hubs(rows: DataFrame, keys: list[str], hub, other=None) -> DataFrame:
+    """In each group of rows, every node with the group's hub: pairs ``a`` (hub) and ``b``."""
+    hubs = rows.groupBy(*keys).agg(hub.alias("hub"), F.count("*").alias("n")).where("n > 1").drop("n")
+    hubs = hubs.select(*keys, *[F.col("hub")[c].alias(f"{c}_a") for c in other or ["node", "size"]])
+    return rows.join(hubs, keys).where("node <> node_a")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -270,35 +324,73 @@ def near_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.min("id").alias("id"), F.first("size").alias("size"), F.first("bands").alias("bands")), "nodes")
     banded = nodes.where("size > 0").select("node", "size", F.posexplode("bands").alias("band", "hash"))
 
-    hubs = (banded.groupBy("band", "hash").agg(F.min("node").alias("a"), F.count("*").alias("n"))
-            .where("n > 1").drop("n"))
-    pairs = materialise(banded.join(hubs, ["band", "hash"]).where("a <> node")
-                        .select("a", F.col("node").alias("b"), "size").distinct(), "pairs")
-    sizes = nodes.select(F.col("node").alias("a"), F.col("size").alias("size_a"))
-    possible = F.least("size", "size_a") >= F.lit(threshold) * F.greatest("size", "size_a")
-    if not by_count:
-        pairs = pairs.join(sizes, "a").where(possible)
-    pairs = pairs.select("a", "b")
-    needed = pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).distinct()
-    texts = materialise(_one_text_each(docs, nodes, needed), "texts")
-    links = materialise(_tested(pairs, texts, threshold, by_count), "links")
+    def similar_size(x: str, y: str):
+        return F.least(x, y) >= F.lit(threshold - 1e-9) * F.greatest(x, y)
+
+    def shared_enough(x: str, y: str, size_x: str, size_y: str):
+        return F.least(x, y) >= F.lit(threshold / (1 + threshold) - 1e-9) * (F.col(size_x) + F.col(size_y))
+
+    def ordered(pairs: DataFrame, x: str, y: str) -> DataFrame:
+        return pairs.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).distinct()
+
+    def of_several(rows: DataFrame) -> DataFrame:
+        """The rows of buckets with nodes of different components."""
+        mixed = (rows.groupBy("band", "hash").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+                 .where("low <> high").select("band", "hash"))
+        return rows.join(mixed, ["band", "hash"])
+
+    def with_component(rows: DataFrame) -> DataFrame:
+        return rows.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+    # every node with the least node of each of its buckets
+    found = _pairs_with_hubs(banded, ["band", "hash"], F.min(F.struct("node", "size")))
+    tested = materialise(ordered(found.where(similar_size("size", "size_a")), "node", "node_a"), "pairs")
+    sets = _sets(docs, nodes, _ends(tested), by_count)
+    links = _tested(tested, sets, threshold)
+    parts = components(links)
+
+    # buckets that still hold several components, without the nodes that can be like no other
+    mixed = materialise(of_several(with_component(banded)), "mixed")
+    sets = _sets(docs, nodes, mixed.select("node"), by_count)
+    rare = _rare(sets)
+    weights = rare.groupBy("node").agg(F.sum("w").alias("rare"), F.sum(F.when(F.col("n") == 1, F.col("w"))).alias("alone"))
+    left_over = (mixed.join(weights, "node", "left")
+                 .withColumn("shared", F.col("size") - F.coalesce("alone", F.lit(0.0)))
+                 .withColumn("common", F.col("size") - F.coalesce("rare", F.lit(0.0)))
+                 .where(F.col("shared") >= F.lit(threshold - 1e-9) * F.col("size")))
+    left_over = materialise(of_several(left_over), "left-over")
+
+    # hubs again, now the least edited node of those that agree in two bands
+    own = left_over.select("node", "size", "shared", "component").distinct().join(nodes.select("node", "bands"), "node")
+    twos = F.array(*[F.struct(F.lit(step * bands + i).alias("two"), F.xxhash64(
+        F.col("bands")[i], F.col("bands")[(i + step) % bands]).alias("hash")) for step in STEPS for i in range(bands)])
+    found = _pairs_with_hubs(own.select("node", "size", "shared", "component", F.inline(twos)), ["two", "hash"],
+                             F.max(F.struct("shared", "node", "size", "component")),
+                             ["shared", "node", "size", "component"])
+    found = found.where((F.col("component") != F.col("component_a")) & similar_size("size", "size_a")
+                        & shared_enough("shared", "shared_a", "size", "size_a"))
+    more = materialise(ordered(found, "node", "node_a").join(tested, ["a", "b"], "left_anti"), "pairs")
+    links = links.unionByName(_tested(more, sets, threshold))
+    tested = tested.unionByName(more)
     parts = components(links)
 
-    labelled = banded.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = (labelled.groupBy("band", "hash").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-             .where("low <> high").select("band", "hash"))
-    labelled = materialise(labelled.join(mixed, ["band", "hash"]), "mixed-buckets")
-    left, right = labelled.alias("x"), labelled.alias("y")
-    fits = F.least("x.size", "y.size") >= F.lit(threshold) * F.greatest("x.size", "y.size")
-    across = (left.join(right, (F.col("x.band") == F.col("y.band")) & (F.col("x.hash") == F.col("y.hash"))
-                        & (F.col("x.component") < F.col("y.component")) & (F.lit(by_count) | fits))
-              .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
-              .distinct().join(pairs, ["a", "b"], "left_anti"))
-    across = materialise(across, "across")
+    # what is left, across components: pairs that have a rare shingle in common, and pairs of a
+    # bucket that are similar enough without one
+    left_over = materialise(of_several(with_component(left_over.drop("component"))), "left-over")
+    x, y = left_over.alias("x"), left_over.alias("y")
+    apart = (F.col("x.component") < F.col("y.component")) & similar_size("x.size", "y.size")
+    plain = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.hash") == F.col("y.hash")) & apart
+                   & shared_enough("x.common", "y.common", "x.size", "y.size"))
+    own = left_over.select("node", "size", "shared", "component").distinct()
+    holders = rare.where("n > 1").select("s", "node").join(own, "node")
+    x, y = holders.alias("x"), holders.alias("y")
+    sharing = x.join(y, (F.col("x.s") == F.col("y.s")) & apart  # at most RARE rows per shingle
+                     & shared_enough("x.shared", "y.shared", "x.size", "y.size"))
+    across = ordered(plain, "x.node", "y.node").unionByName(ordered(sharing, "x.node", "y.node")).distinct()
+    across = materialise(across.join(tested, ["a", "b"], "left_anti"), "across")
     if not across.isEmpty():
-        needed = across.select("a").unionByName(across.select(F.col("b").alias("a"))).distinct()
-        more = materialise(_tested(across, _one_text_each(docs, nodes, needed), threshold, by_count), "links")
-        parts = components(links.unionByName(more))
+        links = links.unionByName(_tested(across, sets, threshold))
+        parts = components(links)
 
     classes = nodes.join(parts, "node", "left").select("node", "id", F.coalesce("component", "node").alias("component"))
     least = classes.groupBy("component").agg(F.min("id").alias("class"))
@@ -312,12 +404,8 @@ def near_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     .otherwise(F.col(found)).alias(out)))
 
 
-def _one_text_each(docs: DataFrame, nodes: DataFrame, needed: DataFrame) -> DataFrame:
-    """The text of each needed node, from the one row with the node's least id where ids are
-    given; any of equal rows."""
-    chosen = needed.select(F.col("a").alias("node")).join(nodes.select("node", F.col("id").alias("own")), "node")
-    found = docs.join(chosen, "node").where("own IS NULL OR id = own")
-    return found.select("node", "text").dropDuplicates(["node"])
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
 
 
 def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:

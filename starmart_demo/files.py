@@ -432,7 +432,7 @@ def publish_quarantine(spark, sf):
 @query(STOP_SQL)
 def recreate(spark, sf):
     """A declared table made anew, filled, and read."""
-    sql.recreate(spark, ["dim_stop"])
+    sql.recreate(spark, ["dim_stop"], scratch_dir(spark, "recreated"))
     star.publishable(star.build_star(star_inputs(spark, sf), tables=["dim_stop"]))["dim_stop"].write.insertInto("dim_stop")
     df = spark.table("dim_stop")
     return df.select(*[F.col(c).cast("double") if t.startswith("decimal") else F.col(c) for c, t in df.dtypes])

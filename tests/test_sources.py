@@ -355,3 +355,12 @@ def test_recreate_tables(spark):
     sql.recreate(spark, ["dim_stop"])
     assert spark.table("dim_stop").count() == 0
     assert spark.table("fact_transport").columns == schemas.SCHEMAS["fact_transport"].names
+
+
+def test_recreate_in_a_folder_empties_it(spark, folder):
+    for _ in range(2):
+        sql.recreate(spark, ["operators"], folder("db"))
+        assert spark.table("operators").count() == 0
+        spark.sql("INSERT INTO operators (id) VALUES (1)")
+        assert spark.read.parquet(folder("db/operators")).count() == 1
+    spark.sql("DROP TABLE operators")

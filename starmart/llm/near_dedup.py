@@ -376,11 +376,14 @@ def near_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     # what is left, across components: pairs that have a rare shingle in common, and pairs of a
     # bucket that are similar enough without one
-    left_over = materialise(of_several(with_component(left_over.drop("component"))), "left-over")
+    left_over = with_component(left_over.drop("component")).join(nodes.select("node", "bands"), "node")
+    left_over = materialise(of_several(left_over), "left-over")
     x, y = left_over.alias("x"), left_over.alias("y")
     apart = (F.col("x.component") < F.col("y.component")) & similar_size("x.size", "y.size")
+    agree = F.zip_with("x.bands", "y.bands", lambda p, q: p == q)
     plain = x.join(y, (F.col("x.band") == F.col("y.band")) & (F.col("x.hash") == F.col("y.hash")) & apart
-                   & shared_enough("x.common", "y.common", "x.size", "y.size"))
+                   & shared_enough("x.common", "y.common", "x.size", "y.size")
+                   & (F.array_position(agree, True) == F.col("x.band") + 1))  # in their first bucket only
     own = left_over.select("node", "size", "shared", "component").distinct()
     holders = rare.where("n > 1").select("s", "node").join(own, "node")
     x, y = holders.alias("x"), holders.alias("y")

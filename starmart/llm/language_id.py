@@ -28,6 +28,8 @@ from starmart.llm.common import quoted, text_or_empty, without
 
 WIDTHS, FILTERS, WINDOW = (2, 3, 4), 8, 128
 DOCS, WINDOWS, STEPS, BATCH, RATE = 400, 6, 400, 128, 0.01
+#: So many languages are learned at most, the most frequent ones.
+LANGUAGES = 1000
 STRIDE = WINDOW - max(WIDTHS) + 1
 BATCH_WINDOWS = 512
 UNKNOWN = "und"
@@ -42,10 +44,11 @@ def labelled_windows(df: DataFrame, lang_col: str, text_col: str, id_col: str,
                          quoted(text_col).cast("string").alias("text")).where(
         "lang IS NOT NULL AND text IS NOT NULL AND length(text) > 0")
     order = F.xxhash64("id", "text")
-    counts = labelled.groupBy("lang").agg(F.count("*").alias("n"))
-    # twice as many as asked by the share of hashes, so that the sort below sees few rows
+    counts = labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
+    # twice as many as asked by the share of hashes, so that what is sorted below is small
     share = (F.lit(2.0 * docs) + 50) / F.col("n")
-    near = labelled.join(counts, "lang").where(F.pmod(order, F.lit(1 << 20)) < share * (1 << 20))
+    near = (labelled.join(F.broadcast(counts), "lang")  # at most LANGUAGES rows
+            .where(F.pmod(order, F.lit(1 << 20)) < share * (1 << 20)))
     chosen = near.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy(order, "id")))
     raw = F.encode(F.lower("text"), "utf-8")
     return (chosen.where(F.col("place") <= docs).withColumn("raw", raw)

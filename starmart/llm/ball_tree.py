@@ -98,7 +98,7 @@ class Block:
             centre, radius = nodes[node][4:]
             size = self.length[rows] * (np.sqrt((centre ** 2).sum()) + radius)
             bound = queries[rows] @ centre + self.length[rows] * radius + size * 1e-9 + 1e-6
-            return np.maximum(bound, float(LEAST))
+            return np.maximum(np.where(np.isnan(bound), np.inf, bound), float(LEAST))
 
         everyone = np.arange(len(self.ids))
         first = bounds(everyone, 0)
@@ -183,11 +183,11 @@ def planted(row: dict) -> tuple[np.ndarray, np.ndarray, list[tuple]]:
     return ids, matrix.reshape(len(ids), width), nodes
 
 
-def _clean(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
+def _clean(df: DataFrame, id_col: str, vector_col: str, scale: float) -> DataFrame:
     vector = quoted(vector_col).cast("array<double>")
     return df.select(quoted(id_col).cast("long").alias("vec_id"), vector.alias("vector")).where(
         "vec_id IS NOT NULL AND vector IS NOT NULL AND forall(vector, x -> x IS NOT NULL"
-        " AND NOT isnan(x) AND abs(x) < double('infinity'))")
+        f" AND NOT isnan(x) AND abs(x * {scale}D) < double('infinity'))")
 
 
 def top_k(df: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_id",
@@ -197,14 +197,15 @@ def top_k(df: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_id",
 
     Every component is turned into floor(``scale`` · x) first. Queries are the rows whose id is
     divisible by ``every``; candidates are all rows but those with the query's id. Rows with a
-    null id, a null vector, or a vector with null or non-finite components take no part. Repeated
+    null id, a null vector, or a vector with null or non-finite components (scaled, as doubles) take
+    no part. Repeated
     rows (same id, same vector) count once; an id with several vectors is a query with the first
     of them in their order and a candidate with each. Vectors of different lengths are filled up
     with zeros. A score beyond a long counts as the greatest or least long. An empty table gives an
     empty result.
     """
     spark = df.sparkSession
-    clean = _clean(df, id_col, vector_col)
+    clean = _clean(df, id_col, vector_col, scale)
     counts = clean.agg(F.count("*").alias("n"), F.count_if(F.col("vec_id") % every == 0).alias("q")).first()
     shards, blocks = -(-counts["n"] // shard_rows) or 1, -(-counts["q"] // block_rows) or 1
     groups = min(shards, max(1, -(-2 * spark.sparkContext.defaultParallelism // blocks)))

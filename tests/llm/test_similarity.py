@@ -173,7 +173,7 @@ def test_top_k(spark, shard_rows, block_rows):
 def test_top_k_of_odd_vectors(spark, n):
     rows = [(0, [1.0, 2.0]), (0, [1.0, 2.0]), (20, [1e30, 1.0, 3.0]), (40, [float("nan")]), (60, None), (80, []),
             (None, [1.0]), (3, [1.0, None]), (4, [-1e30]), (5, [1.0, 2.0]), (6, [1.0, 2.0]), (120, [float("inf")]),
-            (100, [0.5, -0.01, 0.0, 7.0]), (7, [2e5] * 3), (7, [2e5] * 4)]
+            (100, [0.5, -0.01, 0.0, 7.0]), (7, [2e5] * 3), (7, [2e5] * 4), (8, [1e200, -1e200])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     assert sorted(map(tuple, ball_tree.top_k(df, shard_rows=n, block_rows=n).collect())) == top_by_hand(rows)
     assert ball_tree.top_k(df.limit(0)).count() == 0

@@ -31,7 +31,7 @@ from starmart.llm.near_dedup import IS_WHITE, shingles
 
 LABELLED, POOL, ROUNDS, HANDED, CONFIDENT = 4000, 4000, 4, 200, 0.95
 SOURCES, LANGUAGES, LENGTHS = 64, 32, 24
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 1 << 20
 OUTPUT = ("text_score", "page_score", "score", "keep")
 
 
@@ -205,17 +205,18 @@ def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 names=["y", "text_view", "page_view"])
 
 
-def _features(df: DataFrame, y) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Verdicts and both views of the rows of a bounded sample, in an order that depends on them alone."""
-    rows = sorted(df.select(y.cast("double").alias("y"), *_inputs(df)).mapInArrow(
+def _features(df: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Verdicts (NaN for the pool) and both views of a bounded sample, in an order that depends on
+    the rows alone."""
+    rows = sorted(df.select("y", *_inputs(df)).mapInArrow(
         _featured, "y double, text_view binary, page_view binary").collect(),
         key=lambda r: (bytes(r["text_view"]), bytes(r["page_view"]), r["y"]))
     order = np.random.default_rng(1).permutation(len(rows))
     rows = [rows[i] for i in order]
-    shape = (np.float32, 256 + 6, SOURCES + LANGUAGES + LENGTHS)
-    text = np.array([np.frombuffer(r["text_view"], shape[0]) for r in rows]).reshape(len(rows), shape[1])
-    page = np.array([np.frombuffer(r["page_view"], shape[0]) for r in rows]).reshape(len(rows), shape[2])
-    return np.array([r["y"] for r in rows]), text, page
+    width, pages = 256 + 6, SOURCES + LANGUAGES + LENGTHS
+    text = np.array([np.frombuffer(r["text_view"], np.float32) for r in rows]).reshape(len(rows), width)
+    page = np.array([np.frombuffer(r["page_view"], np.float32) for r in rows]).reshape(len(rows), pages)
+    return np.array([r["y"] for r in rows], dtype=float), text, page
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality",
@@ -224,13 +225,15 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: s
     order = F.xxhash64("id", F.lit(3))
     known = (labels.select(quoted(id_col).cast("long").alias("id"), quoted(label_col).cast("int").alias("y"))
              .where("id IS NOT NULL AND y IN (0, 1)").groupBy("id").agg(F.min("y").alias("y")))
-    own = docs.withColumn("__id", quoted(id_col).cast("long"))
-    sample = F.broadcast(known.orderBy(order, "id").limit(labelled))  # at most ``labelled`` rows of 12 bytes
-    some = F.broadcast(own.select(F.col("__id").alias("id")).where("id IS NOT NULL").distinct()
-                       .join(known, "id", "left_anti").orderBy(order, "id").limit(pool))
-    y, text, page = _features(own.join(sample, F.col("__id") == F.col("id")), F.col("y"))
-    _, pool_text, pool_page = _features(own.join(some, F.col("__id") == F.col("id")), F.lit(0))
-    return co_train(text, page, y, pool_text, pool_page, rounds)
+    own = docs.select(quoted(id_col).cast("long").alias("id"), *_inputs(docs))
+    sample = known.orderBy(order, "id").limit(labelled).select("id", F.col("y").cast("double").alias("y"))
+    some = (own.select("id").where("id IS NOT NULL").distinct()
+            .join(known, "id", "left_anti").orderBy(order, "id").limit(pool)
+            .select("id", F.lit(float("nan")).alias("y")))
+    chosen = F.broadcast(sample.unionByName(some))  # at most labelled + pool rows of 16 bytes
+    y, text, page = _features(own.join(chosen, "id"))
+    free = np.isnan(y)
+    return co_train(text[~free], page[~free], y[~free], text[free], page[free], rounds)
 
 
 def with_quality(df: DataFrame, views: Views, threshold: float = 0.5) -> DataFrame:

@@ -51,7 +51,7 @@ BANDS, ROWS = 20, 4
 STEPS = (1, 3, 7)
 #: A shingle is rare if so many nodes have it at most.
 RARE = 32
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 19
 ALL = (1 << 64) - 1
 IS_WHITE = np.zeros(256, dtype=bool)
 IS_WHITE[[ord(c) for c in WHITE]] = True

@@ -305,7 +305,7 @@ def components(links: DataFrame) -> DataFrame:
 
 def near_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", out: str = "class_id",
                  threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS,
-                 by_count: bool = False) -> DataFrame:
+                 by_count: bool = False, component: str | None = None) -> DataFrame:
     """Every row with the class of its text in the column ``out``: the least id in the class.
 
     A class is a component of the graph whose links are pairs of texts with a similarity of at
@@ -314,9 +314,11 @@ def near_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     shingle. Equal texts are always in one class, also if empty or without words. A row with a
     null text is a class of its own with its own id; a null id is never the least unless the
     class has no other. Repeated rows share a class. An empty table gives an empty result. An input
-    column named ``out`` is replaced.
+    column named ``out`` is replaced. As ids may be null or stand for several texts, ``out`` need not
+    tell classes apart; the column named ``component``, if asked for, does: the digest of one text of
+    the class, null for a null text.
     """
-    kept = without(df, [out])
+    kept = without(df, [out] if component is None else [out, component])
     docs = df.select(quoted(id_col).cast("long").alias("id"), quoted(text_col).cast("string").alias("text"))
     docs = docs.where("text IS NOT NULL").withColumn("node", F.md5(F.encode("text", "utf-8")))
     signed = materialise(_signed(docs, bands, rows, by_count), "signatures")
@@ -397,14 +399,16 @@ def near_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     classes = nodes.join(parts, "node", "left").select("node", "id", F.coalesce("component", "node").alias("component"))
     least = classes.groupBy("component").agg(F.min("id").alias("class"))
-    classes = materialise(classes.join(least, "component").select("node", "class"), "classes")
-    digest, own, found = (free_name(df, f"__{x}") for x in ("digest", "node", "class"))
-    classes = classes.withColumnsRenamed({"node": own, "class": found})
+    classes = materialise(classes.join(least, "component").select(
+        "node", "class", *([] if component is None else ["component"])), "classes")
+    digest, own, found, part = (free_name(df, f"__{x}") for x in ("digest", "node", "class", "component"))
+    classes = classes.withColumnsRenamed({"node": own, "class": found, "component": part})
     text = quoted(text_col)
     return (df.withColumn(digest, F.md5(F.encode(text.cast("string"), "utf-8")))
             .join(classes, F.col(digest) == F.col(own), "left")
             .select(*map(quoted, kept), F.when(text.isNull(), quoted(id_col).cast("long"))
-                    .otherwise(F.col(found)).alias(out)))
+                    .otherwise(F.col(found)).alias(out),
+                    *([] if component is None else [F.col(part).alias(component)])))
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
@@ -414,17 +418,20 @@ def _ends(pairs: DataFrame) -> DataFrame:
 def one_of_each(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings) -> DataFrame:
     """One row of every class: the one with the least id, or any of those that have it.
 
-    Rows with a null text all stay: they are classes of their own.
+    Classes are told apart by their texts, so texts without an id or with the id of another text
+    stay. Rows with a null text all stay: they are classes of their own.
     """
-    cls = free_name(df, "__class")
-    classes = near_classes(df, id_col, text_col, out=cls, **settings)
+    cls, part = free_name(df, "__class"), free_name(df, "__part")
+    classes = near_classes(df, id_col, text_col, out=cls, component=part, **settings)
     own = quoted(id_col).cast("long")
-    first = classes.where(quoted(text_col).isNull() | own.eqNullSafe(F.col(cls)))
-    twice = (first.where(quoted(text_col).isNotNull()).groupBy(F.col(cls).alias("c")).agg(F.count("*").alias("n"))
+    first = classes.where(quoted(text_col).isNull() | own.eqNullSafe(F.col(cls))).drop(cls)
+    twice = (first.where(quoted(text_col).isNotNull()).groupBy(F.col(part).alias("c")).agg(F.count("*").alias("n"))
              .where("n > 1").select("c"))
     twice = materialise(twice, "twice")
     if twice.isEmpty():
-        return first.drop(cls)
-    several = quoted(text_col).isNotNull() & F.col(cls).eqNullSafe(F.col("c"))
+        return first.drop(part)
+    c = free_name(df, "__c")
+    twice = twice.withColumnRenamed("c", c)
+    several = F.col(part) == F.col(c)  # null for null texts, which so are single
     single = first.join(twice, several, "left_anti")
-    return single.unionByName(first.join(twice, several, "left_semi").dropDuplicates([cls])).drop(cls)
+    return single.unionByName(first.join(twice, several, "left_semi").dropDuplicates([part])).drop(part)

@@ -55,6 +55,18 @@ def test_classes_are_the_components(spark, documents):
     assert sorted(r["doc_id"] for r in kept) == sorted(set(got.values()))
 
 
+def test_one_of_each_keeps_unlike_texts_without_an_id_of_their_own(spark):
+    texts = [" ".join(f"t{i}w{j}" for j in range(30)) for i in range(6)]
+    rows = [(None, t) for t in texts[:3]] + [(None, texts[0] + " end"), (None, texts[0]), (7, texts[3]), (7, texts[4]),
+                                             (7, texts[4]), (8, texts[5]), (7, texts[5]), (None, None), (7, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [tuple(r) for r in near_dedup.one_of_each(df).collect()]
+    assert len([t for _, t in kept if t and t.startswith("t0w0 ")]) == 1
+    assert sorted((t.split()[0], d) for d, t in kept if t) == [
+        ("t0w0", None), ("t1w0", None), ("t2w0", None), ("t3w0", 7), ("t4w0", 7), ("t5w0", 7)]
+    assert sorted(str(d) for d, t in kept if t is None) == ["7", "None"]
+
+
 def test_a_large_group_of_copies_has_as_many_pairs_as_members(spark):
     rng = random.Random(5)
     base = [f"w{rng.randrange(10 ** 6)}" for _ in range(300)]

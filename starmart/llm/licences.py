@@ -1,8 +1,10 @@
 """Licence scans by sentence rules.
 
 A text is cut into sentences (at line ends and after ``.``, ``!``, ``?`` before white space), and
-each sentence is normalised: lower case, years and copyright holders out, anything but letters and
-digits as one blank. Known sentences have identifiers. A licence is recognised by an ordered rule:
+each sentence is normalised: lower case, list marks as ``(1)`` out, anything but letters and digits,
+so also comment marks, as one blank. Known sentences have identifiers. As texts are wrapped, a known
+sentence may also go over several of these pieces, one after the other without a blank one
+between; a holder named in it is put as in the known sentence. A licence is recognised by an ordered rule:
 its identifiers must occur in the text in this order, with at most ``gap`` sentences between one
 and the next. Most notices are rules of one sentence; full texts have several.
 
@@ -101,6 +103,13 @@ RULES = [
     ("CC-BY-NC-SA-4.0", ["cc-by-nc-sa-4-short"]),
 ]
 GAP = 3
+#: What a known sentence can begin with, at the ends of its words.
+PREFIXES = {" ".join(w[:n]) for w in map(str.split, SENTENCES.values()) for n in range(1, len(w) + 1)}
+#: Words before and after the name of a holder, and what stands for the name in the known sentences.
+HOLDERS = [("neither the name of", "nor the names of its contributors may be used", "the copyright holder"),
+           ("to the extent possible under law", "has waived all copyright", "the author")]
+#: So many words of a holder's name at most.
+NAME_WORDS = 20
 OUTPUT = ("sentences", "licences", "matches")
 
 
@@ -109,14 +118,47 @@ def sentences_of(text: Column) -> Column:
 
 
 def normalised(sentence: Column) -> Column:
-    return F.trim(F.regexp_replace(F.lower(sentence), r"[^\p{L}\p{N}]+", " "))
+    return F.trim(F.regexp_replace(F.lower(sentence), r"^[^\p{L}\p{N}]*(?:[0-9]{1,2}|[a-z])\)|[^\p{L}\p{N}]+", " "))
+
+
+def _found(pieces: Column, known: Column, prefixes: set[str], most: int) -> Column:
+    """Known sentences (``position`` of the first piece, ``last`` piece, ``id``) in normalised
+    pieces; ``most`` pieces have the longest."""
+    def named(text: Column) -> Column:
+        for before, after, name in HOLDERS:
+            text = F.regexp_replace(text, f"^{before} .+? {after}", f"{before} {name} {after}")
+        return text
+
+    def upto(start: Column, n: Column) -> Column:
+        return F.concat_ws(" ", F.slice(pieces, start + 1, n))  # a blank piece leaves two blanks, which match nothing
+
+    def from_here(start: Column) -> Column:
+        two = upto(start, F.lit(2))
+        wrapped = two.isin(*prefixes)
+        for before, _, _ in HOLDERS:
+            wrapped = wrapped | two.startswith(before + " ")
+        ends = F.sequence(F.lit(1), F.when(wrapped, F.least(F.lit(most), F.size(pieces) - start)).otherwise(F.lit(1)))
+        hits = F.transform(ends, lambda n: F.struct(
+            start.cast("int").alias("position"), (start + n - 1).cast("int").alias("last"),
+            F.try_element_at(known, named(upto(start, n))).alias("id")))
+        return F.filter(hits, lambda h: h["id"].isNotNull())
+
+    def begins(piece: Column) -> Column:
+        some = piece.isin(*prefixes)
+        for before, _, _ in HOLDERS:
+            some = some | piece.startswith(before + " ")
+        return some
+
+    starts = F.filter(F.transform(pieces, lambda s, i: F.when(begins(s), i)), lambda i: i.isNotNull())
+    return F.flatten(F.transform(starts, from_here))
 
 
 def scan(df: DataFrame, text_col: str = "text", sentences: dict[str, str] | None = None,
          rules: list[tuple[str, list[str]]] | None = None, gap: int = GAP) -> DataFrame:
     """Every row with the known sentences in its text, the licences recognised, and the matches.
 
-    ``sentences``: array of (``position``, from 0, ``id``) in text order; ``matches``: array of
+    ``sentences``: array of (``position`` of its first piece, from 0, ``id``) in text order; the pieces
+    between line ends and sentence ends are what positions and gaps count. ``matches``: array of
     (``licence``, ``rule``, ``first``, ``last`` sentence), one for each occurrence of a rule;
     ``licences``: their distinct names, sorted. An occurrence begins at a sentence with the rule's
     first identifier and goes on with the nearest that fits; occurrences of one rule do not share
@@ -126,24 +168,25 @@ def scan(df: DataFrame, text_col: str = "text", sentences: dict[str, str] | None
     sentences, rules = sentences or SENTENCES, rules or RULES
     known = F.create_map(*[F.lit(x) for i, s in sentences.items() for x in (s, i)])
     name = free_name(df, "__hits")
-    shortest = min(map(len, sentences.values()))  # normalising makes no sentence longer
-    found = F.transform(sentences_of(text_or_empty(text_col)), lambda s, i: F.struct(
-        i.cast("int").alias("position"),
-        F.when(F.length(s) >= shortest, F.try_element_at(known, normalised(s))).alias("id")))
-    hits = df.select(*map(quoted, without(df, OUTPUT)),
-                     F.filter(found, lambda h: h["id"].isNotNull()).alias(name))
+    words = [s.split() for s in sentences.values()]
+    prefixes = PREFIXES if sentences is SENTENCES else {" ".join(w[:n]) for w in words for n in range(1, len(w) + 1)}
+    most = max(map(len, words)) + NAME_WORDS  # a piece has a word at least
+    pieces = F.transform(sentences_of(text_or_empty(text_col)), normalised)
+    # bound to a name by a lambda, so that pieces are cut once
+    found = F.transform(F.array(pieces), lambda p: _found(p, known, prefixes, most))[0]
+    hits = df.select(*map(quoted, without(df, OUTPUT)), found.alias(name))
     own = F.col(name)
 
     def nearest(after: Column, wanted: str) -> Column:
         """Where the wanted sentence comes next, if it does within the gap."""
         near = F.filter(own, lambda h: (h["id"] == wanted) & (h["position"] > after)
                         & (h["position"] <= after + gap + 1))
-        return F.array_min(F.transform(near, lambda h: h["position"]))
+        return F.array_min(F.transform(near, lambda h: F.struct(h["position"], h["last"])))["last"]
 
     def occurrences(number: int, licence: str, ids: list[str]) -> Column:
         """Of one rule, from each sentence that has its first identifier."""
         def extended(start: Column) -> Column:
-            last = start["position"]
+            last = start["last"]
             for wanted in ids[1:]:
                 last = nearest(last, wanted)
             return F.struct(F.lit(licence).alias("licence"), F.lit(number).alias("rule"),
@@ -156,5 +199,6 @@ def scan(df: DataFrame, text_col: str = "text", sentences: dict[str, str] | None
         F.concat(*[occurrences(i, licence, ids) for i, (licence, ids) in enumerate(rules)]))
     kept = [quoted(c) for c in without(df, OUTPUT)]
     return (hits.withColumn("matches", matches)
-            .select(*kept, own.alias("sentences"), F.array_sort(F.array_distinct(F.transform(
+            .select(*kept, F.transform(own, lambda h: F.struct(
+                h["position"], h["id"])).alias("sentences"), F.array_sort(F.array_distinct(F.transform(
                 "matches", lambda m: m["licence"]))).alias("licences"), "matches"))

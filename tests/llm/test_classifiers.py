@@ -1,5 +1,7 @@
 """Trained operators by held-out accuracy, licence rules by hand, and the pipeline."""
 
+import textwrap
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -117,6 +119,66 @@ def test_licences(spark, text, names):
     assert all(m["first"] <= m["last"] for m in row["matches"])
 
 
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+NAMES = """3. Neither the name of {} nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version {} of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+"""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+"""
+MPL = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.
+"""
+CC0 = "To the extent possible under law, Jane Q. Doe has waived all copyright\nand related or neighboring rights to this work."
+
+
+def wrapped(text, width):
+    return "\n\n".join(textwrap.fill(part, width) for part in text.split("\n\n"))
+
+
+def test_wrapped_licences(spark):
+    cases = [
+        (wrapped(MIT, 78), ["MIT"]), (wrapped(MIT, 20), ["MIT"]), (BSD, ["BSD-2-Clause"]),
+        (BSD.replace("1.", "(1)").replace("2.", "(2)"), ["BSD-2-Clause"]),
+        (BSD + NAMES.format("the copyright holder"), ["BSD-2-Clause", "BSD-3-Clause"]),
+        (BSD + NAMES.format("Some Firm Inc."), ["BSD-2-Clause", "BSD-3-Clause"]),
+        (GPL.format(3), ["GPL-3.0-or-later"]), (GPL.format(2).replace("software:", "software;"), ["GPL-2.0-or-later"]),
+        (APACHE, ["Apache-2.0"]), (MPL, ["MPL-2.0"]), (CC0, ["CC0-1.0"]),
+        ("Released under\n\nthe MIT License.", []), ("Not released under\nthe MIT License.", [])]
+    rows = [("".join(mark + line + "\r\n" for line in text.split("\n")), names)
+            for text, names in cases for mark in ("", "# ", " * ", "// ")]
+    df = spark.createDataFrame([(i, text) for i, (text, _) in enumerate(rows)], "doc_id long, text string")
+    got = {r["doc_id"]: r["licences"] for r in licences.scan(df).collect()}
+    assert got == {i: names for i, (_, names) in enumerate(rows)}
+
+
 def test_a_notice_at_the_end_of_a_very_long_text(spark):
     text = "Some words here. " * 30_000 + "Released under the MIT License."
     row = licences.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()

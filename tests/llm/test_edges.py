@@ -78,9 +78,12 @@ def test_mixture_and_comparison(edges, edge_rows):
 
 def test_one_of_each(edges):
     kept = near_dedup.one_of_each(edges).collect()
-    # the repeated row once, the null texts all
-    assert Counter(r["text"] is None for r in kept) == {True: 3, False: 8}
-    assert sorted(r["doc_id"] for r in kept if r["text"] and r["text"].startswith("one")) == [1]
+    # the repeated row once, the null texts all; of the other classes the row with the least id, and
+    # a text that shares its id with another one, or has none, stays as well
+    assert Counter(r["text"] is None for r in kept) == {True: 3, False: 9}
+    texts = sorted(((r["doc_id"] or 0, r["text"][:5]) for r in kept if r["text"] is not None))
+    assert texts == [(0, "no id"), (1, "one t"), (4, ""), (4, "tie i"), (5, " \n\t "), (6, "12 34"),
+                     (7, next(r["text"] for r in kept if r["doc_id"] == 7)[:5]), (8, "yyyyy"), (9, "nul\x00 ")]
     assert near_dedup.one_of_each(edges.limit(0)).count() == 0
 
 

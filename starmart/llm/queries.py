@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from starmart.llm import (
     ball_tree,
     byte_bpe,
+    content_sort,
     cotraining,
     fingerprints,
     histogram_sort,
@@ -204,3 +205,14 @@ def op10_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The class of near copies that every document belongs to."""
     return near_dedup.near_classes(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
         "doc_id", "class_id")
+
+
+@query("""
+    SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+           doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
+    FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
+""")
+def op12_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents with the one that stays of each group of equal texts."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return content_sort.with_copies(docs, drop_text=True)

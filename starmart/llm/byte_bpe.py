@@ -30,7 +30,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import per_text, quoted, without
+from starmart.llm.common import free_name, per_text, quoted, without
 
 #: What the pattern may look at beyond a pre-token's end.
 LOOKAHEAD = 2
@@ -140,6 +140,18 @@ def stitched(chunks: list[dict], chunk_chars: int, vocabulary: Vocabulary) -> by
     return b"".join(out) + vocabulary.scanned(rest)
 
 
+def _scanned_chunks(chunks: DataFrame, vocabulary: str, pattern: str, chunk_chars: int) -> DataFrame:
+    """Every chunk scanned on its own: ``digest``, ``chunk``, ``piece`` and ``scan``."""
+    @F.arrow_udf("struct<ends:array<long>,sizes:array<long>,packed:binary>")
+    def scanned(pieces: pa.Array, starts: pa.Array) -> pa.Array:
+        v = vocabulary_of(vocabulary, pattern)
+        return pa.array([scan(p.as_py(), s.as_py(), v) for p, s in zip(pieces, starts)], pa.struct([
+            ("ends", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())), ("packed", pa.binary())]))
+
+    start = F.col("chunk").cast("long") * chunk_chars
+    return chunks.select("digest", "chunk", "piece", scanned("piece", start).alias("scan"))
+
+
 def encode(df: DataFrame, vocabulary: str, pattern: str, text_col: str = "text", out: str = "ids",
            chunk_chars: int = 65_536, overlap: int = 512) -> DataFrame:
     """Every row with the packed ids of its text in the binary column ``out``.
@@ -155,14 +167,6 @@ def encode(df: DataFrame, vocabulary: str, pattern: str, text_col: str = "text",
         v = vocabulary_of(vocabulary, pattern)
         return pa.array([v.encode(t.as_py() or "") for t in texts], pa.binary())
 
-    kind = "struct<ends:array<long>,sizes:array<long>,packed:binary>"
-
-    @F.arrow_udf(kind)
-    def scanned(pieces: pa.Array, starts: pa.Array) -> pa.Array:
-        v = vocabulary_of(vocabulary, pattern)
-        return pa.array([scan(p.as_py(), s.as_py(), v) for p, s in zip(pieces, starts)], pa.struct([
-            ("ends", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())), ("packed", pa.binary())]))
-
     def stitch(chunks: pd.DataFrame) -> pd.DataFrame:
         rows = chunks.sort_values("chunk")
         packed = stitched([{**s, "piece": p} for s, p in zip(rows["scan"], rows["piece"])], chunk_chars,
@@ -170,13 +174,47 @@ def encode(df: DataFrame, vocabulary: str, pattern: str, text_col: str = "text",
         return pd.DataFrame({"digest": chunks["digest"][:1], "result": [packed]})
 
     def by_chunks(chunks: DataFrame) -> DataFrame:
-        start = F.col("chunk").cast("long") * chunk_chars
-        return (chunks.select("digest", "chunk", "piece", scanned("piece", start).alias("scan"))
+        return (_scanned_chunks(chunks, vocabulary, pattern, chunk_chars)
                 .groupBy("digest").applyInPandas(stitch, "digest string, result binary"))
 
     return per_text(df, text_col, out, whole, by_chunks, chunk_chars, overlap)
 
 
+def encode_checked(df: DataFrame, vocabulary: str, pattern: str, text_col: str = "text", out: str = "ids",
+                   same: str = "decodes", chunk_chars: int = 65_536, overlap: int = 512) -> DataFrame:
+    """Like ``encode``, and in the column ``same`` whether the ids decode to the text's bytes.
+
+    Both are found in one evaluation, so that an executor needs one worker a task and the ids
+    don't go to and fro. A null text counts as an empty one.
+    """
+    @F.arrow_udf("struct<ids:binary,same:boolean>")
+    def whole(texts: pa.Array) -> pa.Array:
+        v = vocabulary_of(vocabulary, pattern)
+        ids, fits = [], []
+        for t in texts:
+            text = t.as_py() or ""
+            ids.append(v.encode(text))
+            fits.append(v.decode(ids[-1]) == text.encode())
+        return pa.StructArray.from_arrays([pa.array(ids, pa.binary()), pa.array(fits, pa.bool_())], ["ids", "same"])
+
+    def stitch(chunks: pd.DataFrame) -> pd.DataFrame:
+        v = vocabulary_of(vocabulary, pattern)
+        rows = chunks.sort_values("chunk")
+        packed = stitched([{**s, "piece": p} for s, p in zip(rows["scan"], rows["piece"])], chunk_chars, v)
+        text = "".join(p[:chunk_chars] for p in rows["piece"])
+        return pd.DataFrame({"digest": chunks["digest"][:1], "ids": [packed], "same": [v.decode(packed) == text.encode()]})
+
+    def by_chunks(chunks: DataFrame) -> DataFrame:
+        return (_scanned_chunks(chunks, vocabulary, pattern, chunk_chars)
+                .groupBy("digest").applyInPandas(stitch, "digest string, ids binary, same boolean")
+                .select("digest", F.struct("ids", "same").alias("result")))
+
+    both = free_name(df, "__encoded")
+    found = per_text(df, text_col, both, whole, by_chunks, chunk_chars, overlap)
+    kept = without(df, [out, same])
+    return found.select(*map(quoted, kept), F.col(both)["ids"].alias(out), F.col(both)["same"].alias(same))
+
+
 def decode(df: DataFrame, vocabulary: str, pattern: str, ids_col: str = "ids",
            out: str = "decoded") -> DataFrame:
     """Every row with the bytes that its packed ids stand for. Null ids give null; an id that the

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import csv
 from functools import reduce
 from urllib.parse import unquote, urlparse
 
@@ -13,6 +12,7 @@ from pyspark.sql import types as T
 
 from starmart.functions.columns import megabytes
 from starmart.operators.projection import rename
+from starmart.sources import quoted
 from starmart.sources.filesystem import listing
 
 
@@ -26,16 +26,25 @@ def read_csv(spark: SparkSession, path, schema: T.StructType | None = None, *,
     types are inferred, which costs a second pass, or stay text with ``infer=False``.
     A quote inside a quoted value is doubled, as ``save`` writes it and as most programs do;
     ``escape`` names another character that stands before it. ``multiline`` reads line breaks
-    inside quotes; such a file cannot be split between tasks, so that is off unless asked for.
+    inside quotes, at the cost of another pass or two, so that is off unless asked for. Where quotes are
+    doubled and no types are inferred, such files are read in splits (``quoted``); otherwise by
+    one task each.
     """
+    if multiline and escape == '"' and (schema is not None or not infer):
+        raw = quoted.read_quoted(spark, path)
+        if aliases:
+            raw = rename(raw, aliases)
+        return raw if schema is None else _typed(raw, schema, lenient)
     reader = spark.read.option("header", True).option("enforceSchema", False).option("escape", escape)
     if multiline:
         reader = reader.option("multiLine", True)
     raw = reader.option("inferSchema", schema is None and infer).csv(path)
     if aliases:
         raw = rename(raw, aliases)
-    if schema is None:
-        return raw
+    return raw if schema is None else _typed(raw, schema, lenient)
+
+
+def _typed(raw: DataFrame, schema: T.StructType, lenient: bool) -> DataFrame:
     others = [F.col(f"`{c}`") for c in raw.columns if c not in schema.names]
     typed = []
     for f in schema.fields:
@@ -97,29 +106,16 @@ def inspect_csv(spark: SparkSession, paths: list[str]) -> dict[str, dict]:
         for r in rows}
 
 
-def _checked(spark: SparkSession, path: str, found: dict) -> tuple[DataFrame | None, str | None]:
-    """The file as text columns, or why not; neither if it has no records."""
-    names = next(csv.reader([found["header"].removeprefix("\ufeff").rstrip("\r")]))
-    if not found["multiline"]:
-        if found["lines"] < 2:
-            return None, None
-        if not found["low"] == found["high"] == len(names):
-            return None, (f"the header has {len(names)} fields, its lines have from "
-                          f"{found['low']} to {found['high']}")
-        return read_csv(spark, path, infer=False), None
-    df = read_csv(spark, path, infer=False, multiline=True)
-    if not df.columns or df.isEmpty():
-        return None, None
-    # a record with another number of fields than the header is marked by the reader
-    mark = "__record"
-    schema = T.StructType([*df.schema.fields, T.StructField(mark, T.StringType())])
-    marked = (spark.read.schema(schema).option("header", True).option("escape", '"').option("multiLine", True)
-              .option("columnNameOfCorruptRecord", mark).csv(path))
-    # all columns are asked for, or the reader would not look at the number of fields
-    bad = marked.agg(F.count(mark).alias("bad"), *[F.count(F.col(f"`{c}`")) for c in df.columns]).first()["bad"]
-    if bad:
-        return None, f"{bad} records have another number of fields than the header"
-    return df, None
+def _misfit(names: list[str], found: dict) -> str | None:
+    if found["low"] == found["high"] == len(names):
+        return None
+    return f"the header has {len(names)} fields, its records have from {found['low']} to {found['high']}"
+
+
+def least_split(spark: SparkSession) -> int:
+    """Files of so many bytes are never split."""
+    size = spark._jsparkSession.sessionState().conf()
+    return min(size.filesOpenCostInBytes(), size.filesMaxPartitionBytes())
 
 
 def load_directory(spark: SparkSession, directory: str) -> tuple[dict[str, DataFrame], DataFrame]:
@@ -127,22 +123,47 @@ def load_directory(spark: SparkSession, directory: str) -> tuple[dict[str, DataF
 
     Returns the datasets and a report with one row per file: loaded, empty (skipped), or failed
     with the reason, which may be that records have another number of fields than the header.
-    All files are inspected in one job; a file whose values hold line breaks is then read as a
-    whole, every other one in splits. File names and one line of findings per file come to the
-    driver. Hidden files (names with ``.`` or ``_`` in front) hold no datasets: Spark does not
-    read them, and the report says so.
+    The files are inspected together: one job over their lines and, for all files whose values hold
+    line breaks, two more over their splits and records. All files are then read in splits, for which
+    each large one with line breaks is looked at once more. File
+    names and one line of findings per file come to the driver, and one row per split of files
+    with line breaks. Hidden files (names with ``.`` or ``_`` in front) hold no datasets: Spark does
+    not read them, and the report says so.
     """
     listed = list_files(spark, directory).select("name", "path", "size", "collection").collect()
+    place = {f["path"]: unquote(urlparse(f["path"]).path) for f in listed}
+    sizes = {f["path"]: f["size"] for f in listed}
+    uncut = least_split(spark)
     visible = [f["path"] for f in listed if f["size"] and f["name"][0] not in "._"]
     found = inspect_csv(spark, visible)
+    several = [p for p in visible if place[p] in found and found[place[p]]["multiline"]]
+    ends, seen = None, {}
+    if several:
+        ends = quoted.splits(spark, several)
+        seen = quoted.inspect(ends, quoted.records(spark, several, ends))
+
+    def read(path: str) -> tuple[DataFrame | None, str | None]:
+        """The file as text columns, or why not; neither if it has no records."""
+        own = found.get(place[path])
+        if own is None:
+            return None, None
+        if not own["multiline"]:
+            names = quoted.header_names(own["header"].rstrip("\r"))
+            wrong = None if own["lines"] < 2 else _misfit(names, own)
+            return (None if wrong or own["lines"] < 2 else read_csv(spark, path, infer=False)), wrong
+        own = seen[place[path]]
+        names = quoted.header_names(own["header"])
+        wrong = _misfit(names, own) if own["records"] else None
+        if wrong or not own["records"]:
+            return None, wrong
+        # Spark cuts a file otherwise when it reads it alone, unless it doesn't cut it at all
+        alone = quoted.unsplit(path) if sizes[path] <= uncut else quoted.splits(spark, [path])
+        return quoted.parsed(quoted.records(spark, path, alone), names), None
+
     out, report = {}, []
     for f in listed:
-        own = found.get(unquote(urlparse(f["path"]).path))
         try:
-            if f["name"][0] in "._":
-                df, reason = None, "hidden"
-            else:
-                df, reason = _checked(spark, f["path"], own) if own else (None, None)
+            df, reason = (None, "hidden") if f["name"][0] in "._" else read(f["path"])
         except Exception as e:  # a bad file must not stop the others
             df, reason = None, str(e).split("\n")[0]
         if df is not None:

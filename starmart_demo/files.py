@@ -12,8 +12,8 @@ from starmart.functions.columns import iso_timestamp
 from starmart.operators import quality
 from starmart.plans import ingest as ingestion
 from starmart.plans import sql, star
-from starmart.session import scratch_dir
-from starmart.sources import documents, files, filesystem, sinks
+from starmart.session import materialise, scratch_dir
+from starmart.sources import documents, files, filesystem, quoted, sinks
 from starmart.streaming.payload import stream_payload
 from starmart_demo.inputs import SUMMARY_CTES, star_inputs
 from starmart_demo.registry import query, table
@@ -172,13 +172,33 @@ def csv_inferred(spark, sf):
 
 @query("SELECT doc_id, text, lang, source, n_chars FROM documents")
 def csv_quoted(spark, sf):
-    """Texts with line breaks and quotes survive; whole texts, not splittable per file."""
+    """Texts with line breaks and quotes survive."""
     docs = table(spark, sf, "documents")
     path = scratch_dir(spark, "documents-csv")
     sinks.save(docs, path, "csv")
     return files.read_csv(spark, path, docs.schema, multiline=True, escape='"')
 
 
+@query("SELECT doc_id, text, lang, source, n_chars, true AS in_splits FROM documents")
+def csv_quoted_in_splits(spark, sf):
+    """The largest file cut into eight splits at least, in the middle of quoted texts."""
+    docs = table(spark, sf, "documents")
+    path = scratch_dir(spark, "documents-csv")
+    sinks.save(docs, path, "csv")
+    largest = max(f[2] for f in filesystem.listing(spark, path, "*.csv"))
+    limits = {"spark.sql.files.maxPartitionBytes": str(largest // 8), "spark.sql.files.openCostInBytes": "0"}
+    before = {k: spark.conf.get(k) for k in limits}
+    try:
+        for k, v in limits.items():
+            spark.conf.set(k, v)
+        n = len(quoted.splits(spark, path).states)
+        read = materialise(files.read_csv(spark, path, docs.schema, multiline=True), "read")  # with these limits
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    return read.withColumn("in_splits", F.lit(n >= 8))
+
+
 @query("SELECT * FROM part")
 def text_roundtrip(spark, sf):
     part = table(spark, sf, "part")

@@ -1,0 +1,107 @@
+"""CSV records with line breaks, read in splits of any size."""
+
+import csv
+import io
+import random
+
+import pytest
+from pyspark.errors import PySparkException
+
+from starmart.sources import files, quoted
+from tests.conftest import plan
+
+ODD = ["plain", "two\nlines", 'a "quoted" word', "comma, here", "\n\n", '""', "cr\r\nlf", "é日", " pad ", '"\n"', "\n"]
+
+
+def write(path, rows, end="\n", header=("id", "text", "more")):
+    out = io.StringIO()
+    w = csv.writer(out, lineterminator=end)
+    w.writerow(header)
+    w.writerows(rows)
+    path.write_bytes(out.getvalue().encode())
+    return out.getvalue()
+
+
+def some(n, seed=1):
+    rng = random.Random(seed)
+    return [(str(i), rng.choice(ODD) * rng.randrange(1, 4), rng.choice(["x", "y\nz", "end"])) for i in range(n)]
+
+
+@pytest.fixture
+def cut(spark):
+    """Set the size of splits."""
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {k: spark.conf.get(k) for k in names}
+
+    def to(size):
+        spark.conf.set(names[0], str(size))
+        spark.conf.set(names[1], "0")
+    yield to
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+@pytest.mark.parametrize("size", [37, 400, 1 << 20])
+def test_any_cut_gives_the_same_records(spark, tmp_path, cut, size, end):
+    rows = some(25) + [("long", "one line\n" * 60, "z")]
+    text = write(tmp_path / "a.csv", rows, end)
+    cut(size)
+    df = files.read_csv(spark, str(tmp_path / "a.csv"), infer=False, multiline=True)
+    assert df.columns == ["id", "text", "more"]
+    assert sorted(map(tuple, df.collect())) == sorted(rows)
+    found = quoted.splits(spark, str(tmp_path / "a.csv"))
+    assert size > 10_000 or len(found.states) >= min(8, len(text) // size)
+
+
+def test_several_files_with_their_own_headers(spark, tmp_path, cut):
+    parts = [some(40, seed) for seed in range(4)]
+    for i, rows in enumerate(parts):
+        write(tmp_path / f"p{i}.csv", rows)
+    (tmp_path / "empty.csv").write_text("")
+    cut(200)
+    df = quoted.read_quoted(spark, str(tmp_path))
+    assert sorted(map(tuple, df.collect())) == sorted(r for p in parts for r in p)
+    assert "MapInArrow" in plan(df)
+    write(tmp_path / "q.csv", [("1", "2", "3")], header=("id", "other", "more"))
+    with pytest.raises(ValueError, match="different headers"):
+        quoted.read_quoted(spark, str(tmp_path))
+
+
+def test_directory_of_large_and_small_files(spark, tmp_path, cut):
+    rows = {"large": some(80), "small": some(3, 2), "flat": [(str(i), "a", "b") for i in range(50)]}
+    for name, own in rows.items():
+        write(tmp_path / f"{name}.csv", own)
+    (tmp_path / "short.csv").write_text('a,b\n1,"x\ny"\n2\n')
+    (tmp_path / "header.csv").write_text('"a\nb",c\n')
+    cut(150)
+    datasets, report = files.load_directory(spark, str(tmp_path))
+    assert {n: sorted(map(tuple, df.collect())) for n, df in datasets.items()} == {n: sorted(r) for n, r in rows.items()}
+    status = {r["name"]: (r["status"], r["error"]) for r in report.collect()}
+    assert status["header.csv"] == ("empty", None)
+    assert status["short.csv"] == ("failed", "the header has 2 fields, its records have from 1 to 2")
+
+
+def test_composition_of_maps():
+    # outside, a record opens; it goes on through two splits, the second of which opens another; end
+    maps = [(1, "f", 0, True, True), (2, "f", 10, False, False), (3, "f", 20, False, True), (4, "f", 30, True, True),
+            (5, "g", 0, False, False), (6, "g", 10, False, True)]
+    states = quoted.composed(maps).states
+    assert [(states[k].file, states[k].inside, states[k].owner) for k in range(1, 7)] == [
+        (0, False, None), (0, True, 0), (0, True, 0), (0, True, 20), (1, False, None), (1, False, None)]
+
+
+def test_unfinished_quote_at_the_end(spark, tmp_path, cut):
+    (tmp_path / "a.csv").write_text('id,text\n1,x\n2,"never ended\nmore\nand more')
+    cut(9)
+    rows = quoted.read_quoted(spark, str(tmp_path / "a.csv")).collect()
+    assert [r["id"] for r in sorted(rows)] == ["1", "2"] and len(rows) == 2
+
+
+def test_other_splits_than_looked_at_are_refused(spark, tmp_path, cut):
+    write(tmp_path / "a.csv", some(100))
+    cut(100)
+    df = quoted.read_quoted(spark, str(tmp_path / "a.csv"))
+    cut(140)
+    with pytest.raises(PySparkException, match="split otherwise"):
+        spark.createDataFrame([], df.schema).union(df.select("*")).collect()

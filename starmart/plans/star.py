@@ -7,11 +7,9 @@ technical ``_id``.
 
 from __future__ import annotations
 
-from functools import reduce
-from uuid import uuid4
-
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starmart.operators import cleaning, joins, keys, projection
 from starmart.operators.aggregates import latest_max_by, stop_counts, summarise
@@ -19,7 +17,7 @@ from starmart.operators.filters import exclude_status, keep_valid_detail, requir
 from starmart.operators.quality import conform, with_reasons
 from starmart.schemas import SCHEMAS, defaults
 from starmart.session import materialise
-from starmart.sources import filesystem, sinks
+from starmart.sources import filesystem, warehouse
 
 ID = "_id"
 COORDINATES = ("latitude", "longitude")
@@ -226,40 +224,63 @@ def publishable(star: dict[str, DataFrame]) -> dict[str, DataFrame]:
             if name in SCHEMAS else df for name, df in star.items()}
 
 
-REASONS = "__reasons"
+REASONS, REFUSED, ROW, TABLE = "__reasons", "__refused", "__row", "__table"
+ASIDE = T.StructType([T.StructField(c, T.StringType()) for c in (TABLE, REASONS, ROW)])
 
 
-def publish(star: dict[str, DataFrame], root: str) -> DataFrame:
-    """Store the tables below ``root`` as declared, and set aside what cannot be stored.
+def _sorted_out(name: str, df: DataFrame) -> tuple[DataFrame, T.StructType]:
+    """The rows as they are stored, good and refused ones in one frame, and the table's schema. A
+    refused row has nulls in the table's columns, and its reasons and full text beside them."""
+    if name in SCHEMAS:
+        checked, schema = with_reasons(cleaning.nan_to_null(df), SCHEMAS[name], REASONS), SCHEMAS[name]
+    else:
+        checked, schema = df.withColumn(REASONS, F.array().cast("array<string>")), df.schema
+    bad = F.size(REASONS) > 0
+    whole = F.to_json(F.struct(*[f"`{c}`" for c in df.columns]))
+    parted = checked.select(
+        *[F.when(~bad, F.col(f"`{c}`")).alias(c) for c in df.columns], bad.alias(REFUSED),
+        F.lit(name).alias(TABLE), F.when(bad, F.array_join(REASONS, "; ")).alias(REASONS),
+        F.when(bad, whole).alias(ROW))
+    more = T.StructType([*schema.fields, T.StructField(REFUSED, T.BooleanType()), *ASIDE.fields])
+    return conform(parted, more, extra="drop"), T.StructType([T.StructField(f.name, f.dataType) for f in schema])
+
 
-    Rows with a value that does not fit, a null key or a repeated key go to the table
-    ``quarantine`` with their reasons and the full row as JSON; the others are written to a staging
-    folder in their declared types and counted there. Only when every table is complete do the
-    staged ones take the places of the present ones. Returns rows per table: ``sent``,
-    ``stored`` and ``quarantined``.
+def publish(star: dict[str, DataFrame], root: str) -> DataFrame:
+    """Store the tables in the warehouse ``root`` as declared, and set aside what cannot be stored.
+
+    Every table is computed and written once: rows with a value that does not fit, a null key or a
+    repeated key into a part of their own, with their reasons and the full row as JSON; the others
+    in their declared types. When all tables are written and counted, one commit puts them in the
+    place of the present ones; until then, and if anything fails, readers have the old tables. Rows
+    set aside are read as the table ``quarantine`` (``table_name``, ``reasons``, ``row``). Returns rows
+    per table: ``sent``, ``stored`` and ``quarantined``.
     """
     spark = next(iter(star.values())).sparkSession
-    stage = f"{root}/_staging-{uuid4().hex}"
-    report, aside = [], []
-    for name, df in star.items():
-        if name in SCHEMAS:
-            checked = with_reasons(cleaning.nan_to_null(df), SCHEMAS[name], REASONS)
-        else:
-            checked = df.withColumn(REASONS, F.array().cast("array<string>"))
-        checked = materialise(checked, f"checked-{name}")
-        bad = F.size(REASONS) > 0
-        good = checked.where(~bad).drop(REASONS)
-        sinks.write_table(publishable({name: good})[name], stage, name)
-        n, wrong = checked.agg(F.count("*"), F.count_if(bad)).first()
-        stored = spark.read.parquet(f"{stage}/{name}").count()
-        if stored != n - wrong:
-            raise RuntimeError(f"{name}: {n - wrong} rows sent, {stored} staged; nothing was replaced")
-        aside.append(checked.where(bad).select(
-            F.lit(name).alias("table_name"), F.array_join(REASONS, "; ").alias("reasons"),
-            F.to_json(F.struct(*[f"`{c}`" for c in df.columns])).alias("row")))
-        report.append((name, n, stored, wrong))
-    sinks.write_table(reduce(DataFrame.unionByName, aside), stage, "quarantine")
-    for name in [*star, "quarantine"]:
-        filesystem.replace(spark, f"{stage}/{name}", f"{root}/{name}")
-    filesystem.delete(spark, stage)
+    report = []
+
+    def write(run: str) -> dict[str, warehouse.Stored]:
+        out = {}
+        for name, df in star.items():
+            seen = Observation()
+            rows, schema = _sorted_out(name, df)
+            path = f"{run}/{name}"
+            (rows.observe(seen, F.count("*").alias("n"), F.count_if(REFUSED).alias("bad"))
+             .write.partitionBy(REFUSED).parquet(f"{root}/{path}"))
+            here = set(filesystem.names(spark, f"{root}/{path}"))
+            good, aside = ([p] if (p := f"{path}/{REFUSED}={x}").rsplit("/", 1)[1] in here else [] for x in ("false", "true"))
+            out[name] = warehouse.Stored(good, schema.json(), {"aside": aside})
+            sent, wrong, stored = seen.get["n"], seen.get["bad"], out[name].read(spark, root).count()
+            if stored != sent - wrong:
+                raise RuntimeError(f"{name}: {sent - wrong} rows sent, {stored} stored; nothing was replaced")
+            report.append((name, sent, stored, wrong))
+        aside = [p for t in out.values() for p in t.notes["aside"]]
+        return {**out, "quarantine": warehouse.Stored(aside, ASIDE.json())}
+
+    warehouse.in_one_run(spark, root, write)
     return spark.createDataFrame(report, "table_name string, sent long, stored long, quarantined long")
+
+
+def quarantine(spark: SparkSession, root: str) -> DataFrame:
+    """Rows of the last publication that were set aside: ``table_name``, ``reasons`` and ``row``."""
+    return warehouse.read(spark, root, "quarantine").withColumnsRenamed(
+        {TABLE: "table_name", REASONS: "reasons", ROW: "row"})

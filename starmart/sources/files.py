@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from starmart.functions.columns import megabytes
 from starmart.operators.projection import rename
-from starmart.sources import quoted
+from starmart.sources import quoted, warehouse
 from starmart.sources.filesystem import listing
 
 
@@ -66,6 +66,9 @@ def load_manifest(spark: SparkSession, paths: dict[str, str], **options) -> dict
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A table of the latest version of a warehouse, or a plain Parquet folder below the root."""
+    if warehouse.is_warehouse(spark, root):
+        return warehouse.read(spark, root, name)
     return spark.read.parquet(f"{root}/{name}")
 
 

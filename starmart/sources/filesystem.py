@@ -46,3 +46,50 @@ def replace(spark: SparkSession, staged: str, final: str) -> None:
         raise OSError(f"{staged} cannot be put in the place of {final}")
     if old is not None:
         fs.delete(old, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, where = _at(spark, path)
+    return bool(fs.exists(where))
+
+
+def names(spark: SparkSession, directory: str) -> list[str]:
+    """What is in a folder; nothing if there is no such folder."""
+    fs, where = _at(spark, directory)
+    return [f.getPath().getName() for f in fs.listStatus(where)] if fs.exists(where) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file."""
+    fs, where = _at(spark, path)
+    stream = fs.open(where)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def put_if_absent(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file, complete or not at all; whether there was none of that name.
+
+    It is written beside its place and renamed. A rename that does not overwrite is one step in
+    distributed file systems; a local folder looks first and renames then.
+    """
+    jvm, gateway = spark.sparkContext._jvm, spark.sparkContext._gateway
+    fs, place = _at(spark, path)
+    _, draft = _at(spark, f"{path.rsplit('/', 1)[0]}/.draft-{uuid4().hex}")
+    stream = fs.create(draft)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    plainly = gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:
+        context.rename(fs.makeQualified(draft), fs.makeQualified(place), plainly)
+        return True
+    except Exception:
+        if fs.exists(place):
+            return False
+        raise
+    finally:
+        fs.delete(draft, False)

@@ -444,7 +444,7 @@ def publish_quarantine(spark, sf):
     root = scratch_dir(spark, "star")
     star.publish(star.build_star(star_inputs(spark, sf)), root)
     row = lambda c: F.get_json_object("row", f"$.{c}")
-    return files.read_table(spark, root, "quarantine").select(
+    return star.quarantine(spark, root).select(
         "table_name", F.coalesce(row("position_id"), row("vehicle_id")).alias("key"), "reasons",
         row("latitude").cast("double").alias("latitude"))
 

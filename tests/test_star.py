@@ -6,6 +6,7 @@ import pytest
 from starmart import schemas
 from starmart.operators import joins, quality
 from starmart.plans import reports, star
+from starmart.sources import files, warehouse
 from tests.conftest import plan, rows
 
 T1, T2, T3 = datetime(2025, 7, 1), datetime(2025, 7, 2), datetime(2025, 7, 3)
@@ -186,13 +187,15 @@ def test_publish_sets_misfits_aside(spark, inputs, folder):
     for name, df in tables.items():
         r = report[name]
         assert r["sent"] == df.count() == r["stored"] + r["quarantined"]
-        assert spark.read.parquet(folder(f"w/{name}")).count() == r["stored"]
-    aside = spark.read.parquet(folder("w/quarantine")).collect()
+        assert files.read_table(spark, folder("w"), name).count() == r["stored"]
+    aside = star.quarantine(spark, folder("w")).collect()
     assert report["dim_gps"]["quarantined"] == 1 and len(aside) == sum(r["quarantined"] for r in report.values())
     gps = next(r for r in aside if r["table_name"] == "dim_gps")
     assert gps["reasons"] == "speed_kmh: does not fit" and json.loads(gps["row"])["speed_kmh"] == 1000.0
-    star.publish(tables, folder("w"))  # replaces, leaves nothing behind
-    assert sorted(p for p in os.listdir(folder("w")) if not p.startswith(".")) == sorted([*tables, "quarantine"])
+    star.publish(tables, folder("w"))  # replaces
+    assert len(aside) == star.quarantine(spark, folder("w")).count()
+    assert warehouse.vacuum(spark, folder("w")) > 0  # leaves nothing behind
+    assert len(os.listdir(folder("w/_commits"))) <= 2 and warehouse.snapshot(spark, folder("w")).version == 2
 
 
 def test_misfits_of_every_kind(spark):

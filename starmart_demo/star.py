@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from starmart import schemas
 from starmart.operators import aggregates, joins
-from starmart.plans import reports, star
+from starmart.plans import incremental, reports, star
+from starmart.session import scratch_dir
 from starmart_demo.inputs import INPUT_CTES, SUMMARY_CTES, star_inputs
 from starmart_demo.registry import query, table
 
@@ -35,6 +36,24 @@ people_full AS (
   FROM numbered GROUP BY vehicle_id)"""
 
 
+def _batches(inputs, n=3):
+    """The inputs in parts, by a hash of the vehicle and the row: vehicles come before their records,
+    after them, or at the same time."""
+    keys = {"transport": "vehicle_id", "passagers": "_id", "gps": "_id", "incident": "Incidents_id"}
+    part = lambda key: F.pmod(F.crc32(F.col(key).cast("binary")), F.lit(n))
+    return [{name: inputs[name].where(part(key) == i) for name, key in keys.items()} for i in range(n)]
+
+
+@query(f"WITH {SUMMARY_CTES} SELECT * FROM fact")
+def fact_in_batches(spark, sf):
+    """Three batches, the second of them loaded twice."""
+    root = scratch_dir(spark, "states")
+    batches = _batches(star_inputs(spark, sf))
+    for number, i in ((1, 0), (2, 1), (2, 1), (3, 2)):
+        incremental.merge(spark, root, batches[i], number)
+    return incremental.fact(spark, root)
+
+
 @query(f"""
 WITH {FULL_CTES}
 SELECT f.* REPLACE (coalesce(p.total_passengers, 0) AS total_passengers,

@@ -78,19 +78,21 @@ def _bucket(buckets: int) -> Column:
     return F.pmod(F.xxhash64("vehicle_id"), F.lit(buckets)).cast("int")
 
 
-def merge(spark: SparkSession, root: str, batch: dict[str, DataFrame], number: int, buckets: int = BUCKETS) -> dict:
+def merge(spark: SparkSession, root: str, batch: dict[str, DataFrame], number: int, buckets: int = BUCKETS,
+          source: str = "load") -> dict:
     """Take a batch up into the states of the warehouse ``root``.
 
     Returns the ``version`` now committed, the buckets that were ``touched`` (those files of the states that
-    were read and written anew) and their number ``of`` all. A batch whose number is not greater
-    than the last one's has been taken up before: nothing is touched. A commit by another run in
-    between is a ``warehouse.Conflict``; merge again then.
+    were read and written anew) and their number ``of`` all. Every ``source`` of batches counts them
+    on its own; a batch whose number is not greater than the last one's of its source has been taken
+    up before: nothing is touched. A commit by another run in between is a ``warehouse.Conflict``;
+    merge again then.
     """
     now = warehouse.snapshot(spark, root)
     stored = now.tables.get(STATE)
-    notes = stored.notes if stored else {"batch": 0, "buckets": buckets, "files": {}}
-    buckets, files = notes["buckets"], notes["files"]
-    if number <= notes["batch"]:
+    notes = stored.notes if stored else {"last": {}, "buckets": buckets, "files": {}}
+    buckets, files, last = notes["buckets"], notes["files"], notes["last"]
+    if number <= last.get(source, 0):
         return {"version": now.version, "touched": [], "of": buckets}
     touched: list[int] = []
 
@@ -109,7 +111,7 @@ def merge(spark: SparkSession, root: str, batch: dict[str, DataFrame], number: i
         filesystem.delete(spark, f"{root}/{delta}")
         own = {**files, **{str(b): f"{path}/{BUCKET}={b}" for b in touched}}
         return {STATE: warehouse.Stored(sorted(own.values()), STATE_SCHEMA.json(),
-                                        {"batch": number, "buckets": buckets, "files": own})}
+                                        {"last": {**last, source: number}, "buckets": buckets, "files": own})}
 
     version = warehouse.in_one_run(spark, root, write, base=now.version)
     return {"version": version, "touched": touched, "of": buckets}

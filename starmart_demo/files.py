@@ -10,11 +10,11 @@ from pyspark.sql import types as T
 
 from starmart.functions.columns import iso_timestamp
 from starmart.operators import quality
+from starmart.plans import incremental, sql, star
 from starmart.plans import ingest as ingestion
-from starmart.plans import sql, star
 from starmart.session import materialise, scratch_dir
-from starmart.sources import documents, files, filesystem, quoted, sinks
-from starmart.streaming.payload import stream_payload
+from starmart.sources import documents, files, filesystem, quoted, sinks, warehouse
+from starmart.streaming.payload import stream_into_fact, stream_payload
 from starmart_demo.inputs import SUMMARY_CTES, star_inputs
 from starmart_demo.registry import query, table
 
@@ -130,6 +130,47 @@ def payload_refused(spark, sf):
         F.count("*").alias("payloads"), F.count("payload").alias("kept_texts"))
 
 
+def _landed(df: DataFrame, directory: str) -> None:
+    """Rows land as payloads of one record each, in files beside those that are there."""
+    df.select(F.to_json(F.struct(F.lit(200).alias("status"), F.array(F.struct(*df.columns)).alias("records")))
+              .alias("line")).write.mode("append").text(directory)
+
+
+def _streamed_twice(spark, df: DataFrame, name: str) -> DataFrame:
+    """All rows land, half of them twice, and are taken up; then all land again, and are taken up by
+    a stream that is started anew. The states of the fact afterwards."""
+    landing, root, checkpoint = (scratch_dir(spark, n) for n in ("landing", "states", "checkpoint"))
+    _landed(df, landing)
+    _landed(df.where(F.crc32(F.col("_id").cast("binary")) % 2 == 0), landing)
+    for again in (True, False):
+        stream_into_fact(spark, landing, df.schema, "records", name, root, checkpoint,
+                         multiline=False, max_files=8).awaitTermination()
+        if again:
+            _landed(df, landing)
+    return warehouse.read(spark, root, incremental.STATE)
+
+
+@query("""
+SELECT CAST(o_custkey AS VARCHAR) AS vehicle_id, sum(CAST(floor(o_totalprice) AS BIGINT))::BIGINT AS total_passengers,
+       count(*) AS passenger_records FROM orders GROUP BY ALL
+""")
+def stream_totals(spark, sf):
+    """Sums and counts out of a source that repeats its records."""
+    people = star_inputs(spark, sf)["passagers"].select("_id", "vehicle_id", "passenger_count")
+    return _streamed_twice(spark, people, "passagers").select("vehicle_id", "total_passengers", "passenger_records")
+
+
+@query("""
+SELECT CAST(user_id AS VARCHAR) AS vehicle_id, value AS latitude, event_type AS traffic_level FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, CAST(event_id AS VARCHAR) DESC) = 1
+""")
+def stream_positions(spark, sf):
+    """The running latest position of each vehicle."""
+    gps = star_inputs(spark, sf)["gps"].drop("route_id").withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+    return _streamed_twice(spark, gps, "gps").select(
+        "vehicle_id", F.col("position.latitude").alias("latitude"), F.col("position.traffic_level").alias("traffic_level"))
+
+
 NAV = {"container": "nav", "css_class": None, "row": "ul", "cells": ("li",)}
 LIST_ITEM = r"""'<li><a href="[^"]*">([^<]*)</a>', 1"""
 

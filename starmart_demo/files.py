@@ -13,7 +13,7 @@ from starmart.operators import quality
 from starmart.plans import incremental, sql, star
 from starmart.plans import ingest as ingestion
 from starmart.session import materialise, scratch_dir
-from starmart.sources import documents, files, filesystem, quoted, sinks, warehouse
+from starmart.sources import documents, files, filesystem, ledger, quoted, sinks, warehouse
 from starmart.streaming.payload import stream_into_fact, stream_payload
 from starmart_demo.inputs import SUMMARY_CTES, star_inputs
 from starmart_demo.registry import query, table
@@ -266,6 +266,25 @@ def append_idempotent(spark, sf):
     return spark.read.schema(customer.schema).parquet(path).fillna({"c_nationkey": 3})
 
 
+@query("SELECT * FROM customer")
+def append_once(spark, sf):
+    """Two loads of different customers, then all of them twice."""
+    root, customer = scratch_dir(spark, "ledger"), table(spark, sf, "customer")
+    for rows in (customer.where("c_custkey % 2 = 0"), customer.where("c_custkey % 2 = 1"), customer, customer):
+        ledger.append_once(rows, root, "customer", ["c_custkey", "c_nationkey"])
+    return files.read_table(spark, root, "customer")
+
+
+@query("SELECT c_custkey, c_name, row_number() OVER (ORDER BY c_custkey % 2, c_custkey) AS id FROM customer")
+def ids_kept(spark, sf):
+    """Numbers given to half the customers stay when all of them are loaded."""
+    root = scratch_dir(spark, "registry")
+    customer = table(spark, sf, "customer").select("c_custkey", "c_name")
+    for rows in (customer.where("c_custkey % 2 = 0"), customer):
+        ledger.append_once(rows, root, "customer", "c_custkey", id_col="id")
+    return files.read_table(spark, root, "customer")
+
+
 @query("""
 SELECT c_custkey, count(*) * 2 AS n FROM customer GROUP BY c_custkey
 """)

@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starmart.functions.columns import iso_timestamp
-from starmart.operators import quality
+from starmart.operators import profiling, quality
 from starmart.plans import incremental, sql, star
 from starmart.plans import ingest as ingestion
 from starmart.session import materialise, scratch_dir
-from starmart.sources import documents, files, filesystem, ledger, quoted, sinks, warehouse
+from starmart.sources import distinct_index, documents, files, filesystem, ledger, quoted, search_index, sinks, warehouse
 from starmart.streaming.payload import stream_into_fact, stream_payload
 from starmart_demo.inputs import SUMMARY_CTES, star_inputs
 from starmart_demo.registry import query, table
@@ -285,6 +285,31 @@ def ids_kept(spark, sf):
     return files.read_table(spark, root, "customer")
 
 
+@query("SELECT * FROM documents WHERE contains(text, 'erkeit') OR contains(lang, 'erkeit') OR contains(source, 'erkeit')")
+def search_indexed(spark, sf):
+    """A word of one language, in files by language of which one half was indexed later."""
+    docs, path, index = table(spark, sf, "documents"), scratch_dir(spark, "documents"), scratch_dir(spark, "index")
+    for part in (F.col("doc_id") % 2 == 0, F.col("doc_id") % 2 == 1):
+        docs.where(part).repartitionByRange(8, "lang").write.mode("append").parquet(path)
+        search_index.index_files(spark, path, index)
+    return search_index.search(spark, path, index, "erkeit")
+
+
+@query("""
+SELECT unnest(['o_orderkey', 'o_custkey', 'o_orderstatus', 'o_totalprice', 'o_orderdate', 'o_orderpriority']) AS "column",
+       true AS near
+""")
+def distinct_sketches(spark, sf):
+    """Orders in two loads; each column's estimate is within two percent of the exact number."""
+    orders, path, index = table(spark, sf, "orders"), scratch_dir(spark, "orders"), scratch_dir(spark, "sketches")
+    for part in (F.col("o_orderkey") % 3 == 0, F.col("o_orderkey") % 3 != 0):
+        orders.where(part).write.mode("append").parquet(path)
+        distinct_index.update(spark, path, index)
+    exact = profiling.distinct_profile(orders, orders.columns).withColumnRenamed("distinct_values", "exact")
+    return distinct_index.estimates(spark, path, index).join(exact, "column").select(
+        "column", (F.abs(F.col("distinct_values") - F.col("exact")) <= 0.02 * F.col("exact")).alias("near"))
+
+
 @query("""
 SELECT c_custkey, count(*) * 2 AS n FROM customer GROUP BY c_custkey
 """)

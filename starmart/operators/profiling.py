@@ -46,13 +46,13 @@ def null_profile(df: DataFrame) -> DataFrame:
     return out.select("column", "nulls", share.cast("double").alias("null_pct"))
 
 
-def distinct_profile(df: DataFrame, cols=None, approx: bool = False) -> DataFrame:
+def distinct_profile(df: DataFrame, cols=None, approx: bool = False, by_column: bool = False) -> DataFrame:
     """Distinct values per text column (or ``cols``), a null counting as one value.
 
     Exact form: values are grouped by column and value, first inside each task, so a value that
     fills the table is one row per task. Texts travel as the SHA-256 digest of the whole text.
-    A frame that is read straight from column files has one branch per column, which reads that
-    column alone; any other frame (parsed text, a join) is computed once for all columns.
+    The frame is computed once for all columns. For one that is read straight from column files
+    ``by_column`` makes a branch per column instead, which reads that column alone.
     ``approx`` keeps a sketch per column in a single scan and shuffles no values.
     """
     cols = cols or [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
@@ -65,7 +65,7 @@ def distinct_profile(df: DataFrame, cols=None, approx: bool = False) -> DataFram
         v = F.col(f"`{c}`")
         return F.sha2(v, 256) if isinstance(df.schema[c].dataType, T.StringType) else v
 
-    if not _read_by_column(df):
+    if not by_column:
         # every column's value as text; a null stays one
         entries = F.array(*[F.struct(F.lit(i).alias("i"), value(c).cast("string").alias("value"))
                             for i, c in enumerate(cols)])
@@ -81,15 +81,6 @@ def distinct_profile(df: DataFrame, cols=None, approx: bool = False) -> DataFram
         .select(F.lit(c).alias("column"), "distinct_values") for c in cols])
 
 
-def _read_by_column(df: DataFrame) -> bool:
-    """Whether the frame is nothing but columns of Parquet or ORC files."""
-    plan = df._jdf.queryExecution().optimizedPlan()
-    while plan.nodeName() == "Project":
-        plan = plan.child()
-    return plan.nodeName() == "LogicalRelation" and any(
-        kind in plan.toString() for kind in (" parquet", " orc"))
-
-
 def shape(df: DataFrame) -> DataFrame:
     return df.agg(F.count("*").alias("rows")).withColumn("columns", F.lit(len(df.columns)))
 

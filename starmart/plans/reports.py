@@ -11,14 +11,15 @@ from starmart import schemas
 from starmart.operators import aggregates, joins, profiling, quality
 
 
-def profile(df: DataFrame, approx: bool = False) -> DataFrame:
+def profile(df: DataFrame, approx: bool = False, stored: bool = False) -> DataFrame:
     """One row per column: type, rows, nulls and their share, distinct values of text
-    columns, and count, mean, deviation and range of numeric ones."""
+    columns, and count, mean, deviation and range of numeric ones. ``stored`` says that the frame is
+    a table of column files, whose columns can be read one by one."""
     types = df.sparkSession.createDataFrame(
         [(i, f.name, f.dataType.simpleString()) for i, f in enumerate(df.schema.fields)],
         "position int, column string, type string")
     measures = profiling.column_measures(df)
-    distinct = profiling.distinct_profile(df, approx=approx)
+    distinct = profiling.distinct_profile(df, approx=approx, by_column=stored)
     return (types.join(measures, "column", "left").join(distinct, "column", "left")
             .orderBy("position"))
 

@@ -305,7 +305,7 @@ def distinct_sketches(spark, sf):
     for part in (F.col("o_orderkey") % 3 == 0, F.col("o_orderkey") % 3 != 0):
         orders.where(part).write.mode("append").parquet(path)
         distinct_index.update(spark, path, index)
-    exact = profiling.distinct_profile(orders, orders.columns).withColumnRenamed("distinct_values", "exact")
+    exact = profiling.distinct_profile(orders, orders.columns, by_column=True).withColumnRenamed("distinct_values", "exact")
     return distinct_index.estimates(spark, path, index).join(exact, "column").select(
         "column", (F.abs(F.col("distinct_values") - F.col("exact")) <= 0.02 * F.col("exact")).alias("near"))
 

@@ -45,7 +45,7 @@ def _distinct(col, frm):
 
 @query(" UNION ALL ".join(_distinct(c, "documents") for c in ("text", "lang", "source")))
 def distinct_profile(spark, sf):
-    return profiling.distinct_profile(table(spark, sf, "documents"))
+    return profiling.distinct_profile(table(spark, sf, "documents"), by_column=True)
 
 
 @query(EVENTS_CTE + " UNION ALL ".join(_distinct(c, "ce") for c in
@@ -105,5 +105,5 @@ ORDER_COLS = [("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus
 
 @query(" UNION ALL ".join(_profile(c, k, i) for i, (c, k) in enumerate(ORDER_COLS)))
 def table_profile(spark, sf):
-    out = reports.profile(table(spark, sf, "orders"))
+    out = reports.profile(table(spark, sf, "orders"), stored=True)
     return out.withColumns({c: F.round(c, 6) for c in ("mean", "stddev")})

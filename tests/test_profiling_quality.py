@@ -53,7 +53,7 @@ def test_distinct_profile_counts_null_once(spark, mixed):
 
 def test_distinct_profile_reads_each_column_once(mixed, folder):
     mixed.write.parquet(folder("t"))
-    text = plan(profiling.distinct_profile(mixed.sparkSession.read.parquet(folder("t")), ["s", "b", "n"]))
+    text = plan(profiling.distinct_profile(mixed.sparkSession.read.parquet(folder("t")), ["s", "b", "n"], by_column=True))
     assert text.count("FileScan") == 3 and "Expand" not in text
     assert all(f"ReadSchema: struct<{c}>" in text for c in ("s:string", "b:boolean", "n:int"))
 

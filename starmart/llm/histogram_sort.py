@@ -13,8 +13,13 @@ is enough to number the rows of a shard without gaps: a row's slot is the count
 range plus its place in it.
 
 The rounds read a written table of keys (three numbers and a size per row). The driver holds
-the counted cells: at most 4,096 for each open cell, and there are at most as many open cells as
-cuts plus ranges. Only built-in functions run on the executors.
+the counted cells. A round makes ``MOST_CELLS`` new ones at most, however many cells are open: many open
+cells are divided into few parts each, and there are never more than ``MOST_RANGES`` ranges (beyond,
+they grow). Only built-in functions run on the executors.
+
+Rows that are equal in every column have one key. Where a cut falls among such rows, or too many of
+them are in one range, all rows are written once with a number of their own as the last part of
+the key, and counted again.
 """
 
 from __future__ import annotations
@@ -30,6 +35,8 @@ from starmart.session import materialise
 OUTPUT = ("size", "text_crc32", "law", "shard", "slot", "grown_shard")
 LEAST = -(1 << 63)
 TOP_SHIFT, CELLS = 20, 4096
+#: Cells that a round may add on the driver, and ranges at most.
+MOST_CELLS, MOST_RANGES = 1 << 17, 20_000
 
 
 @dataclass(frozen=True)
@@ -64,10 +71,10 @@ class Cell:
 
 def _count_inside(keys: DataFrame, cells: list[Cell]) -> dict[int, list[Cell]]:
     """Exact bytes and rows of the sub-cells of each cell, by the cell's number."""
-    rows = []
+    rows, parts = [], max(2, min(CELLS, MOST_CELLS // len(cells)))
     for i, c in enumerate(cells):
         shift = 2 if c.high - c.low >= 1 << 62 else 0
-        step = ((c.high >> shift) - (c.low >> shift)) // CELLS + 1
+        step = ((c.high >> shift) - (c.low >> shift)) // parts + 1
         rows.append({"i": i, "top": (c.prefix or (c.low,))[0] >> TOP_SHIFT, "depth": len(c.prefix),
                      "p1": (*c.prefix, 0)[0], "p2": (*c.prefix, 0, 0)[1], "low": c.low,
                      "high": c.high, "shift": shift, "step": step})
@@ -99,6 +106,11 @@ def _placed(cells: list[Cell], before: int = 0) -> list[Cell]:
     return out
 
 
+def _most(rows: int, n_shards: int, rows_per_range: int) -> int:
+    """Rows that a range may have."""
+    return max(min(rows_per_range, -(-rows // (16 * n_shards))), -(-rows // MOST_RANGES))
+
+
 def count_cells(keys: DataFrame, n_shards: int, tolerance: float, rows_per_range: int) -> list[Cell]:
     """The key order as consecutive cells, none of which holds a cut farther than the tolerance
     from its edge, nor more rows than a range may have, unless all its rows have one key."""
@@ -110,7 +122,7 @@ def count_cells(keys: DataFrame, n_shards: int, tolerance: float, rows_per_range
     total = sum(c.bytes for c in cells)
     rows = sum(c.rows for c in cells)
     near = tolerance * total / n_shards
-    most = min(rows_per_range, -(-rows // (16 * n_shards)))
+    most = _most(rows, n_shards, rows_per_range)
     while True:
         open_cells = {}
         for at, c in enumerate(cells):
@@ -125,10 +137,16 @@ def count_cells(keys: DataFrame, n_shards: int, tolerance: float, rows_per_range
         cells = [x for at, c in enumerate(cells) for x in parts.get(at, [c])]
 
 
+def _one_key(cells: list[Cell], n_shards: int, rows_per_range: int) -> bool:
+    """Whether rows with one key would have to be cut."""
+    total, most = sum(c.bytes for c in cells), _most(sum(c.rows for c in cells), n_shards, rows_per_range)
+    return any(c.rows > 1 and c.narrowed() is None and (c.rows > most or c.holds_cut(n_shards, total)) for c in cells)
+
+
 def _ranges(cells: list[Cell], n_shards: int, rows_per_range: int) -> list[dict]:
     """Consecutive cells of a shard put together to ranges; each knows the rows before it."""
     total, rows = sum(c.bytes for c in cells), sum(c.rows for c in cells)
-    most = min(rows_per_range, -(-rows // (16 * n_shards)))
+    most = _most(rows, n_shards, rows_per_range)
     out, shard, slot, held = [], -1, 0, 0
     for c in cells:
         own = c.shard(n_shards, total)
@@ -164,7 +182,7 @@ def shard_by_bytes(df: DataFrame, n_shards: int = 16, text_col: str = "text", id
     share, if one is given). Slots count from 0 in every shard, in key order.
 
     A null text counts as an empty one: size 1, crc32 0. A null id comes first. Rows that are
-    equal in every column have one key and stay together. An empty table gives an empty result.
+    equal in every column are cut like any others, and are in any order. An empty table gives an empty result.
     Input columns with the name of an output column are replaced.
     """
     kept = without(df, OUTPUT)
@@ -178,9 +196,12 @@ def shard_by_bytes(df: DataFrame, n_shards: int = 16, text_col: str = "text", id
                      for c, t in df.dtypes]).alias(k3),
         (F.octet_length(text).cast("long") + 1).alias(size))
     spark = df.sparkSession
-    keys = materialise(keyed.select(F.col(k1).alias("k1"), F.col(k2).alias("k2"),
-                                    F.col(k3).alias("k3"), F.col(size).alias("size")), "keys")
-    ranges = _ranges(count_cells(keys, n_shards, tolerance, rows_per_range), n_shards, rows_per_range)
+    parts = (F.col(k1).alias("k1"), F.col(k2).alias("k2"), F.col(k3).alias("k3"), F.col(size).alias("size"))
+    cells = count_cells(materialise(keyed.select(*parts), "keys"), n_shards, tolerance, rows_per_range)
+    if _one_key(cells, n_shards, rows_per_range):
+        keyed = materialise(keyed.withColumn(k3, F.xxhash64(k3, F.monotonically_increasing_id())), "numbered")
+        cells = count_cells(keyed.select(*parts), n_shards, tolerance, rows_per_range)
+    ranges = _ranges(cells, n_shards, rows_per_range)
     if not ranges:
         ranges = [{"start": (0, LEAST, LEAST), "id": 0, "shard": 0, "before": 0}]
     key = "struct<k1:bigint,k2:bigint,k3:bigint>"

@@ -38,6 +38,38 @@ def test_a_group_of_equal_texts_is_cut_like_any_other(spark):
     assert got == by_hand(rows, 7)
 
 
+def test_rows_equal_in_everything_are_cut(spark):
+    same = [(1, "the same row")] * 1000
+    rows = same + [(i, f"text {i}") for i in range(2, 2002)] + [(None, None)] * 50
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = histogram_sort.shard_by_bytes(df, 16).collect()
+    assert Counter((r["doc_id"], r["text"]) for r in got) == Counter(rows)
+    slots, sizes = defaultdict(list), Counter()
+    for r in got:
+        slots[r["shard"]].append(r["slot"])
+        sizes[r["shard"]] += r["size"]
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    share = sum(sizes.values()) / 16
+    assert len(sizes) == 16 and all(abs(x - share) <= 13 for x in sizes.values())
+
+
+@pytest.mark.parametrize("most", [64, 1 << 17])
+def test_cells_on_the_driver_are_bounded(spark, documents, monkeypatch, most):
+    rows = [tuple(r) for r in documents.select("doc_id", "text").collect()] + [(10_000 + i, f"t{i}") for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(histogram_sort, "MOST_CELLS", most)
+    counted, inside = [], histogram_sort._count_inside
+
+    def seen(keys, cells):
+        found = inside(keys, cells)
+        counted.append((len(cells), sum(map(len, found.values()))))
+        return found
+    monkeypatch.setattr(histogram_sort, "_count_inside", seen)
+    got = histogram_sort.shard_by_bytes(df, 16, rows_per_range=1).collect()
+    assert all(n <= max(most, 2 * cells) + cells for cells, n in counted)
+    assert {r["doc_id"]: (r["shard"], r["slot"]) for r in got} == by_hand(rows, 16)
+
+
 def test_ids_of_any_size(spark):
     rows = [(i, "x") for i in (-2 ** 63, -2 ** 63 + 1, -1, 0, 1, 2 ** 62, 2 ** 63 - 2, 2 ** 63 - 1)]
     df = spark.createDataFrame(rows, "doc_id long, text string")

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from starmart.functions.columns import megabytes
 from starmart.operators.projection import rename
-from starmart.sources import quoted, warehouse
+from starmart.sources import inference, quoted, warehouse
 from starmart.sources.filesystem import listing
 
 
@@ -121,14 +121,15 @@ def least_split(spark: SparkSession) -> int:
     return min(size.filesOpenCostInBytes(), size.filesMaxPartitionBytes())
 
 
-def load_directory(spark: SparkSession, directory: str) -> tuple[dict[str, DataFrame], DataFrame]:
+def load_directory(spark: SparkSession, directory: str, infer: bool = False) -> tuple[dict[str, DataFrame], DataFrame]:
     """Every CSV file of a directory as a dataset of text columns, named by file.
 
     Returns the datasets and a report with one row per file: loaded, empty (skipped), or failed
     with the reason, which may be that records have another number of fields than the header.
     The files are inspected together: one job over their lines and, for all files whose values hold
     line breaks, two more over their splits and records. All files are then read in splits, for which
-    each large one with line breaks is looked at once more. File
+    each large one with line breaks is looked at once more. With ``infer`` the columns get the types
+    that their values allow (``inference``), found for all files together in one more job. File
     names and one line of findings per file come to the driver, and one row per split of files
     with line breaks. Hidden files (names with ``.`` or ``_`` in front) hold no datasets: Spark does
     not read them, and the report says so.
@@ -163,16 +164,56 @@ def load_directory(spark: SparkSession, directory: str) -> tuple[dict[str, DataF
         alone = quoted.unsplit(path) if sizes[path] <= uncut else quoted.splits(spark, [path])
         return quoted.parsed(quoted.records(spark, path, alone), names), None
 
-    out, report = {}, []
+    loaded, report = {}, []
     for f in listed:
         try:
             df, reason = (None, "hidden") if f["name"][0] in "._" else read(f["path"])
         except Exception as e:  # a bad file must not stop the others
             df, reason = None, str(e).split("\n")[0]
         if df is not None:
-            out[f["collection"]] = df
+            loaded[f["path"]] = df
         report.append((f["name"], "loaded" if df is not None else "failed" if reason else "empty", reason))
-    return out, spark.createDataFrame(report, "name string, status string, error string")
+    if infer and loaded:
+        # all files with line breaks are read, as their splits are known for them together
+        plain = [p for p in loaded if p not in several]
+        counts = inference.class_counts(spark, plain, several, ends, max(len(df.columns) for df in loaded.values()))
+        kinds: dict[str, dict[int, str]] = {}
+        for r in inference.types(counts, "path", "position").collect():
+            kinds.setdefault(unquote(urlparse(r["path"]).path), {})[r["position"]] = r["type"]
+        loaded = {p: inference.typed(df, [kinds[place[p]][i] for i in range(len(df.columns))])
+                  for p, df in loaded.items()}
+    collection = {f["path"]: f["collection"] for f in listed}
+    return ({collection[p]: df for p, df in loaded.items()},
+            spark.createDataFrame(report, "name string, status string, error string"))
+
+
+def column_types(spark: SparkSession, directory: str, glob: str = "*.csv") -> DataFrame:
+    """Per file and column (``name``, ``position`` from 0, ``column``): how many values there are of each
+    class of ``inference.CLASSES``, all files in one job after the two that ``load_directory`` inspects them
+    with. Kept beside the data, the counts of earlier files need not be taken again."""
+    listed = list_files(spark, directory, glob).where(
+        "size > 0 AND NOT startswith(name, '.') AND NOT startswith(name, '_')").select("name", "path").collect()
+    place = {f["path"]: unquote(urlparse(f["path"]).path) for f in listed}
+    found = inspect_csv(spark, [f["path"] for f in listed])
+    found = {p: found[x] for p, x in place.items() if x in found}
+    several = [p for p, own in found.items() if own["multiline"]]
+    headers = {p: own["header"].rstrip("\r") for p, own in found.items()}
+    ends = None
+    if several:
+        ends = quoted.splits(spark, several)
+        seen = quoted.inspect(ends, quoted.records(spark, several, ends))
+        headers |= {p: seen[place[p]]["header"] for p in several}
+    columns = {p: quoted.header_names(h) for p, h in headers.items()}
+    names = spark.createDataFrame(
+        [(place[f["path"]], f["name"], i, c) for f in listed for i, c in enumerate(columns.get(f["path"], []))],
+        "place string, name string, position int, column string")
+    if not columns:
+        return names.select("name", "position", "column", *[F.lit(0).cast("long").alias(c) for c in inference.CLASSES])
+    counts = inference.class_counts(spark, [p for p in columns if p not in several], several, ends,
+                                    max(map(len, columns.values())))
+    at = F.url_decode(F.replace(F.regexp_replace("path", "^[a-zA-Z0-9]+:(//[^/]*)?", ""), F.lit("+"), F.lit("%2B")))
+    return names.join(counts.withColumn("place", at).drop("path"), ["place", "position"]).select(
+        "name", "position", "column", *[f"`{c}`" for c in inference.CLASSES])
 
 
 def manifest_report(tables: dict[str, DataFrame]) -> DataFrame:

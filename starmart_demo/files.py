@@ -13,7 +13,8 @@ from starmart.operators import profiling, quality
 from starmart.plans import incremental, sql, star
 from starmart.plans import ingest as ingestion
 from starmart.session import materialise, scratch_dir
-from starmart.sources import distinct_index, documents, files, filesystem, ledger, quoted, search_index, sinks, warehouse
+from starmart.sources import (
+    distinct_index, documents, files, filesystem, inference, ledger, quoted, ragged, search_index, sinks, warehouse)
 from starmart.streaming.payload import stream_into_fact, stream_payload
 from starmart_demo.inputs import SUMMARY_CTES, star_inputs
 from starmart_demo.registry import query, table
@@ -69,6 +70,24 @@ def union_ragged(spark, sf):
     return documents.union_ragged(errors, others)
 
 
+@query("""
+SELECT event_id, CASE event_id % 3 WHEN 0 THEN CAST(user_id AS VARCHAR) WHEN 1 THEN '"' || event_type || '"'
+         ELSE '{"k":' || CAST(json_extract(props, '$.k') AS INT) || '}' END AS what,
+       CASE WHEN event_id % 3 = 1 THEN value END AS amount
+FROM events
+""")
+def ragged_batches(spark, sf):
+    """Three batches in which one key is a number, a text and an object, and one key comes and goes."""
+    events, root = table(spark, sf, "events"), scratch_dir(spark, "ragged")
+    what = {0: F.col("user_id"), 1: F.col("event_type"), 2: F.from_json("props", "k int")}
+    for i, value in what.items():
+        more = [F.col("value").alias("amount")] if i == 1 else []
+        docs = events.where(F.col("event_id") % 3 == i).select(
+            F.to_json(F.struct("event_id", value.alias("what"), *more)).alias("value"))
+        ragged.take_up(spark, root, "events", docs, i + 1)
+    return ragged.flatten(spark, root, "events", "json").withColumn("amount", F.col("amount").cast("double"))
+
+
 RECORD = T.StructType([
     T.StructField("id", T.LongType()), T.StructField("kind", T.StringType()),
     T.StructField("geo", T.StructType([T.StructField("lat", T.DoubleType())]))])
@@ -414,6 +433,27 @@ def load_directory(spark, sf):
     return _typed(reduce(DataFrame.unionByName, datasets.values()), table(spark, sf, "orders"))
 
 
+@query("SELECT * FROM orders")
+def load_directory_typed(spark, sf):
+    """Without a declared schema: the types come from the values, of all files in one job."""
+    datasets, _ = files.load_directory(spark, _orders_directory(spark, sf), infer=True)
+    df = reduce(DataFrame.unionByName, datasets.values())
+    return df.select(*[F.col(c).cast({"int": "bigint", "timestamp": "timestamp_ntz"}.get(t, t)) for c, t in df.dtypes])
+
+
+@query("""
+WITH d AS (SELECT count(doc_id) AS a, count(nullif(lang, '')) AS b, count(n_chars) AS c, count(nullif(source, '')) AS d,
+                  count(nullif(text, '')) AS e, max(doc_id) > 2147483647 AS long_id, max(n_chars) > 2147483647 AS long_n FROM documents)
+SELECT unnest(['doc_id', 'lang', 'n_chars', 'source', 'text']) AS "column",
+       unnest([CASE WHEN long_id THEN 'bigint' ELSE 'int' END, 'string', CASE WHEN long_n THEN 'bigint' ELSE 'int' END,
+               'string', 'string']) AS type, unnest([a, b, c, d, e]) AS filled FROM d
+""")
+def column_types(spark, sf):
+    """Types and filled values out of counts per file, added up over files of texts with line breaks."""
+    directory = _flat_directory(spark, table(spark, sf, "documents"), "lang", "documents-csv")
+    return inference.types(files.column_types(spark, directory), "column")
+
+
 @query("SELECT doc_id, text, lang, source, n_chars FROM documents")
 def load_directory_quoted(spark, sf):
     """Whole texts with quotes and line breaks, one collection of files per language."""

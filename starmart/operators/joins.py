@@ -42,12 +42,20 @@ def bridge_join(df: DataFrame, bridge: DataFrame, dim: DataFrame, k1: str, k2: s
     The bridge is looked up first (one row of ``dim`` per ``k2``), then attached to the
     rows by ``k1``. ``df`` must have one row per ``k1``; then the result is as long as the
     bridge, plus the rows without a link. Several rows per ``k1`` would come out once for each
-    link, so that is an error unless ``fan_out`` says that it is wanted.
+    link, so the job that computes the result fails unless ``fan_out`` says that it is wanted. The
+    rows are counted in that job, beside the joins; nothing runs while the plan is built.
     """
-    if not fan_out and not df.groupBy(k1).count().where("count > 1").isEmpty():
-        raise ValueError(f"{k1} is repeated: reduce the rows to one per {k1} first")
     pairs = bridge.select(k1, k2).distinct()
-    return attach_many(df, pairs.join(dim, k2, "left"), k1, child_keys=pairs)
+    out = attach_many(df, pairs.join(dim, k2, "left"), k1, child_keys=pairs)
+    return out if fan_out else out.unionByName(_none_if_unique(df, k1, out))
+
+
+def _none_if_unique(df: DataFrame, key: str, like: DataFrame) -> DataFrame:
+    """No rows, in the columns of another frame; an error if a key occurs twice."""
+    wrong = F.raise_error(F.lit(f"{key} is repeated: reduce the rows to one per {key} first")).cast("boolean")
+    seen = df.groupBy(key).agg(F.count("*").alias("__n"))
+    none = seen.where(F.when(F.col("__n") > 1, wrong).otherwise(F.lit(False)))
+    return none.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in like.schema])
 
 
 def stop_passager_bridge(stops: DataFrame, passagers: DataFrame,

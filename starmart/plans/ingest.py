@@ -12,16 +12,26 @@ from starmart.sources.files import load_directory
 from starmart.sources.sinks import save
 
 
+#: So many copies of a row get their numbers in one task.
+BLOCK = 10_000
+
+
 def as_documents(df: DataFrame) -> DataFrame:
     """Rows with a unique technical ``_id`` made from their content: 24 hexadecimal digits of a
     digest of all fields and, among equal rows, of their number. The ids do not depend on how
-    the files are split. Equal rows are counted per task first, so many of them are no burden.
+    the files are split. Equal rows are counted per task first; where there are more than a ``BLOCK``
+    of them, their numbers are dealt out in blocks, so that no task has all of them.
     """
     if "_id" in df.columns:
         return df
     columns = [F.col(f"`{c}`") for c in df.columns]
+    one, n, first = F.lit(1).cast("long"), F.col("__n"), F.col("__first")
     counted = df.groupBy(*columns).agg(F.count("*").alias("__n"))
-    numbered = counted.withColumn("__n", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__n"))))
+    few = counted.where(n <= BLOCK).select(*columns, F.explode(F.sequence(one, n)).alias("__n"))
+    many = (counted.where(n > BLOCK).withColumn("__first", F.explode(F.sequence(one, n, F.lit(BLOCK).cast("long"))))
+            .repartition("__first", "__n"))
+    numbered = few.unionByName(many.select(
+        *columns, F.explode(F.sequence(first, F.least(n, first + BLOCK - 1))).alias("__n")))
     content = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
     return numbered.select(*columns, F.substring(F.sha2(F.concat_ws("|", "__n", content), 256), 1, 24).alias("_id"))
 

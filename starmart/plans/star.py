@@ -7,6 +7,8 @@ technical ``_id``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -70,23 +72,25 @@ def dim_stop(df: DataFrame) -> DataFrame:
     return df.select(*SCHEMAS["dim_stop"].names)
 
 
-def _fact(transport, passagers, gps, incidents, tie, stops=None) -> DataFrame:
+def _attach(fact: DataFrame, df: DataFrame, summary: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    return joins.enrich(fact, summary(df), "vehicle_id")
+
+
+def summary_fact(transport, passagers, gps, incidents, tie, stops=None, attach=_attach) -> DataFrame:
     """One row per vehicle: its attributes, sums, counts and latest position.
 
     Every summary leaves its aggregation partitioned by vehicle_id, which is how the joins
-    need it, so the joins add no shuffle of their own.
+    need it, so the joins add no shuffle of their own. ``attach`` joins the summary of an input to the
+    fact where inputs are more than plain frames.
     """
-    fact = joins.enrich(transport, summarise(
-        passagers, "vehicle_id", {"total_passengers": "passenger_count"},
-        count_as="passenger_records"), "vehicle_id")
+    fact = attach(transport, passagers, lambda df: summarise(
+        df, "vehicle_id", {"total_passengers": "passenger_count"}, count_as="passenger_records"))
     if stops is not None:
         fact = joins.enrich(fact, stops.select("vehicle_id", "stops_count"), "vehicle_id")
-    fact = joins.enrich(fact, summarise(
-        incidents, "vehicle_id", {"total_delay_minutes": "delay_minutes"},
-        count_as="incident_count"), "vehicle_id")
-    latest = latest_max_by(gps, "vehicle_id", "timestamp", tie,
-                           ["vehicle_id", *COORDINATES, "speed_kmh", "traffic_level"])
-    fact = joins.enrich(fact, latest, "vehicle_id")
+    fact = attach(fact, incidents, lambda df: summarise(
+        df, "vehicle_id", {"total_delay_minutes": "delay_minutes"}, count_as="incident_count"))
+    fact = attach(fact, gps, lambda df: latest_max_by(
+        df, "vehicle_id", "timestamp", tie, ["vehicle_id", *COORDINATES, "speed_kmh", "traffic_level"]))
     values = {c: v for c, v in defaults(SCHEMAS["fact_transport"]).items() if c in fact.columns}
     order = [c for c in SCHEMAS["fact_transport"].names if c in fact.columns]
     return cleaning.fill_map(fact, values).select(*order)
@@ -95,8 +99,8 @@ def _fact(transport, passagers, gps, incidents, tie, stops=None) -> DataFrame:
 def fact_summary(inputs: dict[str, DataFrame]) -> DataFrame:
     """The live form of the fact, straight from the inputs."""
     gps = projection.parse_ts(inputs["gps"], "timestamp")
-    return _fact(dim_transport(inputs["transport"]), inputs["passagers"], gps,
-                 inputs["incident"], ID if ID in gps.columns else "route_id")
+    return summary_fact(dim_transport(inputs["transport"]), inputs["passagers"], gps,
+                        inputs["incident"], ID if ID in gps.columns else "route_id")
 
 
 def _clean(df: DataFrame, key_cols, round_coordinates: bool) -> DataFrame:
@@ -139,8 +143,8 @@ def _summary_full(inputs, wanted, excluded, round_coordinates) -> dict[str, Data
     if "fact_transport" in wanted:
         if excluded is not None:
             transport = exclude_status(transport, "status", excluded)
-        fact = _fact(transport, passagers, projection.parse_ts(gps, "timestamp"), incidents,
-                     "route_id", stop_counts(stops, passagers))
+        fact = summary_fact(transport, passagers, projection.parse_ts(gps, "timestamp"), incidents,
+                            "route_id", stop_counts(stops, passagers))
         tables["fact_transport"] = cleaning.round_floats(
             fact, exclude=() if round_coordinates else COORDINATES)
     return tables

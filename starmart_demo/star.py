@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from starmart import schemas
 from starmart.operators import aggregates, joins
-from starmart.plans import incremental, reports, star
+from starmart.plans import colocated, incremental, reports, star
 from starmart.session import scratch_dir
 from starmart_demo.inputs import INPUT_CTES, SUMMARY_CTES, star_inputs
 from starmart_demo.registry import query, table
@@ -17,6 +17,14 @@ def fact_summary(spark, sf):
     return star.build_star(star_inputs(spark, sf), tables=["fact_transport"])["fact_transport"]
 
 
+@query(f"WITH {SUMMARY_CTES} SELECT * FROM fact")
+def fact_colocated(spark, sf):
+    """The same fact out of inputs stored in buckets by vehicle; vehicles with many records stay aside."""
+    root = scratch_dir(spark, "buckets")
+    colocated.store(spark, root, star_inputs(spark, sf), 8, hot=0.02)
+    return colocated.fact(spark, root)
+
+
 FULL_CTES = SUMMARY_CTES + """,
 slots AS (
   SELECT stop_id, (row_number() OVER (ORDER BY stop_id) - 1) % (SELECT count(*) FROM transport) AS k

@@ -131,5 +131,10 @@ def test_bridge_join_refuses_repeated_keys(spark):
 
     df = spark.createDataFrame([("a",), ("a",)], "k1 string")
     bridge = spark.createDataFrame([("a", 1)], "k1 string, k2 int")
-    with pytest.raises(ValueError, match="k1 is repeated"):
-        joins.bridge_join(df, bridge, spark.createDataFrame([(1, "x")], "k2 int, n string"), "k1", "k2")
+    dim = spark.createDataFrame([(1, "x")], "k2 int, n string")
+    out = joins.bridge_join(df, bridge, dim, "k1", "k2")  # nothing is computed yet
+    for action in (out.collect, out.count):
+        with pytest.raises(Exception, match="k1 is repeated"):
+            action()
+    assert joins.bridge_join(df, bridge, dim, "k1", "k2", fan_out=True).count() == 2
+    assert rows(joins.bridge_join(df.distinct(), bridge, dim, "k1", "k2")) == [("a", 1, "x")]

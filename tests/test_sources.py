@@ -11,7 +11,7 @@ from starmart.plans import ingest as ingestion
 from starmart.plans import sql
 from starmart.sources import documents, files, jdbc, sinks
 from starmart.streaming.payload import stream_payload
-from tests.conftest import rows
+from tests.conftest import plan, rows
 
 
 def put(path, text):
@@ -154,6 +154,15 @@ def test_document_ids_do_not_depend_on_splits(spark, folder):
     assert seen[0] == seen[1] and len({r[-1] for r in seen[0]}) == 4000
 
 
+def test_document_ids_of_many_copies(spark, monkeypatch):
+    df = spark.createDataFrame([("a",)] * 23 + [("b",)] * 5 + [("c",)] * 10 + [(None,)] * 11, "x string")
+    want = rows(ingestion.as_documents(df))
+    monkeypatch.setattr(ingestion, "BLOCK", 5)
+    assert rows(ingestion.as_documents(df)) == want and len({r[1] for r in want}) == 49
+    out = ingestion.as_documents(df)
+    assert out.count() == 49 and "REPARTITION_BY_COL" in plan(out)  # blocks are dealt out
+
+
 def test_manifest_stops_at_a_missing_file(spark, folder):
     path = put(folder("a.csv"), "x\n1\n2\n")
     out = files.load_manifest(spark, {"a": path})

@@ -199,18 +199,20 @@ def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for start, stop, texts in _groups(batch):
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(start, stop - start),
+                [batch.column("id").slice(start, stop - start), batch.column("y").slice(start, stop - start),
                  pa.array([r.tobytes() for r in text_features(texts)], pa.binary()),
                  pa.array([r.tobytes() for r in _page(batch, start, stop)], pa.binary())],
-                names=["y", "text_view", "page_view"])
+                names=["id", "y", "text_view", "page_view"])
 
 
 def _features(df: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Verdicts (NaN for the pool) and both views of a bounded sample, in an order that depends on
-    the rows alone."""
-    rows = sorted(df.select("y", *_inputs(df)).mapInArrow(
-        _featured, "y double, text_view binary, page_view binary").collect(),
-        key=lambda r: (bytes(r["text_view"]), bytes(r["page_view"]), r["y"]))
+    the rows alone. Of several rows with one id the least views count, found in each task first, so
+    that no id has more than one row here."""
+    found = df.select("id", "y", *_inputs(df)).mapInArrow(
+        _featured, "id long, y double, text_view binary, page_view binary")
+    one = found.groupBy("id").agg(F.min(F.struct("text_view", "page_view", "y")).alias("r")).select("r.*")
+    rows = sorted(one.collect(), key=lambda r: (bytes(r["text_view"]), bytes(r["page_view"]), r["y"]))
     order = np.random.default_rng(1).permutation(len(rows))
     rows = [rows[i] for i in order]
     width, pages = 256 + 6, SOURCES + LANGUAGES + LENGTHS
@@ -221,7 +223,10 @@ def _features(df: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality",
         labelled: int = LABELLED, pool: int = POOL, rounds: int = ROUNDS) -> Views:
-    """Co-trained views from at most ``labelled`` labelled and ``pool`` unlabelled documents."""
+    """Co-trained views from at most ``labelled`` labelled and ``pool`` unlabelled documents.
+
+    Rows without an id take no part; an id that is repeated counts as one document.
+    """
     order = F.xxhash64("id", F.lit(3))
     known = (labels.select(quoted(id_col).cast("long").alias("id"), quoted(label_col).cast("int").alias("y"))
              .where("id IS NOT NULL AND y IN (0, 1)").groupBy("id").agg(F.min("y").alias("y")))

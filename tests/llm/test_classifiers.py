@@ -95,6 +95,19 @@ def test_each_view_teaches_the_other():
     assert right[1] > right[0] and right[2] >= right[1] - 0.01
 
 
+def test_repeated_ids_are_one_document(spark, corpus):
+    labels = spark.read.parquet(f"{SMALL}/labels.parquet").select("doc_id", "quality")
+    one = corpus.join(labels.limit(1), "doc_id", "left_semi")
+    many = one.crossJoin(spark.range(2000).withColumnRenamed("id", "i")).withColumn(
+        "text", F.concat("text", F.lit(" "), F.col("i").cast("string"))).drop("i")
+    both = corpus.unionByName(many)
+    sampled = both.select(F.col("doc_id").alias("id"), F.lit(1.0).alias("y"), "text", "source", "lang", "n_chars")
+    y, text, page = cotraining._features(sampled)
+    assert len(y) == len(text) == len(page) == corpus.select("doc_id").distinct().count()
+    again = cotraining._features(sampled.repartition(7, "text"))
+    assert all(np.array_equal(a, b) for a, b in zip((y, text, page), again))
+
+
 def test_labels_that_say_nothing(spark, corpus):
     labels = spark.createDataFrame([(1, 1), (2, 1), (3, None)], "doc_id long, quality int")
     scored = cotraining.with_quality(corpus, cotraining.fit(corpus, labels))

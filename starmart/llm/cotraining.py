@@ -2,34 +2,44 @@
 
 Two classifiers look at a document from two sides: one at its text (which bytes it has, and how
 words and lines repeat), one at what is known about the page (source, language, length). Both
-start from the labelled documents. In every round each of them picks, from a pool of unlabelled
+start from the labelled documents. In every round each of them picks, from all unlabelled
 documents, those about which it is most confident, and hands them with its verdict to the other
 as further training examples. A verdict counts as confident only by its calibrated probability,
 so a side that cannot tell hands over nothing. At the end both sides are calibrated on labelled
 documents that neither was trained on, and a last logistic regression weighs the two calibrated
 views against each other; that combination scores all documents.
 
-Training is done in numpy on the driver, on bounded samples chosen by hash: ``LABELLED`` labelled
-documents, a quarter of them for calibration, and a pool of ``POOL`` others. What is scored is
-every document, whole.
+The views of all documents are computed once, from whole texts, and written. A round reads them: each
+task scores its documents with both sides and keeps its most confident ones, of which the most
+confident of all remain, so that any document of the corpus can be handed over. Only these, at
+most ``HANDED`` a side and round, and ``LABELLED`` labelled documents chosen by hash, a quarter of
+them for calibration, come to the driver, where the regressions are fitted in numpy.
 """
 
 from __future__ import annotations
 
 import pickle
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starmart.llm.common import free_name, quoted, without
 from starmart.llm.near_dedup import IS_WHITE, shingles
-
-LABELLED, POOL, ROUNDS, HANDED, CONFIDENT = 4000, 4000, 4, 200, 0.95
+from starmart.session import materialise
+
+LABELLED, ROUNDS, HANDED, CONFIDENT = 4000, 4, 200, 0.95
+#: The side that is taught by each side.
+PUPIL = {"text": "page", "page": "text"}
+#: Probabilities count as equal up to so many places; among equal ones a hash decides.
+PLACES = 6
+#: The most confident documents of the tasks are merged in so many parts first.
+PARTS = 64
 SOURCES, LANGUAGES, LENGTHS = 64, 32, 24
 BATCH_BYTES = 1 << 20
 OUTPUT = ("text_score", "page_score", "score", "keep")
@@ -127,9 +137,54 @@ class Views:
         return sigmoid(own[0]), sigmoid(own[1]), self.both.probability(np.stack(own, axis=1))
 
 
-def co_train(text: np.ndarray, page: np.ndarray, y: np.ndarray, pool_text: np.ndarray, pool_page: np.ndarray,
-             rounds: int = ROUNDS, handed: int = HANDED, confident: float = CONFIDENT) -> Views:
-    """Train both views on labelled rows, let them teach each other on the pool, combine them."""
+@dataclass
+class Candidates:
+    """Unlabelled documents that one side is confident about, the surest first: one verdict, the keys
+    of the documents (equal in both views, equal key), how sure it is, and the pupil's view of them."""
+    keys: np.ndarray
+    certainty: np.ndarray
+    views: np.ndarray
+
+    def best(self, n: int) -> Candidates:
+        """The ``n`` surest different documents; of equally sure ones those of the least keys."""
+        _, one = np.unique(self.keys, return_index=True)
+        own = one[np.lexsort((self.keys[one], -self.certainty[one]))][:n]
+        return Candidates(self.keys[own], self.certainty[own], self.views[own])
+
+    def also(self, other: Candidates) -> Candidates:
+        return Candidates(*(np.concatenate([a, b]) for a, b in zip(
+            (self.keys, self.certainty, self.views), (other.keys, other.certainty, other.views))))
+
+
+@dataclass
+class Question:
+    """What a round asks of the unlabelled documents: the ``shares[verdict]`` surest of each side and
+    verdict that are at least ``confident`` and were not handed over before."""
+    models: dict[str, tuple[Logistic, Logistic]]
+    shares: tuple[int, int]
+    confident: float
+    taken: np.ndarray
+
+    def asked(self, keys: np.ndarray, views: dict[str, np.ndarray]) -> dict[tuple[str, int], Candidates]:
+        free = ~np.isin(keys, self.taken)
+        out = {}
+        for side, (model, calibrated) in self.models.items():
+            p = calibrated.probability(model.margin(views[side])[:, None])
+            for verdict, certainty in enumerate((1 - p, p)):
+                certainty = np.round(certainty, PLACES)
+                sure = free & (certainty >= self.confident) & ((p >= 0.5) == bool(verdict))
+                out[side, verdict] = Candidates(keys[sure], certainty[sure], views[PUPIL[side]][sure]).best(
+                    self.shares[verdict])
+        return out
+
+
+Answer = dict[tuple[str, int], Candidates]
+
+
+def taught(text: np.ndarray, page: np.ndarray, y: np.ndarray, ask: Callable[[Question], Answer],
+           rounds: int = ROUNDS, handed: int = HANDED, confident: float = CONFIDENT) -> Views:
+    """Train both views on labelled rows, let them teach each other on the documents that ``ask``
+    finds, combine them."""
     if len(set(y.tolist())) < 2:
         return Views(prior=float(y.mean()) if len(y) else 1.0)
     held = np.zeros(len(y), bool)
@@ -137,37 +192,43 @@ def co_train(text: np.ndarray, page: np.ndarray, y: np.ndarray, pool_text: np.nd
     if len(set(y[held].tolist())) < 2 or len(set(y[~held].tolist())) < 2:
         held[:] = False
     calibrate = held if held.any() else ~held
-    views = {"text": (text[~held], y[~held]), "page": (page[~held], y[~held])}
-    every = {"text": (text, pool_text), "page": (page, pool_page)}
-    free = np.ones(len(pool_text), bool)
-
-    def fitted(name: str) -> tuple[Logistic, Logistic]:
-        model = Logistic().fit(*views[name])
-        return model, Logistic().fit(model.margin(every[name][0][calibrate])[:, None], y[calibrate])
-    models = {name: fitted(name) for name in views}
+    own = {"text": text, "page": page}
+    known = {side: (x[~held], y[~held]) for side, x in own.items()}
+
+    def fitted(side: str) -> tuple[Logistic, Logistic]:
+        model = Logistic().fit(*known[side])
+        return model, Logistic().fit(model.margin(own[side][calibrate])[:, None], y[calibrate])
+    models = {side: fitted(side) for side in own}
+    fewer = max(1, round(handed * min(y.mean(), 1 - y.mean())))
+    taken = np.empty(0, np.int64)
     for _ in range(rounds):
-        gifts = {}
-        for name, other in (("text", "page"), ("page", "text")):
-            model, calibrated = models[name]
-            p = calibrated.probability(model.margin(every[name][1])[:, None]) if len(free) else np.empty(0)
-            sure = np.flatnonzero(free & (np.maximum(p, 1 - p) >= confident))
-            share = max(1, round(handed * min(y.mean(), 1 - y.mean())))
-            low = sure[p[sure] < 0.5]
-            low = low[np.argsort(p[low], kind="stable")][:share]
-            high = sure[p[sure] >= 0.5]
-            high = high[np.argsort(-p[high], kind="stable")][:handed - share]
-            gifts[other] = np.concatenate([low, high]).astype(int), np.concatenate([np.zeros(len(low)), np.ones(len(high))])
-        for name, (rows, verdicts) in gifts.items():
-            x, known = views[name]
-            views[name] = np.concatenate([x, every[name][1][rows]]), np.concatenate([known, verdicts])
-            free[rows] = False
-        if not any(len(rows) for rows, _ in gifts.values()):
+        found = ask(Question(models, (fewer, handed - fewer), confident, taken))
+        if not any(len(c.keys) for c in found.values()):
             break
-        models = {name: fitted(name) for name in views}
+        for (side, verdict), c in sorted(found.items()):
+            x, verdicts = known[PUPIL[side]]
+            known[PUPIL[side]] = (np.concatenate([x, c.views]),
+                                  np.concatenate([verdicts, np.full(len(c.keys), float(verdict))]))
+            taken = np.concatenate([taken, c.keys])
+        models = {side: fitted(side) for side in own}
     (a, a_cal), (b, b_cal) = models["text"], models["page"]
-    own = np.stack([a_cal.margin(a.margin(text[calibrate])[:, None]),
-                    b_cal.margin(b.margin(page[calibrate])[:, None])], axis=1)
-    return Views(a, b, a_cal, b_cal, Logistic().fit(own, y[calibrate]))
+    both = np.stack([a_cal.margin(a.margin(text[calibrate])[:, None]),
+                     b_cal.margin(b.margin(page[calibrate])[:, None])], axis=1)
+    return Views(a, b, a_cal, b_cal, Logistic().fit(both, y[calibrate]))
+
+
+def co_train(text: np.ndarray, page: np.ndarray, y: np.ndarray, pool_text: np.ndarray, pool_page: np.ndarray,
+             rounds: int = ROUNDS, handed: int = HANDED, confident: float = CONFIDENT) -> Views:
+    """Both views trained on labelled rows and on unlabelled ones that are all at hand."""
+    keys = view_keys(pool_text, pool_page)
+    return taught(text, page, y, lambda q: q.asked(keys, {"text": pool_text, "page": pool_page}),
+                  rounds, handed, confident)
+
+
+def view_keys(text: np.ndarray, page: np.ndarray) -> np.ndarray:
+    """A hash of both views of each row."""
+    return np.array([xxhash.xxh3_64_intdigest(a.tobytes() + b.tobytes()) for a, b in zip(text, page)],
+                    np.uint64).astype(np.int64)
 
 
 KIND = "text string, source string, lang string, n_chars long"
@@ -195,50 +256,100 @@ def _page(batch: pa.RecordBatch, start: int, stop: int) -> np.ndarray:
     return page_features(*(batch.column(c).slice(start, stop - start).to_pandas() for c in ("source", "lang", "n_chars")))
 
 
-def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for start, stop, texts in _groups(batch):
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id").slice(start, stop - start), batch.column("y").slice(start, stop - start),
-                 pa.array([r.tobytes() for r in text_features(texts)], pa.binary()),
-                 pa.array([r.tobytes() for r in _page(batch, start, stop)], pa.binary())],
-                names=["id", "y", "text_view", "page_view"])
+VIEWED = "id long, y double, key long, text_view binary, page_view binary"
 
 
-def _features(df: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Verdicts (NaN for the pool) and both views of a bounded sample, in an order that depends on
-    the rows alone. Of several rows with one id the least views count, found in each task first, so
-    that no id has more than one row here."""
-    found = df.select("id", "y", *_inputs(df)).mapInArrow(
-        _featured, "id long, y double, text_view binary, page_view binary")
-    one = found.groupBy("id").agg(F.min(F.struct("text_view", "page_view", "y")).alias("r")).select("r.*")
-    rows = sorted(one.collect(), key=lambda r: (bytes(r["text_view"]), bytes(r["page_view"]), r["y"]))
+def _viewed(df: DataFrame) -> DataFrame:
+    """``id`` and ``y`` of all rows with both views and their key."""
+    def views(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start, stop, texts in _groups(batch):
+                text, page = text_features(texts), _page(batch, start, stop)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("id").slice(start, stop - start), batch.column("y").slice(start, stop - start),
+                     pa.array(view_keys(text, page)), pa.array([r.tobytes() for r in text], pa.binary()),
+                     pa.array([r.tobytes() for r in page], pa.binary())],
+                    names=["id", "y", "key", "text_view", "page_view"])
+    return df.select("id", "y", *_inputs(df)).mapInArrow(views, VIEWED)
+
+
+def _matrix(rows: list, width: int) -> np.ndarray:
+    return np.frombuffer(b"".join(bytes(r) for r in rows), np.float32).reshape(len(rows), width)
+
+
+WIDTH = {"text": 256 + 6, "page": SOURCES + LANGUAGES + LENGTHS}
+
+
+def _sample(viewed: DataFrame, most: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Verdicts and both views of at most so many documents, in an order that depends on the rows
+    alone. Of several rows with one id the least views count, found in each task first, so that no
+    id has more than one row here."""
+    one = viewed.groupBy("id").agg(F.min(F.struct("text_view", "page_view", "y")).alias("r"))
+    if most is not None:
+        one = one.orderBy(F.xxhash64("id", F.lit(3)), "id").limit(most)
+    rows = sorted(one.select("r.*").collect(), key=lambda r: (bytes(r["text_view"]), bytes(r["page_view"]), r["y"]))
     order = np.random.default_rng(1).permutation(len(rows))
     rows = [rows[i] for i in order]
-    width, pages = 256 + 6, SOURCES + LANGUAGES + LENGTHS
-    text = np.array([np.frombuffer(r["text_view"], np.float32) for r in rows]).reshape(len(rows), width)
-    page = np.array([np.frombuffer(r["page_view"], np.float32) for r in rows]).reshape(len(rows), pages)
-    return np.array([r["y"] for r in rows], dtype=float), text, page
+    return (np.array([r["y"] for r in rows], dtype=float), _matrix([r["text_view"] for r in rows], WIDTH["text"]),
+            _matrix([r["page_view"] for r in rows], WIDTH["page"]))
+
+
+def _features(df: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return _sample(_viewed(df))
+
+
+def surest(pool: DataFrame, question: Question) -> Answer:
+    """The answer to a question out of a table of views: the best of each task, then of each part of
+    these by their keys, then of all."""
+    asked = pickle.dumps(question)
+
+    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ask, best = pickle.loads(asked), {}
+        for batch in batches:
+            views = {side: _matrix(batch.column(f"{side}_view").to_pylist(), WIDTH[side]) for side in WIDTH}
+            for case, found in ask.asked(batch.column("key").to_numpy(), views).items():
+                best[case] = best[case].also(found).best(ask.shares[case[1]]) if case in best else found
+        for (side, verdict), c in best.items():
+            n = len(c.keys)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([side] * n, pa.string()), pa.array([verdict] * n, pa.int32()), pa.array(c.keys, pa.int64()),
+                 pa.array(c.certainty, pa.float64()), pa.array([v.tobytes() for v in c.views], pa.binary())],
+                names=["side", "verdict", "key", "certainty", "view"])
+
+    found = pool.select("key", "text_view", "page_view").mapInArrow(
+        own, "side string, verdict int, key long, certainty double, view binary")
+    found = found.withColumn("part", F.pmod("key", F.lit(PARTS)))
+    most = F.when(F.col("verdict") == 0, question.shares[0]).otherwise(question.shares[1])
+    for group in (["side", "verdict", "part"], ["side", "verdict"]):  # copies of a document are in one part
+        if "part" in group:
+            found = found.dropDuplicates(["side", "verdict", "part", "key"])
+        place = Window.partitionBy(*group).orderBy(F.desc("certainty"), "key")
+        found = found.withColumn("place", F.row_number().over(place)).where(F.col("place") <= most)
+    rows = found.collect()  # at most the shares of both sides
+    answer = {}
+    for side in WIDTH:
+        for verdict in (0, 1):
+            mine = sorted((r for r in rows if (r["side"], r["verdict"]) == (side, verdict)), key=lambda r: r["place"])
+            answer[side, verdict] = Candidates(
+                np.array([r["key"] for r in mine], np.int64), np.array([r["certainty"] for r in mine], float),
+                _matrix([r["view"] for r in mine], WIDTH[PUPIL[side]]))
+    return answer
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality",
-        labelled: int = LABELLED, pool: int = POOL, rounds: int = ROUNDS) -> Views:
-    """Co-trained views from at most ``labelled`` labelled and ``pool`` unlabelled documents.
+        labelled: int = LABELLED, rounds: int = ROUNDS) -> Views:
+    """Views co-trained on at most ``labelled`` labelled documents and on all unlabelled ones.
 
-    Rows without an id take no part; an id that is repeated counts as one document.
+    Rows without an id take no part; a labelled id that is repeated counts as one document, and so do
+    unlabelled documents with equal views.
     """
-    order = F.xxhash64("id", F.lit(3))
     known = (labels.select(quoted(id_col).cast("long").alias("id"), quoted(label_col).cast("int").alias("y"))
-             .where("id IS NOT NULL AND y IN (0, 1)").groupBy("id").agg(F.min("y").alias("y")))
-    own = docs.select(quoted(id_col).cast("long").alias("id"), *_inputs(docs))
-    sample = known.orderBy(order, "id").limit(labelled).select("id", F.col("y").cast("double").alias("y"))
-    some = (own.select("id").where("id IS NOT NULL").distinct()
-            .join(known, "id", "left_anti").orderBy(order, "id").limit(pool)
-            .select("id", F.lit(float("nan")).alias("y")))
-    chosen = F.broadcast(sample.unionByName(some))  # at most labelled + pool rows of 16 bytes
-    y, text, page = _features(own.join(chosen, "id"))
-    free = np.isnan(y)
-    return co_train(text[~free], page[~free], y[~free], text[free], page[free], rounds)
+             .where("id IS NOT NULL AND y IN (0, 1)").groupBy("id").agg(F.min("y").cast("double").alias("y")))
+    own = docs.select(quoted(id_col).cast("long").alias("id"), F.lit(None).cast("double").alias("y"), *_inputs(docs))
+    viewed = materialise(_viewed(own.where("id IS NOT NULL")).drop("y").join(known, "id", "left"), "views")
+    y, text, page = _sample(viewed.where("y IS NOT NULL"), labelled)
+    pool = viewed.where("y IS NULL")
+    return taught(text, page, y, lambda question: surest(pool, question), rounds)
 
 
 def with_quality(df: DataFrame, views: Views, threshold: float = 0.5) -> DataFrame:

@@ -95,6 +95,48 @@ def test_each_view_teaches_the_other():
     assert right[1] > right[0] and right[2] >= right[1] - 0.01
 
 
+def test_the_exchange_covers_all_documents(spark, corpus):
+    """The whole exchange on Spark against one in memory, and each answer against a plain sort."""
+    labels = spark.read.parquet(f"{SMALL}/labels.parquet").where("doc_id % 2 = 0").select("doc_id", "quality")
+    known = {r["doc_id"]: r["quality"] for r in labels.collect() if r["quality"] in (0, 1)}
+    copies = corpus.where("doc_id % 3 = 0").withColumn("doc_id", F.col("doc_id") + 10 ** 9)
+    docs = corpus.unionByName(copies).repartition(11)
+    views = cotraining.fit(docs, labels, labelled=120)
+
+    viewed = cotraining._viewed(docs.select(F.col("doc_id").alias("id"), F.lit(None).cast("double").alias("y"),
+                                            "text", "source", "lang", "n_chars"))
+    rows = [r for r in viewed.collect() if r["id"] not in known]
+    text = cotraining._matrix([r["text_view"] for r in rows], cotraining.WIDTH["text"])
+    page = cotraining._matrix([r["page_view"] for r in rows], cotraining.WIDTH["page"])
+    keys = [r["key"] for r in rows]
+    assert len(set(keys)) < len(keys)
+    y, own_text, own_page = cotraining._sample(
+        viewed.drop("y").join(labels.select(F.col("doc_id").alias("id"), F.col("quality").cast("double").alias("y")), "id"), 120)
+    asked = []
+
+    def ask(question):
+        asked.append(question)
+        answer = {}
+        for side, other, x in (("text", page, text), ("page", text, page)):
+            p = question.models[side][1].probability(question.models[side][0].margin(x)[:, None])
+            for verdict in (0, 1):
+                sure = {}
+                for i, k in enumerate(keys):
+                    certainty = round(float(p[i] if verdict else 1 - p[i]), cotraining.PLACES)
+                    if k not in question.taken and certainty >= question.confident and (p[i] >= 0.5) == bool(verdict):
+                        sure.setdefault(k, (-certainty, k, i))
+                best = sorted(sure.values())[:question.shares[verdict]]
+                answer[side, verdict] = cotraining.Candidates(
+                    np.array([k for _, k, _ in best], np.int64), np.array([-c for c, _, _ in best], float),
+                    other[[i for _, _, i in best]])
+        return answer
+    assert len(y) == 120
+    plain = cotraining.taught(own_text, own_page, y, ask)
+    assert len(asked) > 1 and len(asked[-1].taken) > 20
+    for a, b in zip(views.scores(text, page), plain.scores(text, page)):
+        assert np.allclose(a, b, atol=1e-6)
+
+
 def test_repeated_ids_are_one_document(spark, corpus):
     labels = spark.read.parquet(f"{SMALL}/labels.parquet").select("doc_id", "quality")
     one = corpus.join(labels.limit(1), "doc_id", "left_semi")

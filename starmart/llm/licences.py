@@ -80,6 +80,31 @@ SENTENCES = {
     "cc-by-sa-4": "this work is licensed under a creative commons attribution sharealike 4 0 international license",
     "cc-by-nc-4": "this work is licensed under a creative commons attribution noncommercial 4 0 international license",
     "unlicense": "this is free and unencumbered software released into the public domain",
+    "isc-grant": "permission to use copy modify and or distribute this software for any purpose with or without fee is"
+                 " hereby granted provided that the above copyright notice and this permission notice appear in all"
+                 " copies",
+    "zlib-warranty": "this software is provided as is without any express or implied warranty",
+    "zlib-grant": "permission is granted to anyone to use this software for any purpose including commercial"
+                  " applications and to alter it and redistribute it freely subject to the following restrictions",
+    "boost-distributed": "distributed under the boost software license version 1 0",
+    "boost-grant": "permission is hereby granted free of charge to any person or organization obtaining a copy of the"
+                   " software and accompanying documentation covered by this license the software to use reproduce"
+                   " display distribute execute and transmit the software and to prepare derivative works of the"
+                   " software and to permit third parties to whom the software is furnished to do so all subject to"
+                   " the following",
+    "epl2-available": "this program and the accompanying materials are made available under the terms of the eclipse"
+                      " public license 2 0 which is available at https www eclipse org legal epl 2 0",
+    "lgpl21-free": "this library is free software you can redistribute it and or modify it under the terms of the gnu"
+                   " lesser general public license as published by the free software foundation either version 2 1 of"
+                   " the license or at your option any later version",
+    "lgpl3-free": "this library is free software you can redistribute it and or modify it under the terms of the gnu"
+                  " lesser general public license as published by the free software foundation either version 3 of"
+                  " the license or at your option any later version",
+    "lgpl-hope": "this library is distributed in the hope that it will be useful but without any warranty without even"
+                 " the implied warranty of merchantability or fitness for a particular purpose",
+    "agpl3-free": "this program is free software you can redistribute it and or modify it under the terms of the gnu"
+                  " affero general public license as published by the free software foundation either version 3 of the"
+                  " license or at your option any later version",
 }
 #: Ordered rules: licence, identifiers. Fixed values.
 RULES = [
@@ -101,7 +126,15 @@ RULES = [
     ("CC-BY-4.0", ["cc-by-4-short"]), ("CC-BY-4.0", ["cc-by-4"]),
     ("CC-BY-SA-4.0", ["cc-by-sa-4-short"]), ("CC-BY-SA-4.0", ["cc-by-sa-4"]),
     ("CC-BY-NC-SA-4.0", ["cc-by-nc-sa-4-short"]),
+    ("ISC", ["isc-grant"]), ("Zlib", ["zlib-warranty", "zlib-grant"]),
+    ("BSL-1.0", ["boost-distributed"]), ("BSL-1.0", ["boost-grant"]), ("EPL-2.0", ["epl2-available"]),
+    ("LGPL-2.1-or-later", ["lgpl21-free", "lgpl-hope"]), ("LGPL-3.0-or-later", ["lgpl3-free", "lgpl-hope"]),
+    ("AGPL-3.0-or-later", ["agpl3-free", "gpl-hope"]),
 ]
+# An identifier line names any of these licences.
+for _name in sorted({licence for licence, _ in RULES}):
+    SENTENCES[f"spdx-{_name}"] = "spdx license identifier " + _name.lower().replace("-", " ").replace(".", " ")
+    RULES.append((_name, [f"spdx-{_name}"]))
 GAP = 3
 #: What a known sentence can begin with, at the ends of its words.
 PREFIXES = {" ".join(w[:n]) for w in map(str.split, SENTENCES.values()) for n in range(1, len(w) + 1)}
@@ -110,6 +143,8 @@ HOLDERS = [("neither the name of", "nor the names of its contributors may be use
            ("to the extent possible under law", "has waived all copyright", "the author")]
 #: So many words of a holder's name at most.
 NAME_WORDS = 20
+#: A known sentence, wrapped and with a holder's name, may have so many pieces, as a piece has a word at least.
+LONGEST = max(len(s.split()) for s in SENTENCES.values()) + NAME_WORDS
 OUTPUT = ("sentences", "licences", "matches")
 
 
@@ -170,7 +205,7 @@ def scan(df: DataFrame, text_col: str = "text", sentences: dict[str, str] | None
     name = free_name(df, "__hits")
     words = [s.split() for s in sentences.values()]
     prefixes = PREFIXES if sentences is SENTENCES else {" ".join(w[:n]) for w in words for n in range(1, len(w) + 1)}
-    most = max(map(len, words)) + NAME_WORDS  # a piece has a word at least
+    most = LONGEST if sentences is SENTENCES else max(map(len, words)) + NAME_WORDS
     pieces = F.transform(sentences_of(text_or_empty(text_col)), normalised)
     # bound to a name by a lambda, so that pieces are cut once
     found = F.transform(F.array(pieces), lambda p: _found(p, known, prefixes, most))[0]

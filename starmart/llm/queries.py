@@ -71,25 +71,42 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _licence_sql() -> str:
-    """Sentences and rules as values; an occurrence grows by one sentence in each step."""
+    """Sentences and rules as values. A span of pieces grows while it may still become a known sentence,
+    an occurrence of a rule by one sentence in each step."""
     known = ", ".join(f"('{i}', '{text}')" for i, text in licences.SENTENCES.items())
     rules = ", ".join(f"({n}, '{licence}', {step}, '{i}')" for n, (licence, ids) in enumerate(licences.RULES)
                       for step, i in enumerate(ids, 1))
+    named = "words"
+    for before, after, name in licences.HOLDERS:
+        named = f"regexp_replace({named}, '^{before} .+? {after}', '{before} {name} {after}')"
+
+    def goes_on(words: str) -> str:
+        return f"({words} IN (SELECT words FROM prefixes)" + "".join(
+            f" OR starts_with({words}, '{before} ')" for before, _, _ in licences.HOLDERS) + ")"
     return rf"""
     WITH RECURSIVE known(id, sentence) AS (VALUES {known}), rules(rule, licence, step, id) AS (VALUES {rules}),
+    prefixes AS (SELECT DISTINCT array_to_string(list_slice(parts, 1, n), ' ') AS words
+                 FROM (SELECT parts, unnest(range(1, len(parts) + 1)) AS n
+                       FROM (SELECT string_split(sentence, ' ') AS parts FROM known))),
     cut AS (SELECT row_number() OVER () AS place, doc_id, string_split(regexp_replace(coalesce(text, ''),
                    '([.!?])[ \t\r\x0B\f]+', '\1' || chr(10), 'g'), chr(10)) AS parts FROM documents),
-    sentences AS (SELECT place, unnest(range(len(parts))) AS position, unnest(parts) AS part FROM cut),
-    hits AS (SELECT place, position, id FROM sentences JOIN known
-             ON trim(regexp_replace(lower(part), '[^\pL\pN]+', ' ', 'g')) = sentence),
-    grown AS (SELECT place, rule, licence, position AS first, position AS last, 1 AS step
+    pieces AS (SELECT place, position, trim(regexp_replace(lower(part),
+                      '^[^\pL\pN]*(?:[0-9]{{1,2}}|[a-z])\)|[^\pL\pN]+', ' ', 'g')) AS piece
+               FROM (SELECT place, unnest(range(len(parts))) AS position, unnest(parts) AS part FROM cut)),
+    spans AS (SELECT place, position, position AS last, piece AS words FROM pieces WHERE {goes_on("piece")}
+              UNION ALL
+              SELECT s.place, s.position, p.position, s.words || ' ' || p.piece
+              FROM spans s JOIN pieces p ON p.place = s.place AND p.position = s.last + 1
+              WHERE p.position < s.position + {licences.LONGEST} AND {goes_on("s.words || ' ' || p.piece")}),
+    hits AS (SELECT place, position, last, id FROM spans JOIN known ON {named} = sentence),
+    grown AS (SELECT place, rule, licence, position AS first, last, 1 AS step
               FROM hits JOIN rules USING (id) WHERE step = 1
               UNION ALL
-              SELECT g.place, g.rule, g.licence, g.first, min(h.position), g.step + 1
+              SELECT g.place, g.rule, g.licence, g.first, arg_min(h.last, (h.position, h.last)), g.step + 1
               FROM grown g JOIN rules r ON r.rule = g.rule AND r.step = g.step + 1
               JOIN hits h ON h.place = g.place AND h.id = r.id AND h.position > g.last
                          AND h.position <= g.last + {licences.GAP + 1}
-              GROUP BY g.place, g.rule, g.licence, g.first, g.step),
+              GROUP BY g.place, g.rule, g.licence, g.first, g.last, g.step),
     matches AS (SELECT place, licence FROM grown g
                 WHERE step = (SELECT max(step) FROM rules r WHERE r.rule = g.rule)),
     found AS (SELECT place, string_agg(DISTINCT licence, ',' ORDER BY licence) AS licences, count(*) AS n

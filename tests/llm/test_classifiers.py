@@ -2,12 +2,13 @@
 
 import textwrap
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from starmart.llm import byte_bpe, cotraining, language_id, licences
+from starmart.llm import byte_bpe, cotraining, language_id, licences, queries
 
 SMALL = "/root/testdata/sf0.01"
 
@@ -234,6 +235,64 @@ def test_wrapped_licences(spark):
     assert got == {i: names for i, (_, names) in enumerate(rows)}
 
 
+ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+"""
+ZLIB = """This software is provided 'as-is', without any express or implied
+warranty. In no event will the authors be held liable for any damages
+arising from the use of this software.
+
+Permission is granted to anyone to use this software for any purpose,
+including commercial applications, and to alter it and redistribute it
+freely, subject to the following restrictions:
+"""
+BOOST = """Distributed under the Boost Software License, Version 1.0.
+(See accompanying file LICENSE_1_0.txt or copy at https://www.boost.org/LICENSE_1_0.txt)
+"""
+EPL = """This program and the accompanying materials are made
+available under the terms of the Eclipse Public License 2.0
+which is available at https://www.eclipse.org/legal/epl-2.0/
+"""
+LGPL = """This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version.
+
+This library is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the GNU
+Lesser General Public License for more details.
+"""
+AGPL = GPL.format(3).replace("General Public License as", "Affero General Public License as")
+
+
+def test_more_licences(spark):
+    cases = [(ISC, ["ISC"]), (ZLIB, ["Zlib"]), (BOOST, ["BSL-1.0"]), (EPL, ["EPL-2.0"]), (LGPL, ["LGPL-2.1-or-later"]),
+             (AGPL, ["AGPL-3.0-or-later"]), ("// SPDX-License-Identifier: Apache-2.0\nint x;", ["Apache-2.0"]),
+             ("# SPDX-License-Identifier: GPL-2.0-or-later", ["GPL-2.0-or-later"]),
+             ("SPDX-License-Identifier: unheard-of-1.0", [])]
+    df = spark.createDataFrame([(i, text) for i, (text, _) in enumerate(cases)], "doc_id long, text string")
+    got = {r["doc_id"]: r["licences"] for r in licences.scan(df).collect()}
+    assert got == {i: names for i, (_, names) in enumerate(cases)}
+
+
+def test_licence_sql_on_wrapped_notices(spark, tmp_path):
+    texts = [MIT, BSD, BSD + NAMES.format("the copyright holder"), BSD + NAMES.format("Some Firm Inc."), GPL.format(2),
+             GPL.format(3), APACHE, MPL, CC0, ISC, ZLIB, BOOST, EPL, LGPL, AGPL, GPL.format(3) + GPL.format(3),
+             "Released under\n\nthe MIT License.", "Neither the name of\n\nA\n\nnor the names of its contributors",
+             CC0.replace("Jane", "Jane\n\n"), MIT + "\n" + MIT, ISC + "SPDX-License-Identifier: ISC\n" + ZLIB]
+    rows = ["".join(mark + line + end for line in wrapped(text, width).split("\n"))
+            for text in texts for width in (15, 40, 1000) for mark, end in (("", "\n"), ("# ", "\r\n"), ("(2) ", "\n"))]
+    df = spark.createDataFrame(list(enumerate([*rows, "", None])), "doc_id long, text string")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted(map(tuple, queries.op4_sentence_rules(spark, str(tmp_path)).collect()))
+    with duckdb.connect() as db:
+        db.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+        assert got == sorted(db.execute(queries.ORACLES["op4_sentence_rules"]).fetchall())
+    assert sum(n > 0 for _, _, _, n in got) > len(texts)
+
+
 def test_a_notice_at_the_end_of_a_very_long_text(spark):
     text = "Some words here. " * 30_000 + "Released under the MIT License."
     row = licences.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()

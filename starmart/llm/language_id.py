@@ -8,7 +8,9 @@ every language. The probabilities of a text's windows are averaged.
 As the input is bytes, a filter is a table with a weight for each byte at each of its places. The
 network is trained on the driver in numpy (Adam on cross-entropy; the gradient of max pooling
 touches only the winning places) on a bounded sample of windows of labelled texts: at most
-``DOCS`` texts for each language, chosen by hash, and ``WINDOWS`` windows of each. To apply it,
+``DOCS`` texts for each language, chosen by hash, and ``SAMPLE`` texts in all, shared out evenly
+where the languages are many, and ``WINDOWS`` windows of each. Every language of the table is
+learned, however rare, and training takes longer the more there are. To apply it,
 the tables of a filter are added up for pairs of bytes, so that a value takes two look-ups at
 most, and all windows of a batch go through at once.
 """
@@ -24,12 +26,14 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from starmart.llm.common import quoted, text_or_empty, without
+from starmart.llm.common import quoted, small_table, text_or_empty, without
 
 WIDTHS, FILTERS, WINDOW = (2, 3, 4), 8, 128
 DOCS, WINDOWS, STEPS, BATCH, RATE = 400, 6, 400, 128, 0.01
-#: So many languages are learned at most, the most frequent ones.
-LANGUAGES = 1000
+#: So many texts are learned from in all, one at least of each language.
+SAMPLE = 40_000
+#: Languages that the ``STEPS`` of training are for; more languages take proportionally more.
+USUAL = 8
 STRIDE = WINDOW - max(WIDTHS) + 1
 BATCH_WINDOWS = 512
 UNKNOWN = "und"
@@ -38,16 +42,20 @@ OUTPUT = ("held_out", "lang_pred", "score")
 
 
 def labelled_windows(df: DataFrame, lang_col: str, text_col: str, id_col: str,
-                     docs: int = DOCS, windows: int = WINDOWS) -> list:
-    """At most ``docs × windows`` (language, window) rows per language from labelled rows."""
+                     docs: int = DOCS, windows: int = WINDOWS, sample: int = SAMPLE) -> list:
+    """At most ``docs × windows`` (language, window) rows per language, and ``sample × windows`` in all,
+    from labelled rows. Each language has as many texts as the others, as far as it has them, and
+    one at least; only a column with more than ``sample`` languages would leave out its rarest."""
     labelled = df.select(quoted(id_col).alias("id"), quoted(lang_col).cast("string").alias("lang"),
                          quoted(text_col).cast("string").alias("text")).where(
         "lang IS NOT NULL AND text IS NOT NULL AND length(text) > 0")
     order = F.xxhash64("id", "text")
-    counts = labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
+    found = labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(sample).collect()
+    docs = max(1, min(docs, sample // max(1, len(found))))
+    counts = small_table(df.sparkSession, [r.asDict() for r in found], "lang string, n long")
     # twice as many as asked by the share of hashes, so that what is sorted below is small
     share = (F.lit(2.0 * docs) + 50) / F.col("n")
-    near = (labelled.join(F.broadcast(counts), "lang")  # at most LANGUAGES rows
+    near = (labelled.join(F.broadcast(counts), "lang")  # at most sample rows
             .where(F.pmod(order, F.lit(1 << 20)) < share * (1 << 20)))
     chosen = near.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy(order, "id")))
     raw = F.encode(F.lower("text"), "utf-8")
@@ -184,7 +192,8 @@ def fit(df: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col: s
     if not rows:
         return net
     number = {lang: i for i, lang in enumerate(languages)}
-    return net.train(_padded([bytes(r["window"]) for r in rows]), np.array([number[r["lang"]] for r in rows]))
+    steps = STEPS * max(1, -(-len(languages) // USUAL))
+    return net.train(_padded([bytes(r["window"]) for r in rows]), np.array([number[r["lang"]] for r in rows]), steps)
 
 
 def with_language(df: DataFrame, net: Network, text_col: str = "text") -> DataFrame:

@@ -33,6 +33,21 @@ def test_language_looks_at_the_text_alone(corpus):
     assert a == b
 
 
+def test_every_language_is_learned(spark):
+    alphabets = {f"l{i:02}": [chr(0x4E00 + 16 * i + j) for j in range(8)] for i in range(30)}
+    rng = np.random.default_rng(3)
+    rows = [(i, lang, "".join(rng.choice([*letters, " "], 200)))
+            for i, (lang, letters) in enumerate((k, v) for k, v in alphabets.items() for _ in range(100 if k < "l20" else 3))]
+    df = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    sampled = language_id.labelled_windows(df, "lang", "text", "doc_id", sample=60)
+    texts = 60 // len(alphabets)
+    assert {r["lang"] for r in sampled} == set(alphabets) and len(sampled) <= 60 * language_id.WINDOWS
+    assert max(np.unique([r["lang"] for r in sampled], return_counts=True)[1]) == texts * language_id.WINDOWS
+    found = language_id.with_language(df, language_id.fit(df)).select("lang", "lang_pred").collect()
+    assert {r["lang_pred"] for r in found} == set(alphabets)
+    assert np.mean([r["lang"] == r["lang_pred"] for r in found]) > 0.95
+
+
 def test_pair_tables_are_the_network(corpus):
     net = language_id.Network(["a", "b", "c"])
     x = np.random.default_rng(1).integers(0, 256, (50, language_id.WINDOW), dtype=np.uint8)

@@ -166,6 +166,17 @@ def test_repeated_ids_are_one_document(spark, corpus):
     assert all(np.array_equal(a, b) for a, b in zip((y, text, page), again))
 
 
+def test_the_sample_is_cut_by_hash_first(spark):
+    view = F.lit(bytes(4 * cotraining.WIDTH["text"])), F.lit(bytes(4 * cotraining.WIDTH["page"]))
+    rows = spark.range(0, 20_000, 1, 16).select(
+        (F.col("id") % 10_000).alias("id"), view[0].alias("text_view"), view[1].alias("page_view"),
+        F.col("id").cast("double").alias("y"))
+    hashed = rows.select("id", F.pmod(F.xxhash64("id", F.lit(3)), F.lit(1 << 40)).alias("h")).distinct().orderBy("h").limit(100)
+    want = sorted(r["id"] for r in hashed.collect())
+    assert sorted(cotraining._sample(rows, 100)[0]) == want
+    assert len(cotraining._sample(rows, 10 ** 6)[0]) == 10_000
+
+
 def test_labels_that_say_nothing(spark, corpus):
     labels = spark.createDataFrame([(1, 1), (2, 1), (3, None)], "doc_id long, quality int")
     scored = cotraining.with_quality(corpus, cotraining.fit(corpus, labels))

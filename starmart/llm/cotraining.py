@@ -42,6 +42,8 @@ PLACES = 6
 PARTS = 64
 SOURCES, LANGUAGES, LENGTHS = 64, 32, 24
 BATCH_BYTES = 1 << 20
+#: So many views are scored at a time, so that a worker holds little more than a batch.
+BLOCK = 512
 OUTPUT = ("text_score", "page_score", "score", "keep")
 
 
@@ -310,9 +312,9 @@ def surest(pool: DataFrame, question: Question) -> Answer:
 
     def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ask, best = pickle.loads(asked), {}
-        for batch in batches:
-            views = {side: _matrix(batch.column(f"{side}_view").to_pylist(), WIDTH[side]) for side in WIDTH}
-            for case, found in ask.asked(batch.column("key").to_numpy(), views).items():
+        for block in (batch.slice(at, BLOCK) for batch in batches for at in range(0, batch.num_rows, BLOCK)):
+            views = {side: _matrix(block.column(f"{side}_view").to_pylist(), WIDTH[side]) for side in WIDTH}
+            for case, found in ask.asked(block.column("key").to_numpy(), views).items():
                 best[case] = best[case].also(found).best(ask.shares[case[1]]) if case in best else found
         for (side, verdict), c in best.items():
             n = len(c.keys)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from starmart.operators.keys import add_sequence
 from starmart.schemas import OPERATOR_HEADERS
+from starmart.session import together
 from starmart.sources.documents import extract_html_rows, flatten_documents
 from starmart.sources.files import load_directory
 from starmart.sources.sinks import save
@@ -40,15 +41,16 @@ def ingest(spark: SparkSession, directory: str, out: str) -> tuple[DataFrame, Da
     """Every CSV of a directory → documents → one canonical CSV per collection below ``out``:
     all fields text, columns in code-point order, missing values empty.
 
-    Returns the export report and the per-file load report.
+    Returns the export report and the per-file load report. Several collections are written at a time.
     """
     datasets, loaded = load_directory(spark, directory)
-    counts = []
-    for name, df in datasets.items():
+
+    def export(name: str) -> tuple[str, int, bool]:
         seen = Observation()
-        save(flatten_documents(as_documents(df)).observe(seen, F.count("*").alias("n")), f"{out}/{name}",
+        save(flatten_documents(as_documents(datasets[name])).observe(seen, F.count("*").alias("n")), f"{out}/{name}",
              "csv", empty_as_null=True)
-        counts.append((name, seen.get["n"], seen.get["n"] > 0))
+        return name, seen.get["n"], seen.get["n"] > 0
+    counts = together(spark, export, datasets)
     return spark.createDataFrame(counts, "collection string, documents long, exported boolean"), loaded
 
 

@@ -467,8 +467,7 @@ def _ingested(spark, directory) -> DataFrame:
     out = scratch_dir(spark, "ingested")
     report, _ = ingestion.ingest(spark, directory, out)
     names = [r["collection"] for r in report.filter("exported").collect()]
-    return reduce(DataFrame.unionByName, [
-        files.read_csv(spark, f"{out}/{n}", infer=False, multiline=True) for n in names])
+    return files.read_csv(spark, [f"{out}/{n}" for n in names], infer=False, multiline=True)
 
 
 @query("SELECT * FROM orders")

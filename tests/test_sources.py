@@ -1,5 +1,6 @@
 import json
 import os
+import threading
 from datetime import datetime
 
 import pytest
@@ -9,8 +10,10 @@ from starmart import schemas
 from starmart.functions.columns import iso_timestamp, megabytes
 from starmart.plans import ingest as ingestion
 from starmart.plans import sql
+from starmart.session import together
 from starmart.sources import documents, files, jdbc, sinks
 from starmart.streaming.payload import stream_payload
+from starmart_demo import files as demo_files
 from tests.conftest import plan, rows
 
 
@@ -373,3 +376,37 @@ def test_recreate_in_a_folder_empties_it(spark, folder):
         spark.sql("INSERT INTO operators (id) VALUES (1)")
         assert spark.read.parquet(folder("db/operators")).count() == 1
     spark.sql("DROP TABLE operators")
+
+
+def test_ingest_writes_collections_side_by_side(spark, folder, monkeypatch):
+    """Both collections must be under way for either to be written, and the report keeps their order."""
+    for name in "ab":
+        put(folder(f"in/{name}.csv"), f'k,t\n{name},"x\ny"\n{name},\n')
+    meet, write = threading.Barrier(2, timeout=120), ingestion.save
+
+    def save(*args, **options):
+        meet.wait()
+        write(*args, **options)
+    monkeypatch.setattr(ingestion, "save", save)
+    report, _ = ingestion.ingest(spark, folder("in"), folder("out"))
+    assert [tuple(r) for r in report.collect()] == [("a", 2, True), ("b", 2, True)]
+    back = files.read_csv(spark, [folder("out/a"), folder("out/b")], infer=False, multiline=True)
+    assert rows(back, "k", "t") == [("a", None), ("a", "x\ny"), ("b", None), ("b", "x\ny")]
+
+
+def test_together_keeps_order_and_raises(spark):
+    assert together(spark, lambda n: spark.range(n).count(), [3, 0, 2]) == [3, 0, 2] and together(spark, str, []) == []
+    with pytest.raises(ZeroDivisionError):
+        together(spark, lambda n: 1 // n, [1, 0])
+
+
+def test_collections_are_read_back_at_once(spark, folder):
+    """The plan does not grow with the number of collections."""
+    scans = []
+    for n in (2, 6):
+        for i in range(n):
+            put(folder(f"in{n}/c{i}.csv"), f'a,b\n{i},"x\ny"\n')
+        back = demo_files._ingested(spark, folder(f"in{n}"))
+        assert rows(back, "a", "b") == [(str(i), "x\ny") for i in range(n)]
+        scans.append(plan(back).count("FileScan"))
+    assert scans[0] == scans[1]

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from starmart.llm import byte_bpe, cotraining, language_id, mixing, near_dedup
 from starmart.llm.common import quoted
-from starmart.session import materialise
+from starmart.session import bound_batches, materialise
 
 #: A text stays if its best language is by so much likelier than by chance, whatever their number.
 OVER_CHANCE = 1.2
@@ -33,6 +33,7 @@ READ = ("doc_id", "text", "lang", "source", "n_chars")
 
 def stage(work: Callable[[DataFrame], DataFrame], docs: DataFrame) -> DataFrame:
     """What is left of the rows after some work, with all columns as they were."""
+    bound_batches(docs.sparkSession)
     aside = {c: c if c in READ else f"__column_{i}" for i, c in enumerate(docs.columns)}
     out = work(docs.select(*[quoted(c).alias(new) for c, new in aside.items()]))
     return out.select(*[quoted(new).alias(c) for c, new in aside.items()])
@@ -85,6 +86,7 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Null and empty texts have no ids and decode. Every row is encoded, repeated ones too.
     """
+    bound_batches(spark)
     found = byte_bpe.encode_checked(docs.select("doc_id", "lang", "source", "text"), RANKS, public_tokenizers.PATTERN)
     return found.select("doc_id", "lang", "source", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
                         "ids", "decodes")

@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from starmart.llm.common import WHITE, free_name, quoted, without
 from starmart.llm.fingerprints import GOLDEN, PLACE, mix
-from starmart.session import materialise
+from starmart.session import bound_batches, materialise
 
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 20, 4
@@ -318,6 +318,7 @@ def near_classes(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     tell classes apart; the column named ``component``, if asked for, does: the digest of one text of
     the class, null for a null text.
     """
+    bound_batches(df.sparkSession)
     kept = without(df, [out] if component is None else [out, component])
     docs = df.select(quoted(id_col).cast("long").alias("id"), quoted(text_col).cast("string").alias("text"))
     docs = docs.where("text IS NOT NULL").withColumn("node", F.md5(F.encode("text", "utf-8")))

@@ -4,8 +4,10 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
+from starmart import session
 from starmart.llm import ball_tree, fingerprints, near_dedup
 
 
@@ -79,6 +81,41 @@ def test_a_large_group_of_copies_has_as_many_pairs_as_members(spark):
     assert {r["class_id"] for r in near_dedup.near_classes(df).collect()} == {0}
 
 
+def test_whole_texts_go_to_workers_in_batches_of_bounded_bytes(spark, monkeypatch):
+    """Shingles of both texts of a pair are longer than the texts, and a batch had up to 10,000 pairs."""
+    before = spark.conf.get(session.ARROW_BYTES, None)
+    spark.conf.unset(session.ARROW_BYTES)
+    seen = {}
+    first = near_dedup.materialise
+
+    def written(df, name):
+        def sizes(batches):
+            for b in batches:
+                yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], names=["n", "bytes"])
+        if name == "signatures":  # a worker of this session is handed rows of 8 kB
+            rows = spark.range(0, 2000, 1, 1).selectExpr("cast(repeat('x', 8000) as binary) as s")
+            seen["sizes"] = rows.mapInArrow(sizes, "n long, bytes long").collect()
+        seen[name] = int(spark.conf.get(session.ARROW_BYTES, str(1 << 40)))
+        return first(df, name)
+    monkeypatch.setattr(near_dedup, "materialise", written)
+    try:
+        words = [" ".join(f"w{i % 3}x{j}" for j in range(40)) + f" end{i}" for i in range(9)]
+        df = spark.createDataFrame(list(enumerate(words)), "doc_id long, text string")
+        got = {r["doc_id"]: r["class_id"] for r in near_dedup.near_classes(df).collect()}
+        assert got == {i: i % 3 for i in range(9)}
+        assert {"signatures", "sets", "links"} <= set(seen)
+        assert all(seen[x] == session.BATCH_BYTES for x in ("signatures", "sets", "links"))
+        assert sum(r["n"] for r in seen["sizes"]) == 2000
+        assert max(r["bytes"] for r in seen["sizes"]) <= session.BATCH_BYTES + 20_000
+        spark.conf.set(session.ARROW_BYTES, "12345")  # a bound of the session's own stays
+        session.bound_batches(spark)
+        assert spark.conf.get(session.ARROW_BYTES) == "12345"
+    finally:
+        spark.conf.unset(session.ARROW_BYTES)
+        if before is not None:
+            spark.conf.set(session.ARROW_BYTES, before)
+
+
 def test_signatures_estimate_weighted_similarity():
     a = b" ".join([b"a b c d e"] * 30 + [b"q r s t u v w"] * 5)
     b = b" ".join([b"a b c d e"] * 20 + [b"q r s t u v w"] * 6)

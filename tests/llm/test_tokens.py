@@ -2,13 +2,17 @@
 
 import base64
 import random
+import sys
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from starmart import session
 from starmart.llm import byte_bpe, token_counts
 from starmart.llm.queries import RANKS, WORD_BPE
 
@@ -75,3 +79,60 @@ def test_small_tables_change_nothing(monkeypatch):
     want = vocabulary.encode(text)
     monkeypatch.setattr(byte_bpe, "MAX_WORDS", 2)
     assert byte_bpe.vocabulary_of.__wrapped__(RANKS, public_tokenizers.PATTERN).encode(text) == want
+
+
+def test_remembered_pre_tokens_are_bounded_in_bytes():
+    rng = random.Random(3)
+    vocabulary = byte_bpe.vocabulary_of.__wrapped__(RANKS, public_tokenizers.PATTERN)
+    for _ in range(60):
+        text = " ".join("".join(map(chr, rng.choices(range(0x4E00, 0x9000), k=39))) for _ in range(1000))
+        assert vocabulary.decode(vocabulary.encode(text)) == text.encode()
+    held = [sum(sys.getsizeof(x) for item in table.items() for x in item) for table in (vocabulary, vocabulary.aside)]
+    assert max(held) <= 12 << 20 and sum(held) > 12 << 20
+
+
+def test_ids_decode_across_blocks(monkeypatch):
+    vocabulary = byte_bpe.vocabulary_of(RANKS, public_tokenizers.PATTERN)
+    texts = [None, "", "one two three", None, "", "日本 x" * 30, "a", ""]
+    packed = pa.array([None if t is None else vocabulary.encode(t) for t in texts], pa.binary())
+    for at_once in (1, 2, 7, 1 << 20):
+        monkeypatch.setattr(byte_bpe, "IDS_AT_ONCE", at_once)
+        assert vocabulary.tokens.decoded(packed).to_pylist() == [t if t is None else t.encode() for t in texts]
+        assert vocabulary.tokens.decoded(packed[1:4]).to_pylist() == [b"", b"one two three", None]
+        assert vocabulary.tokens.decoded(packed[:0]).to_pylist() == []
+    with pytest.raises(ValueError):
+        vocabulary.tokens.decoded(pa.array([b"abc", b"d"], pa.binary()))
+
+
+def test_ascii_texts_are_cut_the_same_way():
+    vocabulary = byte_bpe.vocabulary_of(RANKS, public_tokenizers.PATTERN)
+    assert vocabulary.ascii_pattern is not vocabulary.pattern
+    rng = random.Random(5)
+    parts = [*map(chr, range(128)), "'re", "'ll", "  ", "\r\n", " the", "12", "\n\n"]
+    for _ in range(300):
+        text = "".join(rng.choices(parts, k=200))
+        assert vocabulary.pieces(text) == vocabulary.pattern.findall(text)
+
+
+def test_whole_texts_go_to_python_in_bounded_batches(spark, monkeypatch):
+    per_text, before = byte_bpe.per_text, spark.conf.get(session.ARROW_BYTES, None)
+
+    @F.arrow_udf("binary")
+    def size_of_batch(texts: pa.Array) -> pa.Array:
+        return pa.array([texts.nbytes.to_bytes(8, "little")] * len(texts), pa.binary())
+
+    monkeypatch.setattr(byte_bpe, "per_text", lambda df, text, out, whole, *rest: per_text(
+        df, text, out, size_of_batch, *rest))
+    try:
+        spark.conf.unset(session.ARROW_BYTES)
+        df = spark.range(0, 3000, 1, 1).withColumn("text", F.repeat(F.lit("some words "), 500))
+        sizes = [int.from_bytes(r["ids"], "little") for r in byte_bpe.encode(
+            df, RANKS, public_tokenizers.PATTERN).select("ids").collect()]
+        assert len(sizes) == 3000 and max(sizes) <= session.BATCH_BYTES + 20_000
+        spark.conf.unset(session.ARROW_BYTES)
+        byte_bpe.decode(spark.createDataFrame([], "ids binary"), RANKS, public_tokenizers.PATTERN)
+        assert spark.conf.get(session.ARROW_BYTES) == str(session.BATCH_BYTES)
+    finally:
+        spark.conf.unset(session.ARROW_BYTES)
+        if before is not None:
+            spark.conf.set(session.ARROW_BYTES, before)
